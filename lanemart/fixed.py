@@ -124,6 +124,6 @@ class MartParams:
     ptl_comment_words: tuple[str, ...] = ()
     consignment_tie: tuple[str, ...] = ("id",)
     cancel_only_expired: bool = False
-    time_bucket: int = 3600
+    time_bucket: int = 86_400
     id_bucket: int = 1 << 20
     salts: int = 16

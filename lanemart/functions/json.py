@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,13 +14,13 @@ def json_text(doc: Column, path: str) -> Column:
     return F.get_json_object(doc, f"$.{path}")
 
 
-def json_fields(doc: Column, names: Sequence[str]) -> Column:
-    """Struct of text fields read from ``doc`` in a single parse.
+def with_json_fields(df: DataFrame, doc: Column, names: Mapping[str, str]) -> DataFrame:
+    """Add text columns (field -> column name) read from ``doc``, in a single parse per row.
 
-    A nested object arrives as its JSON text and a nested JSON string as its content, so both shapes
-    can be parsed again with this function.
+    For fields that are filtered or joined on: they come from a generator, which such conditions are not
+    pushed through, while an expression would be parsed again in every condition that mentions it.
     """
-    return F.from_json(doc, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return df.select("*", F.json_tuple(doc, *names).alias(*names.values()))
 
 
 def text_to_double(text: Column, default: float | None = None) -> Column:
@@ -29,6 +29,15 @@ def text_to_double(text: Column, default: float | None = None) -> Column:
     return number if default is None else F.coalesce(number, F.lit(float(default)))
 
 
+def json_struct(doc: Column, names: Sequence[str]) -> Column:
+    """Struct of text fields read from ``doc`` in a single parse, which is skipped when no field is used.
+
+    A nested object arrives as its JSON text and a nested JSON string as its content, so both shapes can
+    be parsed again.
+    """
+    return F.from_json(doc, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
 def json_double(doc: Column, path: str, default: float | None = None) -> Column:
     return text_to_double(json_text(doc, path), default)
 

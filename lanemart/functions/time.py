@@ -16,13 +16,15 @@ def to_local(ts: Column, shift: str = LOCAL_SHIFT) -> Column:
 
 def epoch_to_local(seconds: Column, shift: str = LOCAL_SHIFT) -> Column:
     """Local wall-clock time from epoch seconds stored as text or number."""
-    utc = F.timestamp_seconds(seconds.try_cast("bigint")).cast("timestamp_ntz")
-    return to_local(utc, shift)
+    s = seconds.try_cast("bigint")
+    since = F.make_dt_interval(days=F.floor(s / F.lit(86_400)).try_cast("int"), secs=F.pmod(s, F.lit(86_400)))
+    return to_local(F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + since, shift)
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970 of a wall-clock value, in the session's (UTC) zone."""
-    return F.unix_seconds(ts.cast("timestamp"))
+    """Whole seconds since 1970 of a wall-clock value, whatever the session's time zone."""
+    days = F.unix_date(F.to_date(ts)).cast("bigint")
+    return days * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def hour_of(ts: Column) -> Column:

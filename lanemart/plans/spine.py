@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanemart.fixed import REMARK_PATTERNS, MartParams
 from lanemart.functions import numbers as N
-from lanemart.functions.json import json_fields, json_text, non_empty_or, text_to_double
+from lanemart.functions.json import json_struct, json_text, non_empty_or, text_to_double
 from lanemart.functions.text import any_of, contains_ci, matches_any
 from lanemart.functions.time import to_local
 from lanemart.sources.bounds import not_deleted, recent, since_id
@@ -31,11 +31,14 @@ def live_demands(demands: DataFrame, params: MartParams) -> DataFrame:
 
 
 def demand_spine(demands: DataFrame, params: MartParams) -> DataFrame:
-    m = F.col("__m")
-    parsed = live_demands(demands, params).withColumn("__m", json_fields(F.col("metadata"), METADATA_FIELDS))
-
-    def place(dto: str, axis: str):
-        return text_to_double(json_text(json_text(F.col(dto), "geoLoc"), axis))
+    m, sent, due = F.col("__m"), F.col("__from"), F.col("__to")
+    parsed = live_demands(demands, params).withColumns(
+        {
+            "__m": json_struct(F.col("metadata"), METADATA_FIELDS),
+            "__from": json_struct(json_text(F.col("from_address_dto"), "geoLoc"), ["x", "y"]),
+            "__to": json_struct(json_text(F.col("to_address_dto"), "geoLoc"), ["x", "y"]),
+        }
+    )
 
     flat = parsed.select(
         F.col("id").alias("demand_id"),
@@ -49,10 +52,10 @@ def demand_spine(demands: DataFrame, params: MartParams) -> DataFrame:
         F.coalesce(m["ptl"], F.lit("")).alias("metadata_plt"),
         N.version_number(m["appVersion"]).alias("app_version"),
         m["searchMode"].alias("dr_type"),
-        place("from_address_dto", "x").alias("from_lat"),
-        place("from_address_dto", "y").alias("from_long"),
-        place("to_address_dto", "x").alias("to_lat"),
-        place("to_address_dto", "y").alias("to_long"),
+        text_to_double(sent["x"]).alias("from_lat"),
+        text_to_double(sent["y"]).alias("from_long"),
+        text_to_double(due["x"]).alias("to_lat"),
+        text_to_double(due["y"]).alias("to_long"),
         text_to_double(m["estimatedRouteDistance"], 0).alias("route_distance"),
         text_to_double(m["shortestRouteDistance"], 0).alias("shortest_route_distance"),
         m["predictedRateSource"].alias("predicted_rate_source"),

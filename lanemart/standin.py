@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanemart.fixed import MartParams, RegionSets
+from lanemart.functions.time import epoch_seconds
 from lanemart.sources.readers import Sources
 
 BODIES = ("container", "open", "trailer", "large", "medium", "small")
@@ -39,7 +40,7 @@ PARAMS = MartParams(
     ),
     retry_user="retry",
     consignment_tie=("id", "vehicle_id", "tie_operator", "tie_quantity"),
-    time_bucket=86_400,
+    time_bucket=30 * 86_400,  # a few thousand demands per bucket at the largest test scale
 )
 EDGE = "1998-01-01"  # PARAMS.as_of minus the hot days
 
@@ -58,9 +59,13 @@ class StandIn:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.src = Sources(spark, parquet_root=root)
+        self.read: dict[str, DataFrame] = {}
 
     def t(self, name: str, *columns: str) -> DataFrame:
-        return self.src.table(name, columns or None)
+        if name not in self.read:
+            self.read[name] = self.src.table(name)
+        table = self.read[name]
+        return table.select(*columns) if columns else table
 
     # --- demand and status ---
 
@@ -407,7 +412,7 @@ class StandIn:
     def restrictions(self) -> DataFrame:
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate").filter(F.col("o_orderstatus") == "P")
         return o.select(
-            F.unix_seconds(F.col("o_orderdate").cast("timestamp")).cast("string").alias("start_time"),
+            epoch_seconds(F.col("o_orderdate")).cast("string").alias("start_time"),
             F.col("o_custkey").cast("string").alias("consigner_code"),
             F.when(F.col("o_orderkey") % 2 == 0, "RESTRICTED").otherwise("UNRESTRICTED").alias("status"),
             F.lit("false").alias("deleted"),
