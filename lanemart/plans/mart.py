@@ -14,7 +14,7 @@ from lanemart.operators.joins import enrich
 from lanemart.plans import consignments as C
 from lanemart.plans import consigners as G
 from lanemart.plans import geography, pricing, supply, vehicles
-from lanemart.plans.spine import demand_spine, ptl_flag
+from lanemart.plans.spine import demand_spine, live_demands, ptl_flag
 
 #: Output columns and types, in order.
 OUTPUT = {
@@ -79,6 +79,7 @@ def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartPara
     )
     milestones = C.status_milestones(src["demand_sub_status"], params)
     token_rows = pricing.tokens(src["tokens_hot"], src["tokens_archive"], params)
+    catalog = pricing.rate_catalog(src["current_rates"], src["rate_lanes"], src["places"], src["vehicle_bands"])
     lanes = supply.supply_lanes(
         src["gps_lanes"], src["operators"], src["operator_vehicles"], src["vehicles"], src["vehicle_catalog"],
         src["district_clusters"], src["subscriptions"],
@@ -102,6 +103,8 @@ def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartPara
         supply.supply_match(wide, lanes, params),
         supply.engagement([src["app_events_1"], src["app_events_2"], src["app_events_3"]], params),
         supply.delivered_pct(src["notifications"], params),
+        pricing.demand_rates(wide, catalog),
+        G.consigner_profile(src["demands"], src["consigners"], params),
     ]
     if "cancellations" in src:
         parts.append(C.operator_cancels(src["cancellations"]))
@@ -160,15 +163,13 @@ def build_mart(
 ) -> DataFrame:
     """One typed row per live demand.
 
-    Dimension lookups come first and the joins by demand id last, so the wide spine moves to its demand-id
-    partitioning once and every part meets it there. ``cut`` is applied to the placed spine, which several
-    branches read: pass :func:`lanemart.sinks.lake.materialize` on a cluster.
+    Only narrow rows travel by other keys than the demand id: the parts are joined to the bare ids, where
+    they share one partitioning, and the wide spine moves there once, for the last join. ``cut`` is applied
+    to the placed spine, which several branches read: pass :func:`lanemart.sinks.lake.materialize` on a
+    cluster.
     """
     wide = cut(placed_spine(src, params))
-    catalog = pricing.rate_catalog(src["current_rates"], src["rate_lanes"], src["places"], src["vehicle_bands"])
-    rates = pricing.current_rates(wide, catalog)
-    looked_up = G.with_consigner_profile(wide, src["consigners"], src["demands"], params)
-    looked_up = looked_up.join(rates, on=["origin", "destination", "vehicle_type_id"], how="left")
-    looked_up = geography.with_regions(looked_up, params)
-    joined = enrich(looked_up, demand_parts(src, wide, params), "demand_id")
+    ids = live_demands(src["demands"], params).select(F.col("id").alias("demand_id"))
+    parts = enrich(ids, demand_parts(src, wide, params), "demand_id")
+    joined = geography.with_regions(wide, params).join(parts, on="demand_id", how="left")
     return finalize(with_outcome(joined, params))

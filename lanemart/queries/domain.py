@@ -52,8 +52,7 @@ def consignment_summary(spark, root) -> DataFrame:
     from demands d left join consigner_types t using (consigner_user_code) left join history h using (consigner_user_code) left join fulfilled f using (demand_id)""")
 def consigner_profile(spark, root) -> DataFrame:
     src = Frames(spark, root)
-    spine = demand_spine(src["demands"], PARAMS).select("demand_id", "consigner_user_code")
-    profiled = G.with_consigner_profile(spine, src["consigners"], src["demands"], PARAMS)
+    profiled = G.consigner_profile(src["demands"], src["consigners"], PARAMS)
     ranked = enrich(profiled, [G.fulfilled_rank(src["demands"], PARAMS)], "demand_id")
     return ranked.select(
         "demand_id", "customer_type", "customer_flag", "consigner_onboarding_date", "consigner_fulfilled_demand_id",

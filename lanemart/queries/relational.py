@@ -214,9 +214,7 @@ def range_lookup_latest(spark, root) -> DataFrame:
     src = Frames(spark, root)
     wide = placed_spine(src, PARAMS)
     catalog = pricing.rate_catalog(src["current_rates"], src["rate_lanes"], src["places"], src["vehicle_bands"])
-    rates = pricing.current_rates(wide, catalog)
-    keys = ["origin", "destination", "vehicle_type_id"]
-    return wide.select("demand_id", *keys).join(rates, on=keys).select("demand_id", *pricing.RATE_COLUMNS)
+    return pricing.demand_rates(wide, catalog)
 
 
 @query("""
@@ -371,7 +369,7 @@ def dedupe_pairs(spark, root) -> DataFrame:
 
 @query("""
     select b.body_type as band_body, b.tyre as band_tyre, b.min_length as min_size, b.max_length as max_size, max(b.max_weight) as tonnage_limit,
-      round(max(b.max_height), 4) as height_limit, count(v.vehicle_type_id) as vehicle_types
+      round(max(b.max_height), 4)::double as height_limit, count(v.vehicle_type_id) as vehicle_types
     from vehicle_bands b left join vehicle_types v on v.body_type = b.body_type and v.tyre_count = b.tyre and v.size_in_ft between b.min_length and b.max_length
     group by 1, 2, 3, 4""")
 def band_limits(spark, root) -> DataFrame:

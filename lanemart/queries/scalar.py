@@ -74,7 +74,7 @@ def local_time_shift(spark, root) -> DataFrame:
     )
 
 
-@query("select event_id, hour(ts) as event_hour, cast(ts as date) as event_day from events")
+@query("select event_id, hour(ts)::int as event_hour, cast(ts as date) as event_day from events")
 def hour_bucket(spark, root) -> DataFrame:
     at = F.col("ts")
     return table(spark, root, "events").select("event_id", TM.hour_of(at).alias("event_hour"), TM.day_of(at).alias("event_day"))

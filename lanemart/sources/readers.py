@@ -26,11 +26,16 @@ class Sources:
     spark: SparkSession
     parquet_root: str | None = None
     tables: Mapping[str, str] = field(default_factory=dict)
+    _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
         """Scan of a catalog table, or of ``<parquet_root>/<name>.parquet`` when a root is set."""
         if self.parquet_root is not None:
-            df = self.spark.read.parquet(f"{self.parquet_root}/{name}.parquet")
+            path = f"{self.parquet_root}/{name}.parquet"
+            if path not in self._schemas:
+                self._schemas[path] = self.spark.read.parquet(path).schema
+            # Every scan is its own relation, and the file schema is looked up once.
+            df = self.spark.read.schema(self._schemas[path]).parquet(path)
         else:
             df = self.spark.table(self.tables.get(name, name))
         return df.select(*columns) if columns else df
