@@ -479,7 +479,7 @@ def sink_roundtrip(spark, root) -> DataFrame:
     select o_orderkey, case when o_orderkey >= 700 then o_totalprice + 1 else o_totalprice end as o_totalprice
     from orders where o_orderkey < 700 or o_orderstatus <> 'P'""")
 def replace_since(spark, root) -> DataFrame:
-    path, start, width = _scratch(spark, "replace"), 700, 1000
+    path, start, width = _scratch(spark, "replace"), 700, 10_000
     orders = table(spark, root, "orders", "o_orderkey", "o_totalprice", "o_orderstatus")
     write_bucketed_by_id(orders.select("o_orderkey", "o_totalprice"), path, "o_orderkey", width)
     batch = bounds.since_id(orders, "o_orderkey", start).filter(F.col("o_orderstatus") != "P")

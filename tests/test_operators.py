@@ -32,10 +32,10 @@ def skewed(spark):
     return spark.createDataFrame(data, "id long, k string, t timestamp_ntz, v string, event boolean").cache()
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 86_400, 10**9])
-def test_asof_equals_join_form(skewed, bucket):
+@pytest.mark.parametrize(("bucket", "split"), [(60, 10**6), (86_400, 10**6), (86_400, 20), (10**9, 10**6), (10**9, 100)])
+def test_asof_equals_join_form(skewed, bucket, split):
     probes, events = skewed.filter(~F.col("event")), skewed.filter("event")
-    got = scan.asof_before(probes, events, "k", "t", "t", "v", "then", ["id"], default="none", bucket_seconds=bucket)
+    got = scan.asof_before(probes, events, "k", "t", "t", "v", "then", ["id"], default="none", bucket_seconds=bucket, split_rows=split)
     e = events.select("k", F.col("t").alias("et"), F.col("v").alias("ev"))
     newest = Window.partitionBy("id").orderBy(F.col("et").desc(), F.col("ev").desc())
     plain = (
@@ -52,11 +52,11 @@ def test_asof_edges(spark):
     assert rows(got, "id") == [(1, "n"), (2, "none"), (3, "none")]
 
 
-@pytest.mark.parametrize("bucket", [600, 86_400, 10**9])
-def test_lane_match_equals_join_form(skewed, bucket):
+@pytest.mark.parametrize(("bucket", "split"), [(600, 10**6), (86_400, 7), (10**9, 10**6), (10**9, 100)])
+def test_lane_match_equals_join_form(skewed, bucket, split):
     demands = skewed.select("id", "k", "v", "t")
     supply = skewed.filter("event").select("k", "v", (F.col("id") % 40).alias("op"), F.col("t").alias("start"))
-    got = scan.lane_match_count(demands, supply, ["k", "v"], "op", "start", "id", "t", "n", bucket_seconds=bucket)
+    got = scan.lane_match_count(demands, supply, ["k", "v"], "op", "start", "id", "t", "n", bucket_seconds=bucket, split_rows=split)
     want = demands.join(supply, on=["k", "v"]).filter(F.col("t") >= F.col("start")).groupBy("id").agg(F.count_distinct("op").alias("n"))
     assert rows(got, "id") == rows(want, "id")
 
@@ -68,6 +68,17 @@ def test_lane_match_edges(spark):
     assert rows(got, "id") == [(1, 1)]
 
 
+def test_crowded_buckets_are_split(skewed):
+    """With one bucket for all times, no window group keeps more than a part of the hot key's probes."""
+    asking = skewed.filter("k is not null").withColumn("b", F.lit(0))
+    parts = scan._crowded(asking, ["k", "b"], 100)
+    assert {r.k for r in parts.collect()} >= {"hot"}
+    own = F.array(F.pmod(F.xxhash64("id"), F.col("__parts")))
+    spread = scan._in_parts(asking, parts, ["k", "b"], own)
+    assert spread.count() == asking.count()
+    assert spread.groupBy("k", "b", "__part").count().agg(F.max("count")).first()[0] < 160
+
+
 @pytest.mark.parametrize("width", [7, 1000, 1 << 20])
 def test_running_sum_equals_window(skewed, width):
     amount = F.when(F.col("v") == "P", 1).otherwise(0)
