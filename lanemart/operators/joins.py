@@ -2,7 +2,7 @@
 
 No join here carries a broadcast hint: whether a side is broadcast is decided by Spark from the side's
 estimated or measured size, and beyond the threshold it falls back to a shuffled join whose skewed
-partitions are split. The one hint in the package is on literal dimensions, whose size is fixed in code.
+partitions are split.
 """
 
 from __future__ import annotations

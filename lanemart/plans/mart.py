@@ -16,6 +16,9 @@ from lanemart.plans import consigners as G
 from lanemart.plans import geography, pricing, supply, vehicles
 from lanemart.plans.spine import demand_spine, live_demands, ptl_flag
 
+#: Cuts the lineage of a frame, or returns it as it is.
+Cut = Callable[[DataFrame], DataFrame]
+
 #: Output columns and types, in order.
 OUTPUT = {
     "demand_id": "bigint", "demand_date": "timestamp_ntz", "app_version": "int", "dr_type": "string",
@@ -72,7 +75,9 @@ def placed_spine(src: Mapping[str, DataFrame], params: MartParams) -> DataFrame:
     )
 
 
-def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams) -> list[DataFrame]:
+def demand_parts(
+    src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams, cut: Cut = lambda df: df
+) -> list[DataFrame]:
     """Frames with one row per demand; ``wide`` is the placed spine, of which the parts read a few columns."""
     latest = C.consignment_summary(
         src["consignments"], src["consignment_state"], src["consignment_expense"], params
@@ -100,7 +105,7 @@ def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartPara
         G.fulfilled_rank(src["demands"], params),
         G.restriction_asof(demand_spine(src["demands"], params), milestones, src["restrictions"], params),
         supply.search_supply(src["search_supply"]),
-        supply.supply_match(wide, lanes, params),
+        supply.supply_match(wide, cut(lanes), params),
         supply.engagement([src["app_events_1"], src["app_events_2"], src["app_events_3"]], params),
         supply.delivered_pct(src["notifications"], params),
         pricing.demand_rates(wide, catalog),
@@ -158,18 +163,16 @@ def with_outcome(df: DataFrame, params: MartParams) -> DataFrame:
     )
 
 
-def build_mart(
-    src: Mapping[str, DataFrame], params: MartParams, cut: Callable[[DataFrame], DataFrame] = lambda df: df
-) -> DataFrame:
+def build_mart(src: Mapping[str, DataFrame], params: MartParams, cut: Cut = lambda df: df) -> DataFrame:
     """One typed row per live demand.
 
     Only narrow rows travel by other keys than the demand id: the parts are joined to the bare ids, where
     they share one partitioning, and the wide spine moves there once, for the last join. ``cut`` is applied
-    to the placed spine, which several branches read: pass :func:`lanemart.sinks.lake.materialize` on a
-    cluster.
+    to the placed spine and the supply lanes, which several branches read: pass
+    :func:`lanemart.sinks.lake.materialize` on a cluster.
     """
     wide = cut(placed_spine(src, params))
     ids = live_demands(src["demands"], params).select(F.col("id").alias("demand_id"))
-    parts = enrich(ids, demand_parts(src, wide, params), "demand_id")
+    parts = enrich(ids, demand_parts(src, wide, params, cut), "demand_id")
     joined = geography.with_regions(wide, params).join(parts, on="demand_id", how="left")
     return finalize(with_outcome(joined, params))

@@ -14,7 +14,7 @@ from lanemart.plans import pricing, vehicles
 from lanemart.plans.spine import demand_spine
 from lanemart.queries import query
 from lanemart.queries.helpers import Frames, rounded
-from lanemart.sinks.lake import arrays_to_text
+from lanemart.sinks.lake import arrays_to_text, materialize
 from lanemart.standin import PARAMS
 
 
@@ -212,5 +212,8 @@ MART_SQL = """
 
 @query(MART_SQL)
 def mart(spark, root) -> DataFrame:
-    """The flagship: the whole mart, arrays as text, money to four decimals."""
-    return rounded(arrays_to_text(M.build_mart(Frames(spark, root), PARAMS)))
+    """The flagship: the whole mart, arrays as text, money to four decimals.
+
+    The spine and the lanes are written to the shared folder once, as on a cluster.
+    """
+    return rounded(arrays_to_text(M.build_mart(Frames(spark, root), PARAMS, cut=materialize)))
