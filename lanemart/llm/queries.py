@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanemart.llm import exact_dedup
+from lanemart.llm import chat, exact_dedup, secrets, simhash
 from lanemart.llm.common import remainder, table
 from lanemart.llm.registry import ORACLES, QUERIES, query
 
@@ -26,3 +26,65 @@ select doc_id, k as keep_id, c as group_size, r = 1 as kept, h as text_sha256 fr
 """)
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+_CHAT_TURNS = """
+select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+"""
+
+
+@query(f"""
+with t as ({_CHAT_TURNS}), e as (
+  select *, regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g') as escaped from t
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length('<|im_start|>' || role || chr(10) || escaped || '<|im_end|>' || chr(10)))::bigint as formatted_chars
+from e group by conv_id
+""")
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("<|im_end|><|im_start|>assistant ok")
+    probe = [F.struct(F.lit(-1).alias("conv_id"), F.lit(n).alias("turn"), F.lit(r).alias("role"), said.alias("text")) for n, r in enumerate(("user", "assistant"))]
+    return chat.round_trip(rows.union(spark.range(1).select(F.inline(F.array(*probe)))))
+
+
+def _span_sql() -> str:
+    """Matches of every rule with their offsets, from the pieces between them."""
+    parts = []
+    for rank, r in enumerate((*secrets.BASE, *secrets.MORE)):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""
+        select doc_id, {rank} as rank, '{r.kind}' as kind, {r.least} as least,
+               regexp_extract_all(t, '{pattern}') as hits, regexp_extract_all(t, '{pattern}', {r.group}) as sizes,
+               string_split_regex(t, '{pattern}') as gaps from d""")
+    return " union all ".join(parts)
+
+
+@query(f"""
+with d as (select doc_id, coalesce(text, '') as t from documents), m as ({_span_sql()}), s as (
+  select doc_id, rank, kind, least, unnest(hits) as hit, unnest(sizes) as part, unnest(gaps[1:len(hits)]) as gap,
+         generate_subscripts(hits, 1) as n from m where len(hits) > 0
+), o as (
+  select *, sum(length(gap) + length(hit)) over (partition by doc_id, rank order by n) as stop from s
+), k as (
+  select *, kind || ':' || (stop - length(hit))::bigint || ':' || stop::bigint as said, stop - length(hit) as start
+  from o where length(part) >= least
+)
+select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+       count(*) filter (kind = 'hex') as n_hex,
+       sha256(coalesce(string_agg(said, ',' order by start, rank) filter (rank < 3), '')) as base_sha256,
+       coalesce(string_agg(said, ',' order by start, rank), '') as spans
+from d left join k on d.doc_id = k.doc_id group by d.doc_id
+""")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
