@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanemart.llm import chat, exact_dedup, secrets, simhash
+from lanemart.llm import chat, decontaminate, exact_dedup, secrets, simhash
 from lanemart.llm.common import remainder, table
 from lanemart.llm.registry import ORACLES, QUERIES, query
 
@@ -88,3 +88,8 @@ from d left join k on d.doc_id = k.doc_id group by d.doc_id
 """)
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
