@@ -37,3 +37,18 @@ def remainder(id_column: str, divisor: int) -> Column:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only after counting: up to ``rows`` rows, else leave the join to a shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+#: Rows of whole texts that go to a Python worker at a time.
+TEXT_ROWS = 256
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """The frame, in a session that hands texts to Python workers in batches of ``TEXT_ROWS``.
+
+    The default of 10,000 rows is meant for numbers; with texts such a batch takes hundreds of megabytes, on
+    both sides. A session with a smaller setting keeps it.
+    """
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name, "10000")) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df

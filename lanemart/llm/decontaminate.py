@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanemart.llm.common import cut
+from lanemart.llm.common import cut, text_batches
 
 #: Words of benchmark text in one automaton.
 BLOCK_WORDS = 400_000
@@ -136,7 +136,10 @@ class SuffixAutomaton:
                 state = matched = 0
                 continue
             if matched >= window:
-                ranges.append((k + 1 - matched, k + 1))
+                first = k + 1 - matched
+                if ranges and ranges[-1][0] == first:
+                    ranges.pop()
+                ranges.append((first, k + 1))
                 at = state
                 while length[link[at]] >= window:
                     at = link[at]
@@ -223,7 +226,7 @@ def _pass(docs: DataFrame, automaton: SuffixAutomaton, last: bool) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     found = "n_words long, edges array<long>, items array<string>"
-    return docs.select("id", "text", "edges", "items").mapInArrow(each, f"id {kind}, {found}" + ("" if last else ", text string"))
+    return text_batches(docs.select("id", "text", "edges", "items")).mapInArrow(each, f"id {kind}, {found}" + ("" if last else ", text string"))
 
 
 def match_table(
@@ -272,7 +275,7 @@ def _cut_pass(docs: DataFrame, automaton: SuffixAutomaton, at: int) -> DataFrame
             columns[-1] = pa.array(words, pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(each, docs.schema)
+    return text_batches(docs).mapInArrow(each, docs.schema)
 
 
 def clean(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanemart.llm import chat, decontaminate, exact_dedup, secrets, simhash
+from lanemart.llm import chat, decontaminate, exact_dedup, quality, secrets, simhash, toxicity
 from lanemart.llm.common import remainder, table
 from lanemart.llm.registry import ORACLES, QUERIES, query
 
@@ -93,3 +93,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _judged(scored: DataFrame, divisor: int, held: int) -> DataFrame:
+    return scored.select(
+        "doc_id", (remainder("doc_id", divisor) == held).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    return _judged(quality.score(docs, model), 3, 1)
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return _judged(toxicity.score(docs, model).drop("text"), 5, 0)

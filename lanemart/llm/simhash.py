@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanemart.llm.common import cut
+from lanemart.llm.common import cut, text_batches
 from lanemart.llm.components import components
 
 BITS = 64
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, size: int) -
             fps = [fingerprint(t.as_py(), size) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
-    return rows.mapInArrow(each, f"id {docs.schema[id_column].dataType.simpleString()}, fp long")
+    return text_batches(rows).mapInArrow(each, f"id {docs.schema[id_column].dataType.simpleString()}, fp long")
 
 
 def _signed(bits: int) -> int:

@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lanemart.llm.common import text_batches
+
 #: Labelled rows of each label that the fit looks at, at most.
 SAMPLE = 1500
 #: Length of the subsequences, and weight of a letter they span.
@@ -72,12 +74,39 @@ def pieces(unit: str) -> list[str]:
     return [unit[k : k + WIDTH] for k in range(0, len(unit) - WIDTH // 2, WIDTH // 2)]
 
 
+def _recursion(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The kernel of pairs of coded texts; a row of ``s`` and ``t`` holds one letter of every pair."""
+    n, levels = s.shape[1], ORDER - 1
+    square, decay = np.float32(DECAY * DECAY), np.float32(DECAY)
+    # prefix[j, k]: common subsequences of k letters that end before letter j of the landmark.
+    prefix = np.zeros((len(t) + 1, ORDER, n), dtype=np.float32)
+    prefix[:, 0] = 1
+    total = np.zeros(n, dtype=np.float32)
+    for c in s:
+        same = (t == c) * square
+        run = np.zeros((levels, n), dtype=np.float32)
+        before = prefix[0].copy()
+        for j in range(len(t)):
+            step = before * same[j]
+            total += step[levels]
+            run *= decay
+            run += step[:levels]
+            here = prefix[j + 1]
+            before = here.copy()
+            here[1:] *= decay
+            here[1:] += run
+    return total
+
+
 class Kernel:
     """Kernel values of units against fixed landmarks."""
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
         self.alphabet = {c: n + 1 for n, c in enumerate(sorted(set("".join(landmarks))))}
+        self.table = np.zeros(0x110000, dtype=np.uint8)
+        for c, n in self.alphabet.items():
+            self.table[ord(c)] = n
         self.codes = self._encode(landmarks, max(map(len, landmarks), default=1), pad=255)
         masks = np.zeros((256, len(landmarks)), dtype=np.uint16)
         for m, text in enumerate(landmarks):
@@ -92,35 +121,17 @@ class Kernel:
         self.norms = np.diag(self.gram).copy()
 
     def _encode(self, units: list[str], width: int, pad: int) -> np.ndarray:
-        table = self.alphabet
-        out = np.full((len(units), width), pad, dtype=np.uint8)
-        for row, u in zip(out, units):
-            row[: len(u)] = [table.get(c, 0) for c in u]
+        """Letters of the landmarks by number, other letters as 0, one row per unit."""
+        wide = "".join([u.ljust(width) for u in units]).encode("utf-32-le", "surrogatepass")
+        points = np.frombuffer(wide, dtype=np.uint32).reshape(len(units), width)
+        out = self.table[points]
+        if pad:
+            out[points == 0x20] = pad
         return out
 
     def _recursion(self, codes: np.ndarray, rows: np.ndarray, marks: np.ndarray) -> np.ndarray:
         """The kernel of units ``rows`` with landmarks ``marks``, pair by pair."""
-        s, t = codes[rows].T, self.codes[marks].T
-        n, levels = len(rows), ORDER - 1
-        square, decay = np.float32(DECAY * DECAY), np.float32(DECAY)
-        # prefix[j, k]: common subsequences of k letters that end before letter j of the landmark.
-        prefix = np.zeros((len(t) + 1, ORDER, n), dtype=np.float32)
-        prefix[:, 0] = 1
-        total = np.zeros(n, dtype=np.float32)
-        for c in s:
-            same = (t == c) * square
-            run = np.zeros((levels, n), dtype=np.float32)
-            before = prefix[0].copy()
-            for j in range(len(t)):
-                step = before * same[j]
-                total += step[levels]
-                run *= decay
-                run += step[:levels]
-                here = prefix[j + 1]
-                before = here.copy()
-                here[1:] *= decay
-                here[1:] += run
-        return total
+        return _recursion(codes[rows].T, self.codes[marks].T)
 
     def values(self, units: list[str]) -> np.ndarray:
         """``K(unit, landmark) / K(landmark, landmark)``, 1 for a unit that is the landmark."""
@@ -140,7 +151,11 @@ class Kernel:
             rows, marks = np.nonzero(common >= ORDER)
             for a in range(0, len(rows), 8192):
                 r, k = rows[a : a + 8192], marks[a : a + 8192]
-                out[own[r], k] = self._recursion(codes, r, k) / self.norms[k]
+                out[own[r], k] = self._recursion(codes, r, k) / np.sqrt(self.norms[k])
+            some = np.unique(rows)
+            mine = np.where(codes[some] == 0, 250, codes[some]).T
+            size = _recursion(codes[some].T, mine) if len(some) else np.zeros(0)
+            out[own[some]] /= np.sqrt(np.maximum(size, 1e-9))[:, None]
         return out
 
 
@@ -269,7 +284,7 @@ def logistic(x: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve, with smoothed targets so that a clean split stays finite."""
     n1, n0 = positive.sum(), (~positive).sum()
     target = np.where(positive, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    weight = np.where(positive, 0.5 / n1, 0.5 / n0)
+    weight = np.where(positive, 0.2 / n1, 0.8 / n0)
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
@@ -322,7 +337,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str, te
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["id", "y", "tokens"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    found = texts.select("id", F.col("y").cast("int"), "text").mapInArrow(each, f"id {kind}, y int, tokens array<string>")
+    found = text_batches(texts.select("id", F.col("y").cast("int"), "text")).mapInArrow(each, f"id {kind}, y int, tokens array<string>")
     # Ids with several texts or labels give several rows; the sample stays bounded all the same.
     return [(r["y"], set(r["tokens"])) for r in found.orderBy(F.xxhash64("id"), "id", "y").limit(2 * SAMPLE).collect()]
 
@@ -347,4 +362,4 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", name: str =
             column = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(each, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return text_batches(docs).mapInArrow(each, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
