@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanemart.llm import chat, decontaminate, exact_dedup, quality, secrets, simhash, toxicity
+from lanemart.llm import chat, decontaminate, exact_dedup, line_dedup, lm, mixing, quality, secrets, simhash, toxicity
 from lanemart.llm.common import remainder, table
 from lanemart.llm.registry import ORACLES, QUERIES, query
 
@@ -114,3 +114,74 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
     return _judged(toxicity.score(docs, model).drop("text"), 5, 0)
+
+
+def _lines_sql() -> str:
+    text = f"regexp_replace(coalesce(html, ''), '{line_dedup.UNSEEN}', ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{line_dedup.BREAKS}', chr(10), 'g'), '{line_dedup.TAGS}', '', 'g')"
+    for entity, char in line_dedup.ENTITIES:
+        text = "replace({}, '{}', '{}')".format(text, entity, char.replace("'", "''"))
+    text = rf"regexp_replace({text}, '[ \t\r\f\x0b]+', ' ', 'g')"
+    return f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+@query(f"""
+with l as (
+  select page_id, lower(coalesce(regexp_extract(url, '{line_dedup.HOST}', 1), '')) as host, {_lines_sql()} as lines,
+         row_number() over () as n from pages
+), t as (select host, count(*) as total from l group by host),
+h as (select host, line, count(*) as pages from (select distinct n, host, unnest(lines) as line from l) group by host, line),
+b as (select h.host, line from h join t using (host) where pages >= 3 and pages > 0.3 * total),
+e as (select n, host, unnest(lines) as line, generate_subscripts(lines, 1) as k from l where len(lines) > 0),
+k as (
+  select e.n, count(*) filter (b.line is not null) as dropped,
+         coalesce(string_agg(e.line, chr(10) order by k) filter (b.line is null), '') as text
+  from e left join b on e.host = b.host and e.line = b.line group by e.n
+)
+select page_id, host, len(lines)::bigint as n_lines, coalesce(dropped, 0)::bigint as n_dropped, coalesce(text, '') as text
+from l left join k using (n)
+""")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
+
+
+@query("""
+with recursive sizes as (
+  select coalesce(source, '') as s, pow(count(*), 0.7) as w from documents group by 1
+), exact as (
+  select s, (1000 - count(*) over ()) * (w / sum(w) over ()) as x, count(*) over () as n from sizes
+), rounded as (
+  select s, floor(x) as f, row_number() over (order by floor(x) - x, s) as r, 1000 - n - sum(floor(x)) over () as late from exact
+), shares as (select s, (1 + f + case when r <= late then 1 else 0 end)::bigint as share, row_number() over (order by s) as i from rounded),
+lists as (select list(share order by s) as a from shares),
+picks(t, done, pick) as (
+  select -1::bigint, (select list_transform(a, lambda x: 0::bigint) from lists), 0::bigint
+  union all
+  select t + 1, list_transform(done, lambda d, i: case when i = p then d + 1 else d end), p
+  from (
+    select t, done, list_position(due, list_min(due))::bigint as p
+    from (
+      select t, done, list_transform(a, lambda x, i: case when done[i] < x and done[i] * 1000 // x <= t + 1
+             then ((done[i] + 1) * 1000 + x - 1) // x else 1000000 end) as due
+      from picks, lists where t < 999
+    )
+  )
+), plan as (select pick as i, done[pick] - 1 as k, t from picks where pick > 0),
+ranked as (
+  select doc_id, coalesce(source, '') as s,
+         row_number() over (partition by coalesce(source, '') order by md5(coalesce(doc_id::varchar, '')), doc_id) - 1 as r
+  from documents
+)
+select doc_id, r.s as source, share::integer as share, r // 16 as block, (r // 16) // share * 1000 + plan.t as slot, r % 16 as "offset"
+from ranked r join shares using (s) join plan on plan.i = shares.i and plan.k = (r // 16) % share
+""")
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    return mixing.mix(docs)
+
+
+@query()
+def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = remainder("doc_id", 7) == 2
+    scored = lm.score(table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -9,8 +9,7 @@
 4. A bucket of the join with more than ``CROWD`` nodes (many near copies of one text) would give pairs with the
    square of its size. For those an exact way of linear size: two fingerprints are within ``distance`` bits
    exactly if some value is within half of it of both, so each node is joined to the values around it, and
-   linked to the smallest node that meets it there. (For an odd distance the values of the larger half go with
-   the smaller half of the other side, see ``_around``.) Those links connect the same nodes as all pairs would.
+   linked to the smallest node that meets it there. Those links connect the same nodes as all pairs would.
 5. Components of the links, by star operations.
 
 Defined cases: null text counts as empty and has fingerprint zero, which is linked like any other. Repeated
@@ -92,8 +91,9 @@ def _flips(distance: int) -> list[int]:
 def _around(crowded: DataFrame, distance: int) -> DataFrame:
     """Links of nodes to the smallest node within ``distance`` by way of a value that lies between them.
 
-    Values within half the distance, rounded down, of both sides serve an even distance. For an odd one, values
-    within the larger half stand for the side ``near``, those within the smaller half for the side ``far``.
+    Of two nodes within ``distance``, some value is within half of it, rounded down, of the one and within the
+    rest of it of the other. So the smallest node is found among those near a value, and the others join from
+    the larger radius.
     """
     low, high = distance // 2, distance - distance // 2
     near = crowded.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _flips(low)])).alias("at"))
