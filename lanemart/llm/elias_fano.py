@@ -5,6 +5,24 @@ from __future__ import annotations
 import mmap
 
 import numpy as np
+import pandas as pd
+
+
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the place of each value among them."""
+    codes, found = pd.factorize(values, sort=True)
+    return found, codes
+
+
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin in sorted arrays."""
+    if not len(keys[0]):
+        return np.zeros(0, dtype=np.int64)
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
 
 class EliasFano:
@@ -34,10 +52,8 @@ class EliasFano:
         if not self.shift:
             return np.zeros(len(at), dtype=np.uint64)
         bit = at.astype(np.int64) * self.shift
-        byte, out = bit >> 3, np.zeros(len(at), dtype=np.uint64)
-        for k in range(8):
-            out |= self.low[byte + k].astype(np.uint64) << np.uint64(8 * k)
-        out >>= (bit & 7).astype(np.uint64)
+        eights = np.ndarray((len(self.low) - 7,), dtype="<u8", buffer=self.low, strides=(1,))  # 8 bytes from every byte on
+        out = eights[bit >> 3] >> (bit & 7).astype(np.uint64)
         return out & ((np.uint64(1) << np.uint64(self.shift)) - np.uint64(1))
 
     def _bounds(self) -> np.ndarray:
@@ -123,16 +139,15 @@ class Trie:
     weights of words and contexts.
     """
 
-    def __init__(self, first: np.ndarray, before: np.ndarray, last: np.ndarray, counts: np.ndarray, discount: float):
-        """From the distinct trigrams (before, first, last) of the training texts, as hashes, and their counts."""
-        vocabulary = np.unique(np.concatenate([before, last]))
-        self.vocabulary, self.size = EliasFano(vocabulary, 1 << 64), len(vocabulary) + 1
-        heads, h = np.unique(first, return_inverse=True)
-        self.words = EliasFano(heads, 1 << 64)
-        b = np.searchsorted(vocabulary, before)
-        w = np.searchsorted(vocabulary, last)
+    def __init__(self, words: np.ndarray, first: np.ndarray, before: np.ndarray, last: np.ndarray, counts: np.ndarray, discount: float):
+        """From the distinct trigrams (before, first, last) of the training texts and their counts; words go by
+        their places among the ascending hashes ``words``."""
+        self.vocabulary, self.size = EliasFano(words, 1 << 64), len(words) + 1
+        heads, h = numbered(first)
+        self.words = EliasFano(words[heads], 1 << 64)
+        b, w = before.astype(np.int64), last.astype(np.int64)
 
-        pairs, pair_of = np.unique(h * self.size + w, return_inverse=True)
+        pairs, pair_of = numbered(h * self.size + w)
         pair_count = np.bincount(pair_of, counts, len(pairs))
         pair_head = pairs // self.size
         head_count = np.bincount(pair_head, pair_count, len(heads))
@@ -144,11 +159,11 @@ class Trie:
         self.p2 = Quantised(np.log10(p2))
         self.back2 = Quantised(np.log10(discount * head_kinds / np.maximum(head_count, 1)))
 
-        contexts, c = np.unique(h * self.size + b, return_inverse=True)
+        contexts, c = numbered(h * self.size + b)
         self.contexts = EliasFano(contexts, len(heads) * self.size + 1)
         rank = pair_of - first_of[h]
         self.width = int(rank.max()) + 1 if len(rank) else 1
-        grams, gram_of = np.unique(c * self.width + rank, return_inverse=True)
+        grams, gram_of = numbered(c * self.width + rank)
         gram_count = np.bincount(gram_of, counts, len(grams))
         gram_context = grams // self.width
         context_count = np.bincount(gram_context, gram_count, len(contexts))
@@ -162,13 +177,13 @@ class Trie:
         levels = (self.vocabulary, self.words, self.bigrams, self.firsts, self.contexts, self.trigrams)
         _mapped([(x, n) for x in levels for n in ("low", "upper")] + [(q, "codes") for q in (self.p2, self.p3, self.back2, self.back3)])
 
-    def query(self, first: np.ndarray, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def query(self, words: np.ndarray, first: np.ndarray, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log10 probability of each trigram as far as it is known here, and whether the last word's own
-        probability is still to be added."""
+        probability is still to be added. Words go by their places among the hashes ``words``."""
         out, open_ = np.zeros(len(first)), np.ones(len(first), dtype=bool)
-        h, b, w = self.words.find(first), self.vocabulary.find(before), self.vocabulary.find(last)
-        known = np.flatnonzero(h >= 0)
-        h, b, w = h[known], b[known], w[known]
+        own, head = self.vocabulary.find(words), self.words.find(words)
+        known = np.flatnonzero(head[first] >= 0)
+        h, b, w = head[first[known]], own[before[known]], own[last[known]]
 
         def child(level: EliasFano, parent: np.ndarray, own: np.ndarray, size: int) -> np.ndarray:
             at = np.full(len(parent), -1, dtype=np.int64)

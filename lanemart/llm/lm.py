@@ -19,8 +19,9 @@ matter how rows are batched when a lost task is run again. Nothing is broadcast;
 from the bytes of text (``SHARD_BYTES``). Blocks aggregate within a batch, so a word or n-gram that is everywhere
 costs one entry per batch and text, not one per occurrence.
 
-Words are known by 64-bit hashes of their bytes. Two words share a hash with a probability of about
-(words squared) / 2^65: 10^-6 for ten million words.
+Words are known by 64-bit hashes of their bytes; two of ten million words share one with a probability of about
+10^-6. In trigram blocks the upper 48 bits stand for a word: there a mistake takes two such words after the same
+word, and touches only their score.
 
 Tokens of a text: its words ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z, then one end.
 P(w | u v) is (c(u v w) - D) / c(u v) if the trigram was seen, else the context's back-off weight times P(w | v);
@@ -45,17 +46,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanemart.llm.common import cut, text_batches
-from lanemart.llm.elias_fano import Trie
+from lanemart.llm.elias_fano import Trie, numbered, runs
 
 #: Bytes of text per shard of the trie, of the unigrams, and per part of the sums.
 SHARD_BYTES, WORD_BYTES, PART_BYTES = 16 << 20, 64 << 20, 64 << 20
 #: Tokens that a task gathers before it sends blocks.
-GATHER = 1_500_000
+GATHER = 1_000_000
+#: N-grams that a shard works on at a time.
+RANGE = 400_000
 #: Bytes of text hashed at a time.
 PIECE = 4 << 20
 DISCOUNT = 0.75
 
 BEGIN, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+_UPPER = np.uint64(0xFFFF_FFFF_FFFF_0000)
 _PRIME = np.uint64(0x100000001B3)
 _INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 
@@ -121,12 +125,13 @@ def _space(data: bytes, at: int) -> int:
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed block; bytes of equal weight stand together."""
+    """Arrays as one compressed block: ascending ones as differences, and bytes of equal weight together."""
     parts = []
     for name, a in arrays.items():
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T if len(a) else np.zeros((a.dtype.itemsize, 0), np.uint8)
-        head = f"{name} {a.dtype.str} {len(a)}".encode()
-        parts += [len(head).to_bytes(2, "little"), head, planes.tobytes()]
+        if a.dtype.kind == "u" and len(a) > 1 and (a[1:] >= a[:-1]).all():
+            name, a = f"+{name}", np.concatenate((a[:1], a[1:] - a[:-1]))
+        octets, head = np.ascontiguousarray(a).view(np.uint8), f"{name} {a.dtype.str} {len(a)}".encode()
+        parts += [len(head).to_bytes(2, "little"), head, *(octets[k :: a.dtype.itemsize].tobytes() for k in range(a.dtype.itemsize))]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
@@ -136,8 +141,11 @@ def _unpack(block: bytes) -> dict[str, np.ndarray]:
         n = int.from_bytes(data[at : at + 2], "little")
         name, kind, size = data[at + 2 : at + 2 + n].decode().split()
         at, size, width = at + 2 + n, int(size), np.dtype(kind).itemsize
-        planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
-        out[name] = np.ascontiguousarray(planes.T).view(kind).ravel()
+        octets = np.empty(size * width, dtype=np.uint8)
+        for k in range(width):
+            octets[k::width] = np.frombuffer(data, np.uint8, size, at + k * size)
+        values = octets.view(kind)
+        out[name.lstrip("+")] = np.cumsum(values, dtype=values.dtype) if name[0] == "+" else values
         at += size * width
     return out
 
@@ -152,17 +160,6 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(24)) * np.uint64(shards) >> np.uint64(40)).astype(np.int64)
 
 
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    """Where runs of equal keys begin in sorted arrays."""
-    if not len(keys[0]):
-        return np.zeros(0, dtype=np.int64)
-    new = np.zeros(len(keys[0]), dtype=bool)
-    new[0] = True
-    for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(new)
-
-
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Tokens of many texts together: (hash of each token, number of its text, text keys, training flags)."""
     hasher, tokens, owners, keys, flags, size = Hasher(), [], [], [], [], 0
@@ -189,29 +186,47 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
         yield gathered()
 
 
-def _block(at: slice, entry: slice, words: np.ndarray, fields: dict[str, np.ndarray], texts: dict[str, np.ndarray], keys, flags) -> bytes:
-    """A block of entries: distinct n-grams (``fields``, as numbers of words) and the texts each is in."""
-    used, places = np.unique(np.concatenate([f[at] for f in fields.values()]), return_inverse=True)
-    named = dict(zip(fields, np.split(places, len(fields))))
-    owners, owner = np.unique(texts["owner"][entry], return_inverse=True)
-    return _pack(
-        words=words[used], **{n: _small(p) for n, p in named.items()}, of=_small(texts["of"][entry] - at.start),
-        owner=_small(owner), times=_small(texts["times"][entry]), keys=keys[owners], flags=flags[owners].view(np.uint8),
-    )
-
-
 def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.ndarray, words: np.ndarray, shards: int, keys, flags):
-    """Blocks by shard of n-grams given as numbers of words; the first of an n-gram decides on its shard."""
-    order = np.lexsort(grams[::-1])  # stable, and tokens come in the order of their texts
-    grams, owner = tuple(g[order] for g in grams), owner[order]
-    entries, distinct = _runs(*grams, owner), _runs(*grams)
-    times = np.diff(np.concatenate((entries, [len(owner)])))
-    texts = {"owner": owner[entries], "of": np.searchsorted(distinct, entries, side="right") - 1, "times": times}
+    """Blocks by shard of n-grams given as numbers of words; the first of an n-gram decides on its shard.
+
+    A block has the hashes of its words, its distinct n-grams in order, and its entries: an n-gram, a text that
+    has it, and how many times.
+    """
+    bits = int(len(words)).bit_length()
+    if bits * len(grams) < 64:
+        key = np.zeros(len(owner), dtype=np.uint64)
+        for g in grams:
+            key = (key << np.uint64(bits)) | g.astype(np.uint64)
+        order = np.argsort(key)
+    else:
+        order = np.lexsort(grams[::-1])
+    grams = tuple(g[order] for g in grams)
+    distinct = runs(*grams)
+    of = np.zeros(len(owner), dtype=np.uint64)
+    of[distinct[1:]] = 1
+    pair = np.sort((np.cumsum(of, dtype=np.uint64) << np.uint64(32)) | owner[order].astype(np.uint64))
+    entries = runs(pair)
+    times = np.diff(np.concatenate((entries, [len(pair)])))
+    of, owner = (pair[entries] >> np.uint64(32)).astype(np.int64), (pair[entries] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     fields = {n: g[distinct] for n, g in zip(names, grams)}
     shard = shard_of(words[fields[names[0]]], shards)
-    for a, b in zip(starts := _runs(shard), [*starts[1:], len(shard)]):
-        lo, hi = np.searchsorted(texts["of"], [a, b])
-        yield int(shard[a]), _block(slice(a, b), slice(lo, hi), words, fields, texts, keys, flags)
+    place = np.zeros(max(len(words), len(keys)), dtype=np.int64)
+
+    def local(size: int, *arrays: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The numbers that the arrays use, and the arrays by places among those."""
+        mark = np.zeros(size, dtype=bool)
+        for a in arrays:
+            mark[a] = True
+        used = np.flatnonzero(mark)
+        place[used] = np.arange(len(used))
+        return used, [_small(place[a]) for a in arrays]
+
+    for a, b in zip(starts := runs(shard), [*starts[1:], len(shard)]):
+        lo, hi = np.searchsorted(of, [a, b])
+        used, own = local(len(words), *(f[a:b] for f in fields.values()))
+        owners, (mine,) = local(len(keys), owner[lo:hi])
+        block = {"words": words[used], **dict(zip(names, own)), "of": _small(of[lo:hi] - a), "owner": mine, "times": _small(times[lo:hi])}
+        yield int(shard[a]), _pack(**block, keys=keys[owners], flags=flags[owners].view(np.uint8))
 
 
 def _sent(kind: str, rows) -> Iterator[pa.RecordBatch]:
@@ -225,7 +240,7 @@ _SENT = "kind string, shard long, block binary"
 def _trigram_blocks(rows: DataFrame, shards: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, owner, keys, flags in _batches(batches):
-            words, w = np.unique(np.concatenate(([BEGIN], tokens)), return_inverse=True)
+            words, w = numbered(np.concatenate(([BEGIN], tokens)) & _UPPER)
             begin, w = w[0], w[1:].astype(np.int32)
             one, two = np.roll(w, 1), np.roll(w, 2)
             first = np.concatenate(([True], owner[1:] != owner[:-1]))
@@ -239,7 +254,7 @@ def _trigram_blocks(rows: DataFrame, shards: int) -> DataFrame:
 def _word_blocks(rows: DataFrame, shards: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, owner, keys, flags in _batches(batches):
-            words, w = np.unique(tokens, return_inverse=True)
+            words, w = numbered(tokens)
             yield from _sent("words", _blocks((w.astype(np.int32),), ("word",), owner, words, shards, keys, flags))
 
     return rows.mapInArrow(each, _SENT)
@@ -264,39 +279,65 @@ def _meet(blocks: DataFrame, shards: int) -> DataFrame:
     return blocks.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
 
-def _joined(blocks: list[dict[str, np.ndarray]], names: tuple[str, ...]) -> dict[str, np.ndarray]:
-    """Several blocks as one: n-grams as hashes, entries with numbers of n-grams and of texts."""
-    out: dict[str, list[np.ndarray]] = {n: [] for n in (*names, "of", "owner", "times", "keys", "flags")}
-    grams = texts = 0
-    for b in blocks:
-        for n in names:
-            out[n].append(b["words"][b[n]])
-        out["of"].append(b["of"].astype(np.int64) + grams)
-        out["owner"].append(b["owner"].astype(np.int64) + texts)
-        out["times"].append(b["times"].astype(np.float64))
-        out["keys"].append(b["keys"])
-        out["flags"].append(b["flags"] > 0)
-        grams, texts = grams + len(b[names[0]]), texts + len(b["keys"])
-    return {n: np.concatenate(a) for n, a in out.items()}
-
-
-def _training_grams(x: dict[str, np.ndarray], names: tuple[str, ...]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct n-grams of training texts and their counts."""
-    counts = np.bincount(x["of"], x["times"] * x["flags"][x["owner"]], len(x[names[0]]))
+class Shard:
+    """The blocks of a shard, and the texts they name."""
+
+    def __init__(self, blocks: list[dict[str, np.ndarray]], names: tuple[str, ...]):
+        self.blocks, self.names = blocks, names
+        self.keys, places = numbered(np.concatenate([b["keys"] for b in blocks]))
+        self.flags = np.zeros(len(self.keys), dtype=bool)
+        self.flags[places] = np.concatenate([b["flags"] for b in blocks]) > 0
+        self.owners = np.split(places, np.cumsum([len(b["keys"]) for b in blocks])[:-1])
+        self.heads = [b["words"][b[names[0]]] for b in blocks]
+
+    def ranges(self):
+        """The n-grams in ranges of their first word, all blocks together, about ``RANGE`` at a time.
+
+        For each range: hashes of its words in order, the n-grams by places among them (one column per name), the
+        entries as (n-gram, text, times), and the training count of every n-gram.
+        """
+        least, most = min(int(h[0]) for h in self.heads), max(int(h[-1]) for h in self.heads) + 1
+        parts = 1 + sum(map(len, self.heads)) // RANGE
+        cuts = np.array([least + (most - least) * k // parts for k in range(parts)], dtype=np.uint64)
+        bounds = [np.append(np.searchsorted(h, cuts), len(h)) for h in self.heads]
+        for k in range(parts):
+            hashes, of, owner, times, grams = [], [], [], [], 0
+            for b, owners, bound in zip(self.blocks, self.owners, bounds):
+                lo, hi = int(bound[k]), int(bound[k + 1])
+                if lo == hi:
+                    continue
+                e, f = np.searchsorted(b["of"], [lo, hi])
+                hashes.append([b["words"][b[n][lo:hi]] for n in self.names])
+                of.append(b["of"][e:f].astype(np.int64) - lo + grams)
+                owner.append(owners[b["owner"][e:f]])
+                times.append(b["times"][e:f].astype(np.float64))
+                grams += hi - lo
+            if grams:
+                words, places = numbered(np.concatenate([np.concatenate(h) for h in zip(*hashes)]))
+                of, owner, times = np.concatenate(of), np.concatenate(owner), np.concatenate(times)
+                counts = np.bincount(of, times * self.flags[owner], grams)
+                yield words, np.split(places, len(self.names)), of, owner, times, counts
+
+
+def _training_grams(size: int, columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct n-grams of training texts and their counts; ``size`` words are numbered."""
     own = np.flatnonzero(counts > 0)
-    own = own[np.lexsort([x[n][own] for n in names])]
-    columns = [x[n][own] for n in names]
-    starts = _runs(*columns)
-    return [c[starts] for c in columns], np.add.reduceat(counts[own], starts) if len(own) else np.zeros(0)
+    columns = [c[own] for c in columns]
+    key = columns[0]
+    for c in columns[1:]:
+        key = (key if size ** len(columns) < 1 << 63 else numbered(key)[1]) * size + c
+    order = np.argsort(key)
+    starts = runs(key[order])
+    firsts = order[starts]
+    return [c[firsts] for c in columns], np.add.reduceat(counts[own][order], starts) if len(own) else np.zeros(0)
 
 
 def _text_sums(keys: np.ndarray, parts: int, **values: np.ndarray):
-    """Blocks by part of the key of sums per text."""
-    keys, places = np.unique(keys, return_inverse=True)
-    values = {n: np.bincount(places, v, len(keys)) for n, v in values.items()}
+    """Blocks by part of the key of sums per text; ``keys`` ascend."""
     part = shard_of(keys, parts)
-    for a, b in zip(starts := _runs(part), [*starts[1:], len(part)]):
-        yield int(part[a]), _pack(keys=keys[a:b], **{n: v[a:b] for n, v in values.items()})
+    for a, b in zip(starts := runs(part), [*starts[1:], len(part)]):
+        own = np.any([v[a:b] != 0 for v in values.values()], axis=0)
+        yield int(part[a]), _pack(keys=keys[a:b][own], **{n: v[a:b][own] for n, v in values.items()})
 
 
 _TRIGRAM = ("first", "before", "last")
@@ -305,60 +346,62 @@ _TRIGRAM = ("first", "before", "last")
 def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, discount: float) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _by_shard(batches):
-            x = _joined([b for _, b in found], _TRIGRAM)
-            del found
-            (first, before, last), counts = _training_grams(x, _TRIGRAM)
-            trie = Trie(first, before, last, counts, discount)
-            value, open_ = trie.query(x["first"], x["before"], x["last"])
-            del trie
-            log = value[x["of"]] * x["times"]
-            yield from _sent("sums", _text_sums(x["keys"][x["owner"]], parts, score=log))
-            fallen = np.flatnonzero(open_[x["of"]])
-            words, w = np.unique(x["last"][x["of"][fallen]], return_inverse=True)
-            shard = shard_of(words, word_shards)[w]
-            order = np.lexsort((w, shard))
-            fallen, w, shard = fallen[order], w[order], shard[order]
-            yield from _sent("fallen", _fallen_blocks(x, fallen, words, w, shard))
+            shard = Shard([b for _, b in found], _TRIGRAM)
+            score, fallen = np.zeros(len(shard.keys)), []
+            for words, grams, of, owner, times, counts in shard.ranges():
+                known, numbers = _training_grams(len(words), grams, counts)
+                value, open_ = Trie(words, *known, numbers, discount).query(words, *grams)
+                score += np.bincount(owner, value[of] * times, len(score))
+                at = np.flatnonzero(open_[of])
+                fallen.append((words[grams[2][of[at]]], owner[at], times[at]))
+            yield from _sent("sums", _text_sums(shard.keys, parts, score=score))
+            yield from _sent("fallen", _fallen_blocks(shard.keys, *map(np.concatenate, zip(*fallen)), word_shards))
 
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
 
-def _fallen_blocks(x: dict[str, np.ndarray], fallen: np.ndarray, words: np.ndarray, w: np.ndarray, shard: np.ndarray):
-    for a, b in zip(starts := _runs(shard), [*starts[1:], len(shard)]):
-        used, word = np.unique(w[a:b], return_inverse=True)
-        owners, owner = np.unique(x["owner"][fallen[a:b]], return_inverse=True)
-        yield int(shard[a]), _pack(words=words[used], word=_small(word), owner=_small(owner), times=x["times"][fallen[a:b]].astype(np.uint32), keys=x["keys"][owners])
+def _fallen_blocks(keys: np.ndarray, hashes: np.ndarray, owner: np.ndarray, times: np.ndarray, shards: int):
+    """Blocks by shard of words that are to be looked up among single words, and the texts that want them."""
+    order = np.argsort(hashes)
+    hashes, owner, times = hashes[order], owner[order], times[order].astype(np.uint32)
+    shard = shard_of(hashes, shards)
+    for a, b in zip(starts := runs(shard), [*starts[1:], len(shard)]):
+        words, word = numbered(hashes[a:b])
+        owners, mine = numbered(owner[a:b])
+        yield int(shard[a]), _pack(words=words, word=_small(word), owner=_small(mine), times=_small(times[a:b]), keys=keys[owners])
 
 
 def _counts(blocks: DataFrame, shards: int, parts: int) -> DataFrame:
     """Per shard of words: what every text gets from them, and the shard's share of N and V."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, found in _by_shard(batches):
+        for number, found in _by_shard(batches):
             own = [b for kind, b in found if kind == "words"]
             if not own:
                 continue
-            x = _joined(own, ("word",))
-            (known,), counts = _training_grams(x, ("word",))
-
-            def count(words: np.ndarray, known=known, counts=counts) -> np.ndarray:
-                if not len(known):
-                    return np.zeros(len(words))
-                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                return np.where(known[at] == words, counts[at], 0.0)
-
-            c = count(x["word"])[x["of"]]
-            yield from _sent(
-                "sums",
-                _text_sums(
-                    x["keys"][x["owner"]], parts, base=np.log10(c + 1) * x["times"], n_tokens=x["times"],
-                    n_known=(c > 0) * x["times"], rows=(x["word"][x["of"]] == END).astype(float),
-                ),
-            )
-            yield from _sent("total", [(shard, _pack(total=np.array([counts.sum(), len(known)])))])
+            shard, known, numbers = Shard(own, ("word",)), [], []
+            base, n_tokens, n_known, rows = np.zeros((4, len(shard.keys)))
+            for words, (gram,), of, owner, times, counts in shard.ranges():
+                count = np.bincount(gram, counts, len(words))
+                known.append(words[count > 0])
+                numbers.append(count[count > 0])
+                c, size = count[gram[of]], len(shard.keys)
+                base += np.bincount(owner, np.log10(c + 1) * times, size)
+                n_tokens += np.bincount(owner, times, size)
+                n_known += np.bincount(owner, (c > 0) * times, size)
+                rows += np.bincount(owner, words[gram[of]] == END, size)
+            sums = {"base": base, "n_tokens": n_tokens, "n_known": n_known, "rows": rows}
+            yield from _sent("sums", _text_sums(shard.keys, parts, **sums))
+            known, numbers = np.concatenate(known), np.concatenate(numbers)
+            yield from _sent("total", [(number, _pack(total=np.array([numbers.sum(), len(known)])))])
+            upper = known & _UPPER
             for _, b in (f for f in found if f[0] == "fallen"):
-                log = np.log10(count(b["words"]) + 1)[b["word"]] * b["times"]
-                yield from _sent("sums", _text_sums(b["keys"][b["owner"]], parts, score=log, fallen=b["times"].astype(float)))
+                at = np.minimum(np.searchsorted(upper, b["words"]), max(0, len(upper) - 1))
+                c = np.where(upper[at] == b["words"], numbers[at], 0.0) if len(upper) else np.zeros(len(at))
+                texts = {"score": np.log10(c + 1)[b["word"]] * b["times"], "fallen": b["times"].astype(float)}
+                texts = {n: np.bincount(b["owner"], v, len(b["keys"])) for n, v in texts.items()}
+                order = np.argsort(b["keys"])
+                yield from _sent("sums", _text_sums(b["keys"][order], parts, **{n: v[order] for n, v in texts.items()}))
 
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
@@ -369,7 +412,7 @@ _SUMS = ("score", "base", "fallen", "n_tokens", "n_known", "rows")
 def _sums(blocks: DataFrame, parts: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _by_shard(batches):
-            keys, places = np.unique(np.concatenate([b["keys"] for _, b in found]), return_inverse=True)
+            keys, places = numbered(np.concatenate([b["keys"] for _, b in found]))
             out, at = np.zeros((len(_SUMS), len(keys))), 0
             for _, b in found:
                 own = places[at : at + len(b["keys"])]
