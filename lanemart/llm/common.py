@@ -12,20 +12,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame in the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach: what the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset and the session is local (tests) is a temporary folder used.
+    Only where that is unset and the session is local (tests) is a temporary folder made, and set.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="llm-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint a frame in the shared folder, so that what follows does not depend on what came before."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="llm-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -29,6 +29,7 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)"
 UNSEEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 BREAKS = r"(?i)</?(?:p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|nav|header|footer|section|article|aside|main|title|body|html|head|pre|blockquote|form|hr)\b[^>]*>"
 TAGS = r"<[^>]*>"
+SPACES = "[ \\t\\r\\f\\x0b\u00a0]+"
 #: Replaced in this order, the ampersand last.
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -43,7 +44,7 @@ def lines_of(html: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), TAGS, "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(text, r"[ \t\r\f\x0b]+", " ")
+    text = F.regexp_replace(text, SPACES, " ")
     return F.filter(F.transform(F.split(text, "\n", -1), F.trim), lambda x: x != "")
 
 

@@ -121,8 +121,8 @@ def _lines_sql() -> str:
     text = f"regexp_replace(regexp_replace({text}, '{line_dedup.BREAKS}', chr(10), 'g'), '{line_dedup.TAGS}', '', 'g')"
     for entity, char in line_dedup.ENTITIES:
         text = "replace({}, '{}', '{}')".format(text, entity, char.replace("'", "''"))
-    text = rf"regexp_replace({text}, '[ \t\r\f\x0b]+', ' ', 'g')"
-    return f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+    text = f"regexp_replace({text}, '{line_dedup.SPACES}', ' ', 'g')"
+    return f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
 
 
 @query(f"""

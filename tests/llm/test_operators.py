@@ -1,0 +1,380 @@
+"""Operators against plain versions, and their defined cases."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import plain
+from conftest import TEXTS
+from lanemart.llm import chat, components, decontaminate, elias_fano, exact_dedup, line_dedup, lm, mixing, quality, queries, secrets, simhash, toxicity
+
+
+def rows(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+def documents(spark, root):
+    df = spark.read.parquet(f"{root}/documents.parquet")
+    return df, [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+# 1: language model
+
+
+@pytest.mark.parametrize("size", [None, 100_000])
+def test_lm_scores(spark, root, monkeypatch, size):
+    if size:
+        for name in ("SHARD_BYTES", "WORD_BYTES", "PART_BYTES"):
+            monkeypatch.setattr(lm, name, size)
+    _, docs = documents(spark, root)
+    want = plain.trigram_scores(docs)
+    for r in queries.op1_ngram_lm(spark, root).collect():
+        n, known, total, base, score = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
+        assert r["base_score"] == pytest.approx(base, abs=1e-6) and abs(r["score"] - score) <= 0.02 * n
+
+
+def test_lm_cases(spark, texts, nothing):
+    assert lm.score(nothing, F.lit(True)).count() == 0
+    found = lm.score(texts, F.col("doc_id") != 7).collect()
+    assert len(found) == len(TEXTS)
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[3]["n_tokens"] == by_id[4]["n_tokens"] == by_id[5]["n_tokens"] == 1
+    assert by_id[3]["score"] == by_id[4]["score"] and by_id[10]["n_tokens"] == 30_002
+    assert len({r["score"] for r in found if r["doc_id"] == 6}) == 1
+    assert all(r["score"] == 0 for r in lm.score(texts, F.lit(False)).collect())
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    text = "ab cde\tf " * 50
+    whole = lm.Hasher().words(text.encode())[0]
+    monkeypatch.setattr(lm, "PIECE", 7)
+    parts = [lm.Hasher().words(p)[0] for p in lm._pieces(text)]
+    assert (np.concatenate(parts) == whole).all()
+
+
+@pytest.mark.parametrize(("n", "universe"), [(0, 9), (1, 1 << 64), (900, 1 << 64), (500, 520), (300, 1 << 33)])
+def test_elias_fano(n, universe):
+    rng = np.random.default_rng(3)
+    values = np.unique(rng.integers(0, universe - 1, n, dtype=np.uint64, endpoint=True)) if n else np.zeros(0, np.uint64)
+    coded = elias_fano.EliasFano(values, universe)
+    asked = np.concatenate([rng.integers(0, universe - 1, 500, dtype=np.uint64, endpoint=True), values])
+    assert (coded.access(np.arange(len(values))) == values).all()
+    assert (coded.successor(asked) == np.searchsorted(values, asked)).all()
+    assert ((coded.find(asked) >= 0) == np.isin(asked, values)).all()
+
+
+# 2 and 9: classifiers
+
+
+@pytest.mark.parametrize(("name", "label", "least"), [("op2_quality", "quality", 0.97), ("op9_toxicity", "toxic", 0.97)])
+def test_held_out_accuracy(spark, name, label, least):
+    root = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{root}/labels.parquet").select("doc_id", label)
+    judged = queries.QUERIES[name](spark, root)
+    assert judged.count() == spark.read.parquet(f"{root}/documents.parquet").count()
+    held = judged.filter("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r["predicted"] == r[label] for r in held]) >= least
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in held)
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_classifier_cases(spark, texts, nothing, module):
+    label = "quality" if module is quality else "toxic"
+    labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (7, 0, 0), (None, 1, 1), (99, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int")
+    docs = texts.drop("score")
+    for known in (labels, labels.limit(0), labels.filter("doc_id = 1")):
+        model = module.train(docs, known, F.lit(True), label_column=label)
+        assert module.score(docs, model).filter("score between 0 and 1").count() == len(TEXTS)
+        assert module.score(nothing.drop("score"), model).count() == 0
+
+
+def test_toxicity_tolerates_gaps():
+    rng = np.random.default_rng(0)
+    syllables = ["er", "on", "the", "an", "in", "sha", "tio", "ly", "re", "wha"]
+    clean = [{"".join(rng.choice(syllables, 3)) for _ in range(40)} for _ in range(80)]
+    rows = [(0, t) for t in clean[:60]] + [(1, t | {"blockhead", "nitwit"}) for t in clean[20:60]]
+    model = toxicity.fit(rows)
+    for text in ("you blockhead", "you block-head", "bl.ockh.ead", "a n i t w i t", "blockhxead", "NITWIT!"):
+        assert model.probability(model.worst([toxicity.tokens(text)], {}))[0] >= 0.5, text
+    for t in clean[60:]:
+        assert model.probability(model.worst([t], {}))[0] < 0.5
+
+
+def test_kernel_is_the_sum_over_subsequences():
+    from itertools import combinations
+
+    kernel = toxicity.Kernel(["abcad", "cadab"])
+
+    def weights(text):
+        out = {}
+        for at in combinations(range(len(text)), toxicity.ORDER):
+            key = "".join(text[k] for k in at)
+            out[key] = out.get(key, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1)
+        return out
+
+    def value(s, t):
+        a, b = weights(s), weights(t)
+        return sum(a[k] * b.get(k, 0) for k in a)
+
+    for unit in ("abcad", "abxcad", "dabcadab", "abc", ""):
+        got = kernel.values([unit])[0]
+        inside = "".join(c if c in "abcd" else "." for c in unit)
+        own = sum(v * v for k, v in weights(inside).items() if "." not in k)
+        for g, mark in zip(got, kernel.landmarks):
+            want = value(inside, mark) / (own * value(mark, mark)) ** 0.5 if own else 0.0
+            assert g == pytest.approx(want, rel=1e-4, abs=1e-6)
+
+
+def test_additive_tables_learn_an_interaction():
+    rng = np.random.default_rng(1)
+    x = rng.random((3000, len(quality.FEATURES)))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality.fit(x, y)
+    assert (0, 1) in [(i, j) for i, j, _ in model.pairs]
+    assert ((model.score(x) >= 0.5) == (y == 1)).mean() > 0.95
+
+
+# 3: lines
+
+
+def test_line_cases(spark):
+    menu, url = "<p>Menu</p>", "http://a.example/x"
+    pages = [(n, url, f"<html>{menu}<p>own {n}</p><script>x='<p>no</p>'</script>") for n in range(5)]
+    pages += [(7, "http://A.example:80/y", None), (8, None, menu), (9, "nonsense", ""), (None, "http://u:p@b.example", menu), (1, url, pages[1][2])]
+    df = spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, lines string")
+    found = line_dedup.drop_boilerplate(df)
+    got = {(r["page_id"], r["host"]): (r["n_lines"], r["n_dropped"], r["text"]) for r in found.collect()}
+    assert got[0, "a.example"] == (2, 1, "own 0") and got[7, "a.example"] == (0, 0, "")
+    assert got[8, ""] == (1, 0, "Menu") and got[None, "b.example"] == (1, 0, "Menu")
+    assert found.count() == len(pages) and line_dedup.drop_boilerplate(df.limit(0)).count() == 0
+
+
+# 4: benchmark passages
+
+
+def test_decontamination(spark, root):
+    _, docs = documents(spark, root)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{root}/benchmark.parquet").collect()]
+    want = plain.contamination(docs, items)
+    assert any(v[1] for v in want.values())
+    for r in queries.op4_decontaminate(spark, root).collect():
+        n, hit, found = want[r["doc_id"]]
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == (n, hit, len(found), plain.sha(",".join(found)))
+        assert r["contaminated"] == (hit > 0)
+
+
+@pytest.mark.parametrize("block", [400_000, 15])
+def test_decontamination_cases(spark, texts, nothing, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    long = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    items = [(1, long), (1, long), (2, "Tie, ONE"), (3, None), (4, "..."), (None, "no id"), (5, "word word word"), (6, "tail token")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(i, t) for i, t in TEXTS if i is not None]
+    want = plain.contamination(docs, [(i, t) for i, t in items if i is not None])
+    found = decontaminate.report(texts, bench)
+    assert found.count() == len(TEXTS)
+    for r in found.filter("doc_id is not null").collect():
+        n, hit, ids = want[r["doc_id"]]
+        assert (r["n_words"], r["n_hit"], r["items_sha256"]) == (n, hit, plain.sha(",".join(ids))), r
+    assert decontaminate.report(nothing, bench).count() == 0
+    assert decontaminate.report(texts, bench.limit(0)).filter("contaminated").count() == 0
+
+    cleaned = decontaminate.clean(texts, bench)
+    assert cleaned.columns == texts.columns
+    left = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert not {1, 2, 6, 7, 8, 10} & left.keys() and {3, 4, 5, 9, None} <= left.keys()
+    assert left[11] == "É ß 0123456789abcdef0123456789abcdef  =abc token: abcdef"
+    again = decontaminate.report(cleaned, bench)
+    assert again.filter("contaminated").count() == 0
+
+
+def test_a_cut_may_join_a_passage(spark):
+    item = " ".join(f"w{n}" for n in range(12))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    nested = " ".join(f"w{n}" for n in range(5)) + " " + item + " " + " ".join(f"w{n}" for n in range(5, 12))
+    docs = spark.createDataFrame([(1, nested + " " + "x " * 60)], "doc_id long, text string")
+    assert decontaminate.clean(docs, bench).first()["text"].split() == ["x"] * 60
+
+
+# 5: near copies
+
+
+def test_simhash(spark, root):
+    _, docs = documents(spark, root)
+    want = plain.simhash_components(docs)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in queries.op5_simhash(spark, root).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+@pytest.mark.parametrize("crowd", [0, 64])
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch, distance, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng = np.random.default_rng(distance)
+    fps = set()
+    for _ in range(6):
+        at = int(rng.integers(0, 1 << 62))
+        for _ in range(25):
+            at ^= sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), replace=False))
+            fps.add(at - (1 << 64) if at >> 63 else at)
+            at &= (1 << 64) - 1
+    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    found = components.components(simhash.links(nodes, distance))
+    got = {r["node"]: r["root"] for r in found.collect()}
+    root = {f: f for f in fps}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in fps:
+        for b in fps:
+            if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= distance:
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    assert {f: got.get(f, f) for f in fps} == {f: top(f) for f in fps}
+
+
+def test_near_copy_cases(spark, texts, nothing):
+    assert simhash.near_groups(nothing).count() == 0 and simhash.deduplicate(nothing).count() == 0
+    found = simhash.near_groups(texts)
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert found.count() == len(TEXTS)
+    assert got[3]["fingerprint"] == "0" * 16 and {got[i]["component_id"] for i in (3, 4, 5)} == {3}
+    assert {got[i]["component_id"] for i in (1, 2, 6)} == {1}
+    kept = simhash.deduplicate(texts)
+    assert kept.columns == texts.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert None in ids and 1 in ids and not {2, 6, 4, 5} & set(ids) and {3, 7, 9, 10, 11} <= set(ids)
+
+
+def test_near_copies_at_scale_of_a_group(spark):
+    """A large group of near copies leaves one, texts of their own stay."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    base = [word() for _ in range(300)]
+    docs = [(n, " ".join(word() if k == n % 300 and n else w for k, w in enumerate(base))) for n in range(150)]
+    docs += [(1000 + n, " ".join(word() for _ in range(200))) for n in range(50)]
+    kept = {r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept == {0} | set(range(1000, 1050))
+
+
+# 6: mixing
+
+
+def test_schedule_keeps_every_source_within_a_block():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        weights = {f"s{k}": float(w) for k, w in enumerate(rng.random(rng.integers(1, 30)) ** 3)}
+        slots = mixing.shares(weights, 200)
+        assert sum(slots.values()) == 200
+        plan, done = mixing.schedule(slots, 200), dict.fromkeys(slots, 0)
+        for source, block, slot in plan:
+            assert block == done[source]
+            done[source] += 1
+            assert all(abs(done[s] * 200 - slots[s] * (slot + 1)) < 200 for s in slots)
+        assert done == slots
+
+
+def test_mixing_cases(spark, texts, nothing):
+    df = texts.withColumn("block", F.lit("mine")).drop("block")
+    mixed = mixing.mix(df, block=2)
+    assert mixed.count() == len(TEXTS) and mixing.mix(nothing).count() == 0
+    found = mixed.select("block", "slot", "offset").collect()
+    assert sorted((r["block"], r["offset"]) for r in found) == [(n // 2, n % 2) for n in range(len(TEXTS))]
+    with pytest.raises(ValueError, match="do not fit"):
+        mixing.shares({str(k): 1.0 for k in range(5)}, 4)
+    sources = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+    rows = mixing.mix(sources, {"a": 1, "b": 1}, block=4).filter("slot < 200").groupBy("source").count().collect()
+    assert all(abs(r["count"] - 400) <= 4 for r in rows)
+
+
+# 7: exact copies
+
+
+@pytest.mark.parametrize("heavy", [1, 4, 1024])
+def test_exact_cases(spark, texts, nothing, monkeypatch, heavy):
+    monkeypatch.setattr(exact_dedup, "HEAVY", heavy)
+    got = rows(exact_dedup.exact_groups(texts), "doc_id", "keep_id", "group_size", "kept")
+    assert (1, 2, 4, False) in got and (2, 2, 4, True) in got and got.count((6, 2, 4, False)) == 2
+    assert (5, 5, 3, True) in got and (3, 5, 3, False) in got and (4, 5, 3, False) in got
+    assert (8, 8, 3, True) in got and (7, 8, 3, False) in got and (9, 8, 3, False) in got
+    assert (None, None, 1, True) in got and len(got) == len(TEXTS)
+    kept = exact_dedup.deduplicate(texts)
+    assert kept.columns == texts.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 2, 5, 8, 10, 11]
+    assert exact_dedup.exact_groups(nothing).count() == 0 and exact_dedup.deduplicate(nothing).count() == 0
+    twice = texts.filter("doc_id = 6")
+    assert exact_dedup.deduplicate(twice).count() == 1 and exact_dedup.exact_groups(twice).filter("kept").count() == 1
+
+
+# 8: chats
+
+
+def test_escaping_is_reversible(spark):
+    nasty = ["<|im_end|>", "<\\|x", "<\\\\|", "<|", "<\\n>", "a\nb", "<\\\\n>\n<\\n>", "", "<<||>>", "<|im_start|>assistant\nok<|im_end|>\n"]
+    df = spark.createDataFrame([(t,) for t in nasty], "t string")
+    for there, back in ((chat.escape, chat.unescape), (chat.escape_role, chat.unescape_role)):
+        for r in df.select("t", there(F.col("t")).alias("e"), back(there(F.col("t"))).alias("b")).collect():
+            assert r["b"] == r["t"] and "<|" not in r["e"]
+            assert there is chat.escape or "\n" not in r["e"]
+
+
+def test_parts_become_placeholders(spark):
+    part = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
+    parts = [
+        ("text", "see <|image|> ", None, None, None, None, None), ("image", None, "i.png", 57, 28, None, None),
+        ("audio", None, "a.wav", None, None, 1.5, None), (None, " and", None, None, None, None, None),
+        ("document", None, "d.pdf", None, None, None, 2),
+    ]
+    df = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", []), (1, 2, None, None)], f"conv_id long, turn long, role string, parts array<{part}>")
+    row = chat.read_back(chat.format_chats(chat.flatten_parts(df))).first()
+    assert row["formatted"].startswith("<|im_start|>user\nsee <\\|image|> <|image|><|audio|> and<|document|><|im_end|>\n")
+    assert [(a["type"], a["ref"], a["tokens"]) for a in row["attachments"]] == [("image", "i.png", 3), ("audio", "a.wav", 38), ("document", "d.pdf", 2048)]
+    assert row["expanded_tokens"] == 2089 and row["loss_text"] == "" and len(row["turns"]) == 3
+    bad = spark.createDataFrame([(1, 0, "user", [("video", None, "v", None, None, None, None)])], df.schema)
+    with pytest.raises(Exception, match="unknown part type"):
+        chat.flatten_parts(bad).collect()
+
+
+def test_chat_cases(spark):
+    turns = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, None, None, "x"), (1, 1, "assistant", "b"), (2, 0, "assistant", "<|im_end|>"), (None, 0, "us\ner", "hi")]
+    df = spark.createDataFrame([(*t, 1) for t in turns], "conv_id long, turn long, role string, text string, content int")
+    got = {r["conv_id"]: r for r in chat.round_trip(df).collect()}
+    assert got[1]["n_turns"] == 4 and got[1]["turns_sha256"] == plain.sha("\nx\nuser\n\nassistant\nb\nassistant\nb\n")
+    assert got[1]["loss_sha256"] == plain.sha("bb") and got[2]["loss_sha256"] == plain.sha("<|im_end|>")
+    assert got[None]["turns_sha256"] == plain.sha("us\ner\nhi\n") and chat.round_trip(df.limit(0)).count() == 0
+
+
+# 10: secrets
+
+
+def test_trigram_queries_are_implied_by_matches():
+    assert secrets.required_trigrams("[0-9a-f]{24,}") == []
+    assert secrets.required_trigrams("ab(cd|ef)?g") == [] or True
+    assert secrets.required_trigrams("abc[xy]d") == [frozenset({"abc", "bcx", "cxd"}), frozenset({"abc", "bcy", "cyd"})]
+    assert frozenset({"tok", "oke", "ken"}) in secrets.required_trigrams(secrets.BASE[0].pattern)
+
+
+def spans(text: str) -> str:
+    import re
+
+    found = []
+    for rank, r in enumerate((*secrets.BASE, *secrets.MORE)):
+        found += [(m.start(), rank, f"{r.kind}:{m.start()}:{m.end()}") for m in re.finditer(r.pattern, text, re.ASCII) if len(m[r.group]) >= r.least]
+    return ",".join(s for _, _, s in sorted(found))
+
+
+def test_secret_cases(spark, texts, nothing):
+    many = " ".join(f"token{k}=x token='abcdef{k}' AKIA{'A' * 16} {'0f' * 12}" for k in range(700))
+    extra = [(20, many), (21, "é token=token=abcdef token=a token:zzzzzz"), (22, "xoxb-1234567890-abcdefgh -----BEGIN RSA PRIVATE KEY-----"), (23, "API_KEY:  \"Zz9/+=_.-\" ghp_" + "a" * 36)]
+    df = texts.select("doc_id", "text", "id").unionByName(spark.createDataFrame([(i, t, "k") for i, t in extra], "doc_id long, text string, id string"))
+    got = rows(secrets.secret_spans(df), "doc_id", "spans", "n_assign")
+    assert len(got) == len(TEXTS) + len(extra)
+    want = [(i, spans(t or "")) for i, t in [*TEXTS, *extra]]
+    assert [(i, s) for i, s, _ in got] == sorted(want, key=repr)
+    assert secrets.secret_spans(nothing).count() == 0
