@@ -43,17 +43,20 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only after counting: up to ``rows`` rows, else leave the join to a shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
-#: Rows of whole texts that go to a Python worker at a time.
-TEXT_ROWS = 256
+#: Rows of whole texts, and bytes, that go to a Python worker at a time.
+TEXT_ROWS, TEXT_BYTES = 256, 8 << 20
 
 
 def text_batches(df: DataFrame) -> DataFrame:
-    """The frame, in a session that hands texts to Python workers in batches of ``TEXT_ROWS``.
+    """The frame, in a session that hands at most ``TEXT_ROWS`` rows and ``TEXT_BYTES`` bytes to a Python worker.
 
-    The default of 10,000 rows is meant for numbers; with texts such a batch takes hundreds of megabytes, on
-    both sides. A session with a smaller setting keeps it.
+    The defaults are meant for numbers; with texts such a batch takes hundreds of megabytes, on both sides. A
+    session with smaller settings keeps them.
     """
-    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(name, "10000")) <= TEXT_ROWS:
-        conf.set(name, str(TEXT_ROWS))
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", TEXT_ROWS), ("maxBytesPerBatch", TEXT_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = conf.get(name, "0").rstrip("bB")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(name, str(most))
     return df

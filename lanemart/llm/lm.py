@@ -53,7 +53,7 @@ SHARD_BYTES, WORD_BYTES, PART_BYTES = 16 << 20, 64 << 20, 64 << 20
 #: Tokens that a task gathers before it sends blocks.
 GATHER = 1_000_000
 #: N-grams that a shard works on at a time.
-RANGE = 400_000
+RANGE = 250_000
 #: Bytes of text hashed at a time.
 PIECE = 4 << 20
 DISCOUNT = 0.75
@@ -261,22 +261,18 @@ def _word_blocks(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[str, dict[str, np.ndarray]]]]]:
-    """Blocks of one shard after the other, from rows sorted by shard."""
-    now, found = None, []
+    """The blocks of a task by their shard."""
+    found: dict[int, list] = {}
     for batch in batches:
         for kind, shard, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            if shard != now and found:
-                yield now, found
-                found = []
-            now = shard
-            found.append((kind, _unpack(block.as_py())))
-    if found:
-        yield now, found
+            found.setdefault(shard, []).append((kind, _unpack(block.as_py())))
+    while found:
+        yield found.popitem()
 
 
 def _meet(blocks: DataFrame, shards: int) -> DataFrame:
-    """All blocks of a shard in one task, shard after shard."""
-    return blocks.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    """All blocks of a shard in one task, and nothing else there."""
+    return text_batches(blocks.repartitionById(shards, F.col("shard").cast("int")))
 
 
 class Shard:
