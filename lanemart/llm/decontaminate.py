@@ -297,5 +297,5 @@ def clean(
         before, total = total, rows.agg(F.sum("__cut")).first()[0]
         if total == before:
             break
-    share = F.col("__cut") / (F.col("__cut") + F.col("__left"))
-    return rows.filter(F.coalesce(share <= coverage, F.lit(True))).drop("__cut", "__left")
+    enough = F.col("__cut") <= coverage * (F.col("__cut") + F.col("__left"))
+    return rows.filter(enough).drop("__cut", "__left")

@@ -45,7 +45,7 @@ def lines_of(html: Column) -> Column:
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     text = F.regexp_replace(text, SPACES, " ")
-    return F.filter(F.transform(F.split(text, "\n", -1), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _digest(line: Column) -> Column:
