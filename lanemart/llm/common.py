@@ -56,7 +56,7 @@ def text_batches(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     for name, most in (("maxRecordsPerBatch", TEXT_ROWS), ("maxBytesPerBatch", TEXT_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        now = conf.get(name, "0").rstrip("bB")
+        now = conf.get(name).rstrip("bB")
         if not (now.isdigit() and 0 < int(now) <= most):
             conf.set(name, str(most))
     return df
