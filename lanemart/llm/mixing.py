@@ -85,8 +85,8 @@ def mix(
         return docs.withColumns({"share": F.lit(0), "block": F.lit(0).cast("long"), "slot": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     wanted = {s: n**TEMPER for s, n in sizes.items()} if weights is None else {s: float(weights.get(s, 0.0)) for s in sizes}
     slots = shares(wanted, period)
-    entries = [F.struct(F.lit(s).alias("__s"), F.lit(k).alias("__k"), F.lit(t).alias("__t"), F.lit(slots[s]).alias("share")) for s, k, t in schedule(slots, period)]
-    plan = docs.sparkSession.range(1).select(F.inline(F.array(*entries)))  # as many rows as the period has slots
+    entries = [(s, k, t, slots[s]) for s, k, t in schedule(slots, period)]  # as many rows as the period has slots
+    plan = docs.sparkSession.createDataFrame(entries, "__s string, __k int, __t int, share int").coalesce(1)
 
     digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary"))
     rows = docs.withColumns({"__s": name, "__h": digest}).withColumn("__part", F.substring("__h", 1, DIGITS))

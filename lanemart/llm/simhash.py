@@ -15,8 +15,8 @@
 ``near_groups`` reports such groups. ``deduplicate`` drops near copies of which the sets of shingles have a
 similarity of ``SIMILARITY`` or more. At 0.8 two fingerprints differ in 9 bits of 64 on average, more than blocks
 can be promised for, and the number varies a good deal. So it takes ``FAMILIES`` fingerprints of independent
-hashes, looks for pairs that agree on any two of ``CUTS`` blocks of any of them, and verifies the distance over
-all their bits together. The chance that a pair meets is 0.8 at similarity 0.8 and 0.99 at 0.9 (README.md has
+hashes, looks for pairs that agree on any ``EQUAL`` of ``CUTS`` blocks of any of them, and verifies the distance over
+all their bits together. The chance that a pair meets is 0.84 at similarity 0.8 and 0.99 at 0.9 (README.md has
 measurements). Of a pair the larger id goes. Families are settled one after the other on what is left, and in a
 crowded bucket all members meet its smallest one, then what is left of it again, so a large group of near copies
 melts away in a few rounds instead of giving all its pairs.
@@ -47,8 +47,10 @@ BITS = 64
 BLOCKS_MORE = 3
 #: Nodes in a bucket up to which its pairs are joined directly.
 CROWD = 64
-#: ``deduplicate``: least similarity, fingerprints per text, and blocks they are cut into.
-SIMILARITY, FAMILIES, CUTS = 0.8, 5, 6
+#: ``deduplicate``: least similarity, fingerprints per text, blocks they are cut into, and how many have to agree.
+#: The agreeing blocks have 24 bits, which suits up to some ten million texts; beyond, cut into fewer blocks and
+#: take more families.
+SIMILARITY, FAMILIES, CUTS, EQUAL = 0.8, 4, 8, 3
 #: Members of a bucket up to which its pairs are joined there.
 MELT = 16
 #: Dropped ids up to which they are broadcast.
@@ -184,9 +186,9 @@ def _near(a: str, b: str, most: int) -> Column:
 
 def _losers(nodes: DataFrame, family: int, most: int) -> DataFrame:
     """``(id)`` of the nodes that go for a smaller one they meet in a bucket of one family."""
-    keyed = nodes.select("id", "fps", _keys(F.col("fps")[family], _masks(CUTS, 2)).alias("key")).select("id", "fps", "key.k", "key.v")
+    keyed = nodes.select("id", _keys(F.col("fps")[family], _masks(CUTS, EQUAL)).alias("key")).select("id", "key.k", "key.v")
     met = keyed.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared, limit = cut(keyed.join(met, ["k", "v"])), MELT
+    shared, limit = cut(keyed.join(met, ["k", "v"]).join(nodes, "id")), MELT
     found = []
     while True:
         sizes = shared.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
