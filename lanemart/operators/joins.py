@@ -104,11 +104,6 @@ def join_on_code_part(
     return left.join(right, on=key, how="inner")
 
 
-def with_code_part(left: DataFrame, key: str, coded: DataFrame, code: str, sep: str = "-", n: int = 2) -> DataFrame:
-    """Rows of ``left`` whose key is the number of at least one code; never multiplies rows."""
-    return left.join(coded.select(code_number(F.col(code), sep, n).alias(key)), on=key, how="left_semi")
-
-
 def join_on_norm_key(left: DataFrame, left_key: str, right: DataFrame, right_key: str, columns: Sequence[str]) -> DataFrame:
     """Left join on keys cut at their first hyphen or en dash."""
     r = right.select(norm_key(F.col(right_key)).alias("__nk"), *columns)
@@ -148,7 +143,3 @@ def exists_flag(df: DataFrame, other: DataFrame, key: str, name: str) -> DataFra
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Grain check: keys held by more than one row (empty when the grain is right)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

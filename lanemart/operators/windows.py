@@ -51,10 +51,10 @@ def prior_running_sum(
 ) -> DataFrame:
     """Sum of ``amount`` over the key's earlier rows (by integer ``order``), 0 on the first row.
 
-    Returns ``row_id`` and ``name``. A group of the scan is one key within ``bucket_width`` order values,
+    Returns ``row_id`` and ``name``. Rows with a null key are one group. A group of the scan is one key within ``bucket_width`` order values,
     so its size is bounded by that width when ``order`` is unique.
     """
     rows = df.select(F.col(key).alias("__k"), F.col(order).alias("__o"), F.col(row_id).alias("__id"), amount.alias("__v"))
     rows = rows.withColumn("__bucket", F.floor(F.col("__o") / F.lit(bucket_width)))
-    out = bucketed_scan(rows, ["__k"], "__bucket", ["__o"], "__v", name, fold="sum")
+    out = bucketed_scan(rows, ["__k"], "__bucket", ["__o", "__id"], "__v", name, fold="sum")
     return out.select(F.col("__id").alias(row_id), F.coalesce(name, F.lit(0)).alias(name))
