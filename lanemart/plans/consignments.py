@@ -51,7 +51,7 @@ def latest_consignments(consignments: DataFrame, params: MartParams) -> DataFram
 
 
 def trip_ends(states: DataFrame, params: MartParams) -> DataFrame:
-    ended = not_deleted(recent(states, params.start)).filter(F.col("state") == "TRIP_END")
+    ended = not_deleted(recent(states, params.start, ["dpyear"])).filter(F.col("state") == "TRIP_END")
     return ended.groupBy("consignment_code").agg(F.max(to_local(F.col("created"), params.shift)).alias("trip_end_time"))
 
 
@@ -89,27 +89,31 @@ def consignment_summary(
     return enrich(with_end, [operator_commission(expenses, consignments, params)], "consignment_id").drop("consignment_id")
 
 
-def status_milestones(sub_status: DataFrame, params: MartParams) -> DataFrame:
-    at = F.col("__at")
+def status_summary(sub_status: DataFrame, params: MartParams) -> DataFrame:
+    """Milestones and who made the last booking of each demand, from one pass over the status changes."""
+    at, booked = F.col("__at"), F.col("sub_status") == "DR_BOOK"
     reached = F.col("sub_status").isin("DR", "DR_BOOK")
     seen = recent(sub_status, params.start).filter(F.col("sub_status").isin("DR", "DR_BOOK", "CANCELLED"))
     return (
-        seen.select("demand_id", "sub_status", to_local(F.col("created"), params.shift).alias("__at"))
+        seen.select("demand_id", "sub_status", "id", "created_by", to_local(F.col("created"), params.shift).alias("__at"))
         .groupBy("demand_id")
         .agg(
             A.max_flag(reached).alias("dr_flag"),
             A.min_if(reached, at).alias("first_dr_time"),
-            A.max_if(F.col("sub_status") == "DR_BOOK", at).alias("last_dr_time"),
+            A.max_if(booked, at).alias("last_dr_time"),
             A.min_if(F.col("sub_status") == "CANCELLED", at).alias("demand_cancel_time"),
+            F.max_by("created_by", F.when(booked, F.col("id"))).alias("dr_book_by"),
         )
     )
 
 
+def status_milestones(sub_status: DataFrame, params: MartParams) -> DataFrame:
+    return status_summary(sub_status, params).drop("dr_book_by")
+
+
 def booked_by(sub_status: DataFrame, params: MartParams) -> DataFrame:
-    """Who made the last booking of each demand."""
-    booked = recent(sub_status, params.start).filter(F.col("sub_status") == "DR_BOOK")
-    last = latest_per_key(booked, "demand_id", order=["id"], columns=["created_by"])
-    return last.withColumnRenamed("created_by", "dr_book_by")
+    """Who made the last booking of each demand that has one."""
+    return status_summary(sub_status, params).filter(F.col("last_dr_time").isNotNull()).select("demand_id", "dr_book_by")
 
 
 def operator_cancels(cancellations: DataFrame) -> DataFrame:
@@ -120,12 +124,14 @@ def operator_cancels(cancellations: DataFrame) -> DataFrame:
 def experiment_names(bidding_config: DataFrame, experiments: DataFrame, params: MartParams) -> DataFrame:
     """Joined experiment names per demand; a demand configured twice uses its greatest id list."""
     listed = recent(bidding_config, params.start).filter(F.col("experiment_ids") != "")
-    per_demand = listed.groupBy("demand_id").agg(F.max("experiment_ids").alias("exp_ids"))
-    names = list_names(
-        listed.select(F.col("experiment_ids").alias("exp_ids")), "exp_ids", not_deleted(experiments), "id", "name",
-        "experiment_name",
-    )
-    return per_demand.join(names, on="exp_ids", how="left").select("demand_id", "experiment_name")
+    return named_experiments(listed.groupBy("demand_id").agg(F.max("experiment_ids").alias("exp_ids")), experiments)
+
+
+def named_experiments(listed: DataFrame, experiments: DataFrame) -> DataFrame:
+    """Names of the id lists ``exp_ids``, worked out once per distinct list."""
+    listed = listed.filter(F.col("exp_ids").isNotNull())
+    names = list_names(listed.select("exp_ids"), "exp_ids", not_deleted(experiments), "id", "name", "experiment_name")
+    return listed.join(names, on="exp_ids", how="left").select("demand_id", "experiment_name")
 
 
 def segments(mapping: DataFrame) -> DataFrame:

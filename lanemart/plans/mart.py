@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from lanemart.fixed import MartParams
 from lanemart.functions import rules as R
 from lanemart.functions.time import hour_of, minutes_between
-from lanemart.operators.joins import enrich
+from lanemart.operators.joins import enrich, lookup_salted
 from lanemart.plans import consignments as C
 from lanemart.plans import consigners as G
 from lanemart.plans import geography, pricing, supply, vehicles
-from lanemart.plans.spine import demand_spine, live_demands, ptl_flag
+from lanemart.plans.spine import demand_spine, ptl_flag
+from lanemart.sinks.lake import Cuts
+from lanemart.sources.bounds import run_bounds
 
 #: Cuts the lineage of a frame, or returns it as it is.
 Cut = Callable[[DataFrame], DataFrame]
@@ -63,59 +66,63 @@ def finalize(df: DataFrame, spec: Mapping[str, str] = OUTPUT, zero_filled=ZERO_F
     return df.select(*[typed(name, kind).alias(name) for name, kind in spec.items()])
 
 
-def placed_spine(src: Mapping[str, DataFrame], params: MartParams) -> DataFrame:
-    """Spine with its places and vehicle class: everything that is looked up by a dimension key."""
-    spine = ptl_flag(demand_spine(src["demands"], params), src.get("demand_comments"), params)
-    placed = geography.with_places(spine, src["districts"])
-    if "district_overrides" in src:
-        placed = geography.with_overrides(placed, src["district_overrides"], src["districts"])
+def placed_demands(src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams) -> DataFrame:
+    """Narrow rows: per demand its places and its vehicle class, everything looked up by a dimension key."""
+    keys = wide.select("demand_id", "origin_district_key", "destination_district_key")
+    placed = geography.places(keys, src["districts"], src.get("district_overrides"), params)
     classes = vehicles.vehicle_class(src["vehicle_types"], src["vehicle_bands"], src["vehicle_catalog"])
-    return placed.join(classes, on="vehicle_type_id", how="left").withColumns(
-        {c: F.coalesce(c, F.lit(-1)).cast("int") for c in ("tyre_count", "vt_pricing_id", "vt_id")}
-    )
+    classed = lookup_salted(wide.select("demand_id", "vehicle_type_id"), classes, "vehicle_type_id", "demand_id", params.salts)
+    classed = classed.withColumns({c: F.coalesce(c, F.lit(-1)).cast("int") for c in ("tyre_count", "vt_pricing_id", "vt_id")})
+    return placed.join(classed.drop("vehicle_type_id"), on="demand_id")
 
 
-def demand_parts(
-    src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams, cut: Cut = lambda df: df
-) -> list[DataFrame]:
-    """Frames with one row per demand; ``wide`` is the placed spine, of which the parts read a few columns."""
-    latest = C.consignment_summary(
-        src["consignments"], src["consignment_state"], src["consignment_expense"], params
-    )
-    milestones = C.status_milestones(src["demand_sub_status"], params)
-    token_rows = pricing.tokens(src["tokens_hot"], src["tokens_archive"], params)
+def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams, cut: Cut = lambda df: df) -> dict[str, DataFrame]:
+    """Frames with one row per demand, by name. ``wide`` is the spine, of which the parts read a few columns.
+
+    Every source is aggregated once; what two parts need goes through ``cut``.
+    """
+    status = cut(C.status_summary(src["demand_sub_status"], params))
+    bidding = cut(pricing.bidding_summary(src["bidding_config"], params))
+    tokens = cut(pricing.token_summary(pricing.tokens(src["tokens_hot"], src["tokens_archive"], params)))
+    latest = cut(C.consignment_summary(src["consignments"], src["consignment_state"], src["consignment_expense"], params))
+    placed = cut(placed_demands(src, wide, params))
+    dated = wide.select("demand_id", "demand_date", "vehicle_type_id").join(placed, on="demand_id")
     catalog = pricing.rate_catalog(src["current_rates"], src["rate_lanes"], src["places"], src["vehicle_bands"])
     lanes = supply.supply_lanes(
         src["gps_lanes"], src["operators"], src["operator_vehicles"], src["vehicles"], src["vehicle_catalog"],
-        src["district_clusters"], src["subscriptions"],
+        src["district_clusters"], src["subscriptions"], asked=placed,
     )
-    parts = [
-        latest,
-        milestones,
-        C.multi_drop(src["addresses"], params),
-        C.shipper_discounts(src["trip_expense"], params),
-        C.experiment_names(src["bidding_config"], src["experiments"], params),
-        C.segments(src["segment_mapping"]),
-        C.booked_by(src["demand_sub_status"], params),
-        pricing.base_rates(src["quotes_hot"], src["quotes_archive"], src["bidding_config"], params),
-        pricing.pricing_types(src["bidding_config"], params),
-        pricing.placement(latest, token_rows),
-        pricing.token_forfeit(token_rows),
-        vehicles.special_requests(src["demands"], src["vehicle_types"], src["vehicle_bands"], params),
-        G.fulfilled_rank(src["demands"], params),
-        G.restriction_asof(demand_spine(src["demands"], params), milestones, src["restrictions"], params),
-        supply.search_supply(src["search_supply"]),
-        supply.supply_match(wide, cut(lanes), params),
-        supply.engagement([src["app_events_1"], src["app_events_2"], src["app_events_3"]], params),
-        supply.delivered_pct(src["notifications"], params),
-        pricing.demand_rates(wide, catalog),
-        G.consigner_profile(src["demands"], src["consigners"], params),
-    ]
+    parts = {
+        "places": placed,
+        "consignments": latest,
+        "status": status,
+        "drops": C.multi_drop(src["addresses"], params),
+        "shipper": C.shipper_discounts(src["trip_expense"], params),
+        "experiments": C.named_experiments(bidding.select("demand_id", "exp_ids"), src["experiments"]),
+        "segments": C.segments(src["segment_mapping"]),
+        "rates": pricing.rates_of(pricing.quotes(src["quotes_hot"], src["quotes_archive"], params), bidding),
+        "pricing": pricing.types_of(bidding),
+        "placement": pricing.placement_of(latest, pricing.modes_of(tokens)),
+        "forfeits": pricing.forfeits_of(tokens),
+        "requests": vehicles.requests_of(wide, src["vehicle_types"], src["vehicle_bands"]),
+        "rank": G.fulfilled_rank(src["demands"], params),
+        "restriction": G.restriction_asof(wide, status, src["restrictions"], params),
+        "search": supply.search_supply(src["search_supply"]),
+        "supply": supply.supply_match(dated, lanes, params),
+        "engagement": supply.engagement([src["app_events_1"], src["app_events_2"], src["app_events_3"]], params),
+        "delivered": supply.delivered_pct(src["notifications"], params),
+        "current": pricing.demand_rates(dated, catalog),
+        "profile": G.profile_of(wide, src["demands"], src["consigners"], params),
+    }
     if "cancellations" in src:
-        parts.append(C.operator_cancels(src["cancellations"]))
+        parts["cancels"] = C.operator_cancels(src["cancellations"])
     return parts
 
 
+#: The parts that decide why a demand was not placed.
+REASON_PARTS = ("consignments", "status", "drops", "requests", "search", "supply", "engagement", "delivered")
+
+
 def with_outcome(df: DataFrame, params: MartParams) -> DataFrame:
     """Columns derived from the joined row: flags, margin, supply confidence and reasons."""
     c = F.col
@@ -138,7 +145,6 @@ def with_outcome(df: DataFrame, params: MartParams) -> DataFrame:
             "pricing_type": F.coalesce("pricing_type", F.lit("NA")),
             "consigner_payment_status": F.coalesce("consigner_payment_status", F.lit("UNRESTRICTED")),
             "consigner_payment_status_at_dr": F.coalesce("consigner_payment_status_at_dr", F.lit("UNRESTRICTED")),
-            "supply_confidence": R.supply_confidence(c("ccvt_supply_lane_match_fo"), c("total_opsearch_fo")),
             "wfms_consigner_freight_fare": c("consigner_freight_fare"),
         }
     )
@@ -149,30 +155,67 @@ def with_outcome(df: DataFrame, params: MartParams) -> DataFrame:
             "plc_demand_type": R.demand_type(
                 hour_of(c("demand_date")), c("total_consignments"), cancelled_by, c("dr_book_by"), params.retry_user
             ),
-            "non_plc_reason": R.non_placement_reason(
-                c("total_consignments"),
-                c("supply_confidence"),
-                c("sub_more_than_20l_and_60km"),
-                hour_of(c("first_dr_time")),
-                minutes_between(c("first_dr_time"), c("demand_cancel_time")),
-                c("fo_engage"),
-                c("noitf_delivered_fo"),
-                c("pricing_special_req"),
-            ),
+            "non_plc_reason": reason_of(priced),
         }
     )
 
 
+def wide_spine(src: Mapping[str, DataFrame], params: MartParams) -> DataFrame:
+    return ptl_flag(demand_spine(src["demands"], params, keep_request=True), src.get("demand_comments"), params)
+
+
 def build_mart(src: Mapping[str, DataFrame], params: MartParams, cut: Cut = lambda df: df) -> DataFrame:
     """One typed row per live demand.
 
     Only narrow rows travel by other keys than the demand id: the parts are joined to the bare ids, where
     they share one partitioning, and the wide spine moves there once, for the last join. ``cut`` is applied
-    to the placed spine and the supply lanes, which several branches read: pass
-    :func:`lanemart.sinks.lake.materialize` on a cluster.
+    to the spine and to what several parts read; pass :class:`lanemart.sinks.lake.Cuts`.
+    """
+    wide = cut(wide_spine(src, params))
+    parts = enrich(wide.select("demand_id"), list(demand_parts(src, wide, params, cut).values()), "demand_id")
+    joined = wide.drop("request_body", "origin_district_key", "destination_district_key").join(parts, on="demand_id", how="left")
+    return finalize(with_outcome(geography.with_regions(joined, params), params))
+
+
+def placement_reasons(src: Mapping[str, DataFrame], params: MartParams) -> DataFrame:
+    """Why each demand was not placed, from the parts that the rules ask for."""
+    wide = wide_spine(src, params)
+    parts = demand_parts(src, wide, params)
+    joined = enrich(wide.select("demand_id"), [parts[n] for n in REASON_PARTS], "demand_id")
+    multi = F.col("drop_points") == "Multiple"
+    asked = F.when(multi, F.lit(1)).otherwise(F.coalesce("pricing_special_req", F.lit(0)))
+    match, search = "ccvt_supply_lane_match_fo", "total_opsearch_fo"
+    filled = joined.withColumn("pricing_special_req", asked)
+    return filled.select("demand_id", reason_of(filled).alias("non_plc_reason"), "pricing_special_req", match, search)
+
+
+def reason_of(df: DataFrame):
+    c = F.col
+    return R.non_placement_reason(
+        c("total_consignments"),
+        R.supply_confidence(c("ccvt_supply_lane_match_fo"), c("total_opsearch_fo")),
+        c("sub_more_than_20l_and_60km"),
+        hour_of(c("first_dr_time")),
+        minutes_between(c("first_dr_time"), c("demand_cancel_time")),
+        c("fo_engage"),
+        c("noitf_delivered_fo"),
+        c("pricing_special_req"),
+    )
+
+
+def start_of(demand_dates: DataFrame, params: MartParams) -> MartParams:
+    """The parameters of a run: demands from the smallest id on that was made since the start date."""
+    bounds = run_bounds(demand_dates, "demand_id", "demand_date", params.start).first()
+    return replace(params, start_demand=bounds["min_demand_id"] or 0)
+
+
+def run_mart(
+    src: Mapping[str, DataFrame], demand_dates: DataFrame, params: MartParams, write: Callable[[DataFrame, int], None], folder: str
+) -> None:
+    """A whole run: bounds, mart, write. ``write`` gets the mart and the first id it replaces.
+
+    ``folder`` is one that all executors reach; what the run keeps there is removed when it ends.
     """
-    wide = cut(placed_spine(src, params))
-    ids = live_demands(src["demands"], params).select(F.col("id").alias("demand_id"))
-    parts = enrich(ids, demand_parts(src, wide, params, cut), "demand_id")
-    joined = geography.with_regions(wide, params).join(parts, on="demand_id", how="left")
-    return finalize(with_outcome(joined, params))
+    params = start_of(demand_dates, params)
+    with Cuts(demand_dates.sparkSession, folder) as cut:
+        write(build_mart(src, params, cut), params.start_demand)

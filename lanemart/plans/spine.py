@@ -30,7 +30,8 @@ def live_demands(demands: DataFrame, params: MartParams) -> DataFrame:
     return since_id(not_deleted(recent(demands, params.start)), "id", params.start_demand)
 
 
-def demand_spine(demands: DataFrame, params: MartParams) -> DataFrame:
+def demand_spine(demands: DataFrame, params: MartParams, keep_request: bool = False) -> DataFrame:
+    """The typed spine; ``keep_request`` adds the special request's document, for :func:`special_requests`."""
     m, sent, due = F.col("__m"), F.col("__from"), F.col("__to")
     parsed = live_demands(demands, params).withColumns(
         {
@@ -65,6 +66,7 @@ def demand_spine(demands: DataFrame, params: MartParams) -> DataFrame:
         text_to_double(m["supplyFreightFareBeforeConsignment"]).alias("supplyfare_before_consignment"),
         "origin_district_key",
         "destination_district_key",
+        *([json_text(F.col("metadata"), "specialRequestBody").alias("request_body")] if keep_request else []),
     )
     fare, actual = F.col("consigner_freight_fare"), F.col("actual_consigner_freight_fare")
     return flat.select(

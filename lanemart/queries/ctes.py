@@ -20,14 +20,16 @@ _TYRES = "[4, 6, 10, 12, 14, 18][cast(split_part(p_brand, '#', 2) as int) % 6 +
 _SHIFT = "interval '5 hours 30 minutes'"
 _NUMBER = "(l_orderkey * 10 + l_linenumber)"
 _BODIES = quoted(standin.BODIES)
+EVENT_DEMAND = "(case event_id % 4 when 0 then event_id % 5000 when 3 then (event_id // 4) % 32 * 8 + 3 else event_id % 500 end)"
 _SETS = standin.PARAMS.regions
 
 CTES: dict[str, str] = {
     # one row per live demand, attributes already typed
     "demands": f"""
-        select o_orderkey as demand_id, o_orderdate as created, o_orderdate + {_SHIFT} as demand_date,
+        select o_orderkey as demand_id, o_orderdate + to_hours(o_orderkey * 5 % 24) as created,
+          o_orderdate + to_hours(o_orderkey * 5 % 24) + {_SHIFT} as demand_date,
           o_orderdate + to_days(cast(o_orderkey % 5 as int)) + {_SHIFT} as updated_at,
-          cast(o_custkey as varchar) as consigner_user_code, v.vehicle_type_id,
+          case when o_orderkey % 29 <> 5 then cast(o_custkey as varchar) end as consigner_user_code, v.vehicle_type_id,
           case o_orderstatus when 'F' then 'FULFILLED' when 'O' then 'PENDING' else 'EXPIRED' end as status,
           o_totalprice as fare,
           case when o_orderkey % 7 = 0 then null when o_orderkey % 3 = 0 then o_totalprice + 500
@@ -65,10 +67,10 @@ CTES: dict[str, str] = {
     "vehicle_bands": f"""
         select row_number() over (order by b, t, n) as id, body_type, tyre, lo::double as min_length, hi::double as max_length,
           case when tyre = 10 and lo >= 27 then 10.0 else 0.0 end::double as min_weight,
-          case when tyre = 4 then 20.0 else 25.0 end::double as max_weight, 4.7 + 0.05 * n as max_height
+          case when tyre = 4 then 20.0 else 25.0 end::double as max_weight, case when n = 5 then 9.0 else 4.7 + 0.05 * n end as max_height
         from (select unnest([{_BODIES}]) as body_type, generate_subscripts([{_BODIES}], 1) as b),
              (select unnest([4, 6, 10, 12, 14, 18]) as tyre, generate_subscripts([4, 6, 10, 12, 14, 18], 1) as t),
-             (values (0, 1, 7), (1, 8, 9), (2, 10, 26), (3, 27, 40), (4, 41, 50)) as l(n, lo, hi)""",
+             (values (0, 1, 7), (1, 8, 9), (2, 10, 26), (3, 27, 40), (4, 41, 50), (5, 20, 30)) as l(n, lo, hi)""",
     "vehicle_catalog": """
         select body_type, tyre_count, size_in_ft, min(vehicle_type_id) as vt_id from vehicle_types group by 1, 2, 3""",
     "band_class": """
@@ -88,7 +90,8 @@ CTES: dict[str, str] = {
         from vehicle_types v
         left join band_class b on b.body_type = v.body_type and b.tyre = v.tyre_count
           and v.size_in_ft between b.min_length and b.max_length and v.tonnage between b.min_weight and b.max_weight
-        left join vehicle_catalog c on c.body_type = v.body_type and c.tyre_count = v.tyre_count and c.size_in_ft = v.size_in_ft""",
+        left join vehicle_catalog c on c.body_type = v.body_type and c.tyre_count = v.tyre_count and c.size_in_ft = v.size_in_ft
+        qualify row_number() over (partition by v.vehicle_type_id order by b.id) = 1""",
     "districts": """
         select 'D' || n_nationkey as key, n_name || '_' || r_name as name, n_nationkey::bigint as id, r_name as state,
           'CL' || (n_nationkey % 8) as cluster, (n_nationkey % 8)::bigint as cluster_id
@@ -99,7 +102,7 @@ CTES: dict[str, str] = {
           select {_NUMBER} as id, 'XX-' || {_NUMBER} as consignment_code, l_orderkey as demand_id,
             case when l_linenumber = 3 then 0.0 else l_extendedprice end as supplyfare,
             l_shipdate + {_SHIFT} as consignment_date, l_shipdate as updated,
-            case when l_quantity > 1 then cast(l_suppkey as varchar) end as operator_code, l_partkey as vehicle_id,
+            case when l_quantity > 1 and l_orderkey % 8 <> 3 then cast(l_suppkey as varchar) end as operator_code, l_partkey as vehicle_id,
             case when l_linestatus = 'F' then 'TRIP_END' else 'IN_TRANSIT' end as trip_state, l_suppkey, l_quantity
           from lineitem where l_quantity <> 50)""",
     "latest_consignments": """
@@ -110,7 +113,7 @@ CTES: dict[str, str] = {
         select {_NUMBER} as consignment_id,
           sum(case when l_linestatus = 'F' then l_extendedprice * l_discount else 0 end) as fo_commission_reversal,
           sum(case when l_linestatus = 'O' then l_extendedprice * l_discount else 0 end) as fo_commission
-        from lineitem where l_returnflag in ('A', 'N') group by 1""",
+        from lineitem where l_returnflag in ('A', 'N') and l_linenumber <> 7 group by 1""",
     "trip_ends": f"""
         select 'XX-' || {_NUMBER} as consignment_code, max(l_shipdate) + interval '3 days' + {_SHIFT} as trip_end_time
         from lineitem where l_linestatus = 'F' group by 1""",
@@ -122,14 +125,14 @@ CTES: dict[str, str] = {
         select l_orderkey as demand_id,
           sum(case when l_returnflag in ('A', 'N') and l_linestatus = 'F' then l_extendedprice * l_tax else 0 end) as shipper_discount,
           sum(case when l_returnflag in ('A', 'N') and l_linestatus = 'O' then l_extendedprice * l_tax else 0 end) as shipper_discount_reversal
-        from lineitem group by 1""",
+        from lineitem where l_linenumber <> 7 group by 1""",
     "milestones": f"""
-        select event_id % 500 as demand_id, max(case when event_type in ('signup', 'click') then 1 else 0 end) as dr_flag,
+        select {EVENT_DEMAND} as demand_id, max(case when event_type in ('signup', 'click') then 1 else 0 end) as dr_flag,
           min(case when event_type in ('signup', 'click') then ts end) + {_SHIFT} as first_dr_time,
           max(case when event_type = 'click' then ts end) + {_SHIFT} as last_dr_time,
           min(case when event_type = 'error' then ts end) + {_SHIFT} as demand_cancel_time
-        from events where event_type in ('signup', 'click', 'error') group by 1""",
-    "multi_drop": "select l_orderkey as demand_id from lineitem group by 1 having count(*) > 2",
+        from events where event_type in ('signup', 'click', 'error') and event_id % 97 <> 0 group by 1""",
+    "multi_drop": "select l_orderkey as demand_id from lineitem where l_linenumber <> 7 group by 1 having count(*) > 2",
     "history": f"""
         select consigner_user_code, min(demand_date) as consigner_onboarding_date,
           min(case when status = 'FULFILLED' then demand_date end) as consigner_fulfilled_demand_date,
@@ -140,9 +143,11 @@ CTES: dict[str, str] = {
           partition by consigner_user_code order by demand_id rows between unbounded preceding and 1 preceding), 0)::bigint as fulfilled_rank
         from demands""",
     "consigner_types": """
-        select cast(c_custkey as varchar) as consigner_user_code, c_mktsegment as customer_type,
-          case when c_name like '%99%' then 'Testing' else 'WE_Customer' end as customer_flag
-        from customer where c_custkey % 50 <> 49""",
+        select cast(c_custkey as varchar) as consigner_user_code, kind as customer_type,
+          case when name like '%99%' then 'Testing' else 'WE_Customer' end as customer_flag
+        from (select c_custkey, c_mktsegment as kind, c_name as name from customer
+              union all select c_custkey, 'ALT', 'Other 99' from customer where c_custkey % 10 = 3)
+        where c_custkey % 50 <> 49 qualify row_number() over (partition by c_custkey order by kind, name) = 1""",
     "bidding_config": f"""
         select o_orderkey as demand_id, case when o_orderkey % 5 > 1 then [o_orderkey % 4, o_orderkey % 6] end as ids,
           nullif(o_orderkey % 6, 0)::double as int_commission,
@@ -155,11 +160,11 @@ CTES: dict[str, str] = {
     "pricing_types": f"""
         select demand_id, case when rate_source in ({quoted(MODEL_RATE_SOURCES)}) then rate_source when rate_source is not null then 'BR_PRICING' else 'NA' end as pricing_type
         from bidding_config""",
-    "segments": """
+    "segments": f"""
         select demand_id, max(case when up = 1 then event_type end) as segment_config_first, max(case when down = 1 then event_type end) as segment_config_latest
         from (select *, row_number() over (partition by demand_id order by t, event_type) as up,
                 row_number() over (partition by demand_id order by t desc, event_type desc) as down
-              from (select event_id % 500 as demand_id, event_type, min(ts) as t from events group by 1, 2))
+              from (select {EVENT_DEMAND} as demand_id, event_type, min(ts) as t from events group by 1, 2))
         group by 1""",
     "quotes": f"""
         select l_orderkey as demand_id, l_linenumber % 3 + 1 as card,
@@ -189,7 +194,7 @@ CTES: dict[str, str] = {
         where l.total_consignments > 0""",
     "token_forfeit": "select demand_id, sum(amount) as token_forfeit from tokens where status = 'FORFEITED' group by 1",
     "limits": """
-        select v.vehicle_type_id, coalesce(max(v.vehicle_height) > max(b.max_height), false) as high, coalesce(max(v.tonnage) > max(b.max_weight), false) as heavy
+        select v.vehicle_type_id, count(*) filter (v.vehicle_height > b.max_height) > 0 as high, count(*) filter (v.tonnage > b.max_weight) > 0 as heavy
         from vehicle_types v left join vehicle_bands b on b.body_type = v.body_type and b.tyre = v.tyre_count
           and v.size_in_ft between b.min_length and b.max_length
         group by 1""",
@@ -206,8 +211,10 @@ CTES: dict[str, str] = {
             case when request = 6 then 'DIESEL_VEHICLE' end], lambda x: x is not null) as priced_type
         from demands left join limits using (vehicle_type_id) where request <= 7""",
     "overrides": """
-        select o_orderkey as demand_id, 'D' || (o_orderkey % 25) as from_key, 'D' || (o_orderkey % 23) as to_key
-        from orders where o_orderstatus <> 'P'""",
+        select demand_id, from_key, to_key from (
+          select o_orderkey as demand_id, 'D' || (o_orderkey % 25) as from_key, 'D' || (o_orderkey % 23) as to_key from orders where o_orderstatus <> 'P'
+          union all select o_orderkey, 'D' || (o_orderkey % 7), 'D' || (o_orderkey % 5) from orders where o_orderstatus <> 'P' and o_orderkey % 15 = 2)
+        qualify row_number() over (partition by demand_id order by from_key, to_key) = 1""",
     "geography": f"""
         select demand_id, demand_date, coalesce(d.origin_district_key, s.from_key) as origin_district_key,
           coalesce(d.destination_district_key, s.to_key) as destination_district_key,
@@ -225,7 +232,7 @@ CTES: dict[str, str] = {
         left join districts t on t.key = coalesce(d.destination_district_key, s.to_key)""",
     "restrictions": f"""
         select cast(o_custkey as varchar) as consigner_user_code, o_orderdate + {_SHIFT} as start_time,
-          max(case when o_orderkey % 2 = 0 then 'RESTRICTED' else 'UNRESTRICTED' end) as status
+          max(case when o_orderkey % 6 = 0 then null when o_orderkey % 2 = 0 then 'RESTRICTED' else 'UNRESTRICTED' end) as status
         from orders where o_orderstatus = 'P' group by 1, 2""",
     "restriction": """
         select d.demand_id, coalesce(a.status, 'UNRESTRICTED') as consigner_payment_status,
@@ -257,16 +264,16 @@ CTES: dict[str, str] = {
     "search_supply": """
         select c_custkey as demand_id, floor(c_acctbal / 10.0)::double as total_opsearch_fo, floor(c_acctbal / 50.0)::double as opsearch_fo_10l_score,
           floor(c_acctbal / 100.0)::double as sub_more_than_20l_and_60km from customer""",
-    "engagement": """
+    "engagement": f"""
         select demand_id, count(operator_code) as fo_engage from (
-          select distinct user_id as operator_code, event_id % 500 as demand_id from events
+          select distinct user_id as operator_code, {EVENT_DEMAND} as demand_id from events
           where event_id % 17 <> 0 and event_id % 19 <> 0
             and ((event_type = 'view' and event_id % 3 <> 0) or event_type in ('click', 'purchase')))
         group by 1""",
-    "delivered": """
-        select event_id % 500 as demand_id,
+    "delivered": f"""
+        select {EVENT_DEMAND} as demand_id,
           count(distinct case when event_type = 'purchase' then user_id end) * 100.0::double / count(distinct user_id) as noitf_delivered_fo
-        from events where event_type <> 'error' group by 1""",
+        from events where event_type <> 'error' and event_id % 97 <> 0 group by 1""",
     "rate_catalog": """
         select p.p_partkey as odvt_base_rate_id, p.p_brand as source, timestamp '2000-01-01' + to_days(cast(p.p_partkey % 365 as int)) as created,
           p.p_type as base_rate_updated_by, p.p_retailprice as p1, p.p_retailprice + 100 as p2, p.p_retailprice + 200 as p3,
@@ -284,10 +291,10 @@ CTES: dict[str, str] = {
           join rate_catalog r on r.origin = d.origin and r.destination = d.destination and r.body_type = v.body_type and r.tyre_count = v.tyre_count
             and v.size_in_ft between r.min_length and r.max_length and v.tonnage between r.min_weight and r.max_weight)
         where rn = 1""",
-    "booked_by": """
+    "booked_by": f"""
         select demand_id, case when user_id % 3 = 0 then 'retry' else cast(user_id as varchar) end as dr_book_by from (
-          select event_id % 500 as demand_id, user_id, row_number() over (partition by event_id % 500 order by event_id desc) as rn
-          from events where event_type = 'click') where rn = 1""",
+          select {EVENT_DEMAND} as demand_id, user_id, row_number() over (partition by {EVENT_DEMAND} order by event_id desc) as rn
+          from events where event_type = 'click' and event_id % 97 <> 0) where rn = 1""",
     "margin": """
         select f.demand_id, updated_fare,
           case when actual < fare then 0 else s.shipper_discount end as shipper_discount,

@@ -13,8 +13,10 @@ from lanemart.plans import mart as M
 from lanemart.plans import pricing, vehicles
 from lanemart.plans.spine import demand_spine
 from lanemart.queries import query
-from lanemart.queries.helpers import Frames, rounded
-from lanemart.sinks.lake import arrays_to_text, materialize
+from lanemart.queries.helpers import Frames, rounded, scratch
+from lanemart.sinks.lake import arrays_to_text, write_parquet
+from lanemart.sinks.replace import BUCKET, replace_since_files, write_bucketed_by_id
+from lanemart.sources.readers import Sources
 from lanemart.standin import PARAMS
 
 
@@ -112,8 +114,15 @@ def special_requests(spark, root) -> DataFrame:
 def geography(spark, root) -> DataFrame:
     src = Frames(spark, root)
     spine = demand_spine(src["demands"], PARAMS).select("demand_id", "demand_date", "origin_district_key", "destination_district_key")
-    placed = GEO.with_overrides(GEO.with_places(spine, src["districts"]), src["district_overrides"], src["districts"])
-    return GEO.with_regions(placed, PARAMS).drop("demand_date")
+    placed = GEO.places(spine, src["districts"], override_sheet(spark, src["district_overrides"]), PARAMS)
+    return GEO.with_regions(spine.select("demand_id", "demand_date").join(placed, on="demand_id"), PARAMS).drop("demand_date")
+
+
+def override_sheet(spark, rows: DataFrame) -> DataFrame:
+    """The override sheet as it comes in: exported as CSV, read by the sheet reader."""
+    path = scratch(spark, "sheet")
+    rows.write.option("header", True).csv(path)
+    return Sources(spark).sheet(path, rows.schema)
 
 
 @query("select * from restriction")
@@ -154,8 +163,10 @@ def demand_type(spark, root) -> DataFrame:
       coalesce(total_opsearch_fo, 0)::double as total_opsearch_fo
     from outcome left join supply_match using (demand_id) left join search_supply using (demand_id)""")
 def non_placement_reason(spark, root) -> DataFrame:
-    return M.build_mart(Frames(spark, root), PARAMS).select(
-        "demand_id", "non_plc_reason", "pricing_special_req", "ccvt_supply_lane_match_fo", "total_opsearch_fo"
+    found = M.placement_reasons(Frames(spark, root), PARAMS)
+    return found.select(
+        "demand_id", "non_plc_reason", "pricing_special_req",
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("ccvt_supply_lane_match_fo", "total_opsearch_fo")],
     )
 
 
@@ -210,10 +221,36 @@ MART_SQL = """
     left join pricing_types pt using (demand_id) left join current_rates cr using (demand_id)"""
 
 
+def _as_sink(mart: DataFrame) -> DataFrame:
+    """The whole mart, arrays as text, money to four decimals."""
+    return rounded(arrays_to_text(mart))
+
+
+def _dates(src) -> DataFrame:
+    """Ids and dates of the demands, from which a run's bounds come."""
+    return src["demands"].select(F.col("id").alias("demand_id"), F.col("created").alias("demand_date"))
+
+
 @query(MART_SQL)
 def mart(spark, root) -> DataFrame:
-    """The flagship: the whole mart, arrays as text, money to four decimals.
+    """The flagship: a run of the job into a fresh target, of which the rows are returned."""
+    src, target = Frames(spark, root), scratch(spark, "mart")
+    M.run_mart(src, _dates(src), PARAMS, lambda df, _: write_parquet(_as_sink(df), target), scratch(spark, "work"))
+    return spark.read.parquet(target)
+
+
+@query(MART_SQL)
+def mart_job(spark, root) -> DataFrame:
+    """The job twice into one target laid out by id, with the override sheet as a file: replace-since, then the same again."""
+    src, target, width = Frames(spark, root), scratch(spark, "target"), 100_000
+    src = {**src, "district_overrides": override_sheet(spark, src["district_overrides"])}
+
+    def first(df: DataFrame, start: int) -> None:
+        write_bucketed_by_id(_as_sink(df), target, "demand_id", width)
+
+    def again(df: DataFrame, start: int) -> None:
+        replace_since_files(spark, target, _as_sink(df), "demand_id", start, width)
 
-    The spine and the lanes are written to the shared folder once, as on a cluster.
-    """
-    return rounded(arrays_to_text(M.build_mart(Frames(spark, root), PARAMS, cut=materialize)))
+    for write in (first, again):
+        M.run_mart(src, _dates(src), PARAMS, write, scratch(spark, "work"))
+    return spark.read.parquet(target).drop(BUCKET)

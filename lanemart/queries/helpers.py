@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,16 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[r4(F.col(c)).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's shared folder (``spark.checkpoint.dir``), or on one machine in a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="lanemart-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 class Frames(Mapping):
     """Source frames by name, built when asked for."""
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +22,8 @@ from lanemart.plans import consigners as G
 from lanemart.plans import pricing, spine, supply, vehicles
 from lanemart.queries import query
 from lanemart.queries.ctes import quoted, remark_regex
-from lanemart.queries.helpers import Frames, r4, rounded, table
-from lanemart.sinks.lake import shared_dir, write_parquet
+from lanemart.queries.helpers import Frames, r4, rounded, scratch, table
+from lanemart.sinks.lake import write_parquet
 from lanemart.sinks.replace import BUCKET, replace_since_files, write_bucketed_by_id
 from lanemart.sources import bounds
 from lanemart.sources.readers import literal_dim
@@ -55,6 +54,14 @@ def since_partition_filter(spark, root) -> DataFrame:
     return table(spark, root, "orders", "o_orderkey", at).filter(recent)
 
 
+@query("select o_orderkey, year(o_orderdate)::int as dpyear from orders where o_orderdate >= timestamp '1998-01-01'")
+def recent_partitions(spark, root) -> DataFrame:
+    """Reads only the partitions of the years from the start on."""
+    path, orders = scratch(spark, "years"), table(spark, root, "orders", "o_orderkey", "o_orderdate")
+    orders.select("o_orderkey", F.year("o_orderdate").alias("dpyear")).write.partitionBy("dpyear").parquet(path)
+    return bounds.recent(spark.read.parquet(path), dt.date(1998, 1, 1), ["dpyear"])
+
+
 @query("select o_orderkey, o_orderstatus from orders where o_orderkey >= 500")
 def since_id_filter(spark, root) -> DataFrame:
     return bounds.since_id(table(spark, root, "orders", "o_orderkey", "o_orderstatus"), "o_orderkey", 500)
@@ -209,10 +216,11 @@ def range_lookup(spark, root) -> DataFrame:
 
 @query("select * from current_rates")
 def range_lookup_latest(spark, root) -> DataFrame:
-    from lanemart.plans.mart import placed_spine
+    from lanemart.plans.mart import placed_demands, wide_spine
 
     src = Frames(spark, root)
-    wide = placed_spine(src, PARAMS)
+    spine = wide_spine(src, PARAMS)
+    wide = spine.select("demand_id", "vehicle_type_id").join(placed_demands(src, spine, PARAMS), on="demand_id")
     catalog = pricing.rate_catalog(src["current_rates"], src["rate_lanes"], src["places"], src["vehicle_bands"])
     return pricing.demand_rates(wide, catalog)
 
@@ -412,7 +420,7 @@ def first_subscription(spark, root) -> DataFrame:
 @query("""
     select demand_id, consigner_onboarding_date, consigner_fulfilled_demand_date, consigner_fulfilled_demand_id,
       case when demand_id > consigner_fulfilled_demand_id then 'Repeat Consigner' else 'New Consigner' end as consigner_type
-    from demands join history using (consigner_user_code)""")
+    from demands left join history using (consigner_user_code)""")
 def consigner_history(spark, root) -> DataFrame:
     demands = Frames(spark, root)["demands"]
     spine_rows = bounds.not_deleted(demands).select(F.col("id").alias("demand_id"), "consigner_user_code")
@@ -464,13 +472,9 @@ def engagement_count(spark, root) -> DataFrame:
 # --- sinks ---------------------------------------------------------------------------------------
 
 
-def _scratch(spark, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query("select o_orderkey, o_custkey, o_totalprice, o_orderdate from orders")
 def sink_roundtrip(spark, root) -> DataFrame:
-    path = _scratch(spark, "roundtrip")
+    path = scratch(spark, "roundtrip")
     write_parquet(table(spark, root, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), path)
     return spark.read.parquet(path)
 
@@ -479,7 +483,7 @@ def sink_roundtrip(spark, root) -> DataFrame:
     select o_orderkey, case when o_orderkey >= 700 then o_totalprice + 1 else o_totalprice end as o_totalprice
     from orders where o_orderkey < 700 or o_orderstatus <> 'P'""")
 def replace_since(spark, root) -> DataFrame:
-    path, start, width = _scratch(spark, "replace"), 700, 10_000
+    path, start, width = scratch(spark, "replace"), 700, 10_000
     orders = table(spark, root, "orders", "o_orderkey", "o_totalprice", "o_orderstatus")
     write_bucketed_by_id(orders.select("o_orderkey", "o_totalprice"), path, "o_orderkey", width)
     batch = bounds.since_id(orders, "o_orderkey", start).filter(F.col("o_orderstatus") != "P")

@@ -29,9 +29,14 @@ def build_session(
     catalogs: Mapping[str, Mapping[str, str]] | None = None,
     default_catalog: str | None = None,
     master: str | None = None,
+    initial_partitions: int | None = None,
 ) -> SparkSession:
     """Build a session.
 
+    ``initial_partitions`` is the number of partitions a shuffle starts with, before small ones are merged.
+    Adaptive execution merges but does not split ordinary partitions, so on large inputs it should be about the
+    largest shuffle's bytes over 128 MB (4000 for half a terabyte). Unset, it is the shuffle partitions.
+
     ``catalogs`` maps a catalog name to its options; the entry ``""`` is the implementing class,
     e.g. ``{"lake": {"": "org.apache.iceberg.spark.SparkCatalog", "warehouse": "..."}}``.
     """
@@ -39,6 +44,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
+    if initial_partitions is not None:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     for name, options in (catalogs or {}).items():
         for option, value in options.items():
             key = f"spark.sql.catalog.{name}" + (f".{option}" if option else "")

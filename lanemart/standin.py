@@ -17,7 +17,7 @@ from lanemart.sources.readers import Sources
 
 BODIES = ("container", "open", "trailer", "large", "medium", "small")
 TYRES = (4, 6, 10, 12, 14, 18)
-LENGTHS = ((1, 7), (8, 9), (10, 26), (27, 40), (41, 50))
+LENGTHS = ((1, 7), (8, 9), (10, 26), (27, 40), (41, 50), (20, 30))  # the last overlaps two others
 ZONES = {"SOUTH": ["AFRICA"], "WEST": ["AMERICA"], "EAST": ["ASIA"], "NORTH": ["EUROPE"]}
 REGION_NAMES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
@@ -49,8 +49,20 @@ def _days(n: Column) -> Column:
     return F.make_dt_interval(days=n.cast("int"))
 
 
-def _partitions(at: str) -> list[Column]:
-    return [F.year(at).alias("dpyear"), F.month(at).alias("dpmonth"), F.dayofmonth(at).alias("dpday")]
+def _partitions(at: str, old: Column | None = None) -> list[Column]:
+    """Partition columns of a time; ``old`` rows lie in a year before the start of the run."""
+    year = F.year(at) if old is None else F.when(old, 1994).otherwise(F.year(at))
+    return [year.alias("dpyear"), F.month(at).alias("dpmonth"), F.dayofmonth(at).alias("dpday")]
+
+
+def event_demand() -> Column:
+    """Demand of an event: half of them on 500 demands, some on 5000, some on 32 that are never placed."""
+    k = F.col("event_id")
+    return F.when(k % 4 == 0, k % 5000).when(k % 4 == 3, F.floor(k / 4) % 32 * 8 + 3).otherwise(k % 500)
+
+
+def old_event() -> Column:
+    return F.col("event_id") % 97 == 0
 
 
 class StandIn:
@@ -112,9 +124,9 @@ class StandIn:
 
         return j.select(
             k.alias("id"),
-            F.col("o_orderdate").alias("created"),
+            (F.col("o_orderdate") + F.make_dt_interval(hours=(k * 5 % 24).cast("int"))).alias("created"),
             (F.col("o_orderdate") + _days(k % 5)).alias("updated"),
-            F.col("o_custkey").cast("string").alias("consigner_user_code"),
+            F.when(k % 29 != 5, F.col("o_custkey").cast("string")).alias("consigner_user_code"),
             "vehicle_type_id",
             F.when(F.col("o_orderstatus") == "F", "FULFILLED").when(F.col("o_orderstatus") == "O", "PENDING").otherwise("EXPIRED").alias("status"),
             fare.alias("consigner_freight_fare"),
@@ -134,14 +146,16 @@ class StandIn:
         kind = F.col("event_type")
         return self.t("events", "event_id", "event_type", "ts", "user_id").select(
             F.col("event_id").alias("id"),
-            (F.col("event_id") % 500).alias("demand_id"),
+            event_demand().alias("demand_id"),
             F.when(kind == "signup", "DR").when(kind == "click", "DR_BOOK").when(kind == "error", "CANCELLED").otherwise(F.upper(kind)).alias("sub_status"),
             F.col("ts").alias("created"),
             F.when(F.col("user_id") % 3 == 0, "retry").otherwise(F.col("user_id").cast("string")).alias("created_by"),
+            *_partitions("ts", old_event()),
         )
 
     def addresses(self) -> DataFrame:
-        return self.t("lineitem", "l_orderkey").select(F.col("l_orderkey").alias("demand_id"))
+        lines = self.t("lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
+        return lines.select(F.col("l_orderkey").alias("demand_id"), *_partitions("l_shipdate", F.col("l_linenumber") == 7))
 
     def cancellations(self) -> DataFrame:
         return self.t("lineitem", "l_orderkey", "l_returnflag").select(
@@ -151,11 +165,14 @@ class StandIn:
 
     def district_overrides(self) -> DataFrame:
         k = F.col("o_orderkey")
-        return self.t("orders", "o_orderkey", "o_orderstatus").filter(F.col("o_orderstatus") != "P").select(
-            k.alias("demand_id"),
-            F.concat(F.lit("D"), (k % 25).cast("string")).alias("from_key"),
-            F.concat(F.lit("D"), (k % 23).cast("string")).alias("to_key"),
-        )
+        def row(a: int, b: int) -> Column:
+            keys = [F.concat(F.lit("D"), (k % n).cast("string")).alias(c) for n, c in ((a, "from_key"), (b, "to_key"))]
+            return F.struct(*keys)
+
+        # Some demands stand in the sheet twice.
+        rows = F.when(k % 15 == 2, F.array(row(25, 23), row(7, 5))).otherwise(F.array(row(25, 23)))
+        listed = self.t("orders", "o_orderkey", "o_orderstatus").filter(F.col("o_orderstatus") != "P")
+        return listed.select(k.alias("demand_id"), F.inline(rows))
 
     # --- consignments and ledgers ---
 
@@ -169,7 +186,8 @@ class StandIn:
             .otherwise(F.to_json(F.struct(F.col("l_extendedprice").alias("supplyFare")))).alias("expense_data"),
             F.col("l_shipdate").alias("created"),
             F.col("l_shipdate").alias("updated"),
-            F.when(F.col("l_quantity") > 1, F.col("l_suppkey").cast("string")).alias("operator_code"),
+            # One demand in eight never gets an operator.
+            F.when((F.col("l_quantity") > 1) & (F.col("l_orderkey") % 8 != 3), F.col("l_suppkey").cast("string")).alias("operator_code"),
             F.col("l_partkey").alias("vehicle_id"),
             F.when(F.col("l_linestatus") == "F", "TRIP_END").otherwise("IN_TRANSIT").alias("state"),
             F.when(F.col("l_quantity") == 50, "true").otherwise("false").alias("deleted"),
@@ -190,13 +208,14 @@ class StandIn:
 
     def _ledger(self, key: Column, name: str, types: tuple[str, str], party: str, rate: str) -> DataFrame:
         flag = F.col("l_returnflag")
-        return self.t("lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice", rate).select(
+        return self.t("lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice", "l_shipdate", rate).select(
             key.alias(name),
             F.when(flag == "A", types[0]).when(flag == "N", types[1]).otherwise("OTHER").alias("type"),
             F.when(F.col("l_linestatus") == "F", "CREDIT").otherwise("DEBIT").alias("category"),
             (F.col("l_extendedprice") * F.col(rate)).alias("amount"),
             F.lit(party).alias("party_type"),
             F.lit("false").alias("deleted"),
+            *_partitions("l_shipdate", F.col("l_linenumber") == 7),
         )
 
     def consignment_expense(self) -> DataFrame:
@@ -210,11 +229,14 @@ class StandIn:
     # --- dimensions ---
 
     def consigners(self) -> DataFrame:
+        own = F.struct(F.col("c_mktsegment").alias("type"), F.col("c_name").alias("name"))
+        other = F.struct(F.lit("ALT").alias("type"), F.lit("Other 99").alias("name"))
+        # Some codes occur twice.
+        rows = F.when(F.col("c_custkey") % 10 == 3, F.array(own, other)).otherwise(F.array(own))
         return self.t("customer", "c_custkey", "c_name", "c_mktsegment").select(
             F.col("c_custkey").cast("string").alias("code"),
-            F.col("c_mktsegment").alias("type"),
-            F.col("c_name").alias("name"),
             F.when(F.col("c_custkey") % 50 == 49, "true").otherwise("false").alias("deleted"),
+            F.inline(rows),
         )
 
     @staticmethod
@@ -243,7 +265,7 @@ class StandIn:
         rows = [
             (
                 body.upper(), tyre, float(low), float(high), 10.0 if (tyre == 10 and low >= 27) else 0.0,
-                20.0 if tyre == 4 else 25.0, 4.7 + 0.05 * n, "PRICING", "false",
+                20.0 if tyre == 4 else 25.0, 9.0 if n == 5 else 4.7 + 0.05 * n, "PRICING", "false",
             )
             for body in BODIES
             for tyre in TYRES
@@ -398,7 +420,7 @@ class StandIn:
 
     def segment_mapping(self) -> DataFrame:
         return self.t("events", "event_id", "event_type", "ts").select(
-            (F.col("event_id") % 500).alias("demand_id"),
+            event_demand().alias("demand_id"),
             F.col("event_type").alias("segment_config"),
             F.col("ts").alias("created_at"),
         )
@@ -410,7 +432,8 @@ class StandIn:
         return o.select(
             epoch_seconds(F.col("o_orderdate")).cast("string").alias("start_time"),
             F.col("o_custkey").cast("string").alias("consigner_code"),
-            F.when(F.col("o_orderkey") % 2 == 0, "RESTRICTED").otherwise("UNRESTRICTED").alias("status"),
+            F.when(F.col("o_orderkey") % 6 == 0, F.lit(None)).when(F.col("o_orderkey") % 2 == 0, "RESTRICTED")
+            .otherwise("UNRESTRICTED").alias("status"),
             F.lit("false").alias("deleted"),
             *_partitions("o_orderdate"),
         )
@@ -482,7 +505,7 @@ class StandIn:
 
     def _app_events(self, kind: str) -> DataFrame:
         k = F.col("event_id")
-        demand = (k % 500).cast("string")
+        demand = event_demand().cast("string")
         even = k % 2 == 0
         return self.t("events", "event_id", "event_type", "user_id").filter(F.col("event_type") == kind).select(
             F.col("user_id").cast("string").alias("operator_code"),
@@ -504,11 +527,12 @@ class StandIn:
 
     def notifications(self) -> DataFrame:
         kind, k = F.col("event_type"), F.col("event_id")
-        return self.t("events", "event_id", "event_type", "user_id").select(
-            (k % 500).alias("demand_id"),
+        return self.t("events", "event_id", "event_type", "user_id", "ts").select(
+            event_demand().alias("demand_id"),
             F.col("user_id").cast("string").alias("user_code"),
             F.when(kind == "purchase", "DELIVERED").otherwise("SENT").alias("status"),
             F.when(kind == "error", "Marketing").when(k % 2 == 0, "Bidding").otherwise("Booking Automation").alias("notification_type"),
+            *_partitions("ts", old_event()),
         )
 
 
@@ -520,8 +544,3 @@ FRAMES = (
     "restrictions", "gps_lanes", "operators", "operator_vehicles", "vehicles", "subscriptions", "search_supply",
     "app_events_1", "app_events_2", "app_events_3", "notifications",
 )
-
-
-def source_frames(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    stand_in = StandIn(spark, root)
-    return {name: getattr(stand_in, name)() for name in FRAMES}

@@ -59,15 +59,17 @@ def difference(df, con, sql: str) -> str | None:
 
 
 def main(root: str, only: list[str]) -> int:
-    import __spark_entry__ as entry
     from lanemart.session import build_session
 
-    conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
-    spark = build_session(master="local[8]", conf=conf)
+    conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"}
+    spark = build_session(master="local[4]", conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(root), 0
-    sqls = entry.oracle_sql()
-    for name, fn in entry.queries().items():
+    import __spark_entry__  # noqa: F401  registers the queries
+    from lanemart.queries import ORACLES as sqls
+    from lanemart.queries import QUERIES
+
+    for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         t = time.time()

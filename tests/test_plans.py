@@ -9,11 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lanemart.plans.mart import build_mart, wide_spine
 from lanemart.queries import QUERIES
+from lanemart.queries.helpers import Frames
 from lanemart.sources.bounds import not_deleted, recent, since_id
+from lanemart.standin import PARAMS
 
 BAD = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas", "FlatMapGroups")
-LIGHT = [n for n in QUERIES if n not in ("sink_roundtrip", "replace_since")]
+LIGHT = [n for n in QUERIES if n not in ("sink_roundtrip", "replace_since", "mart", "mart_job", "recent_partitions")]
 
 
 def plan(df) -> str:
@@ -27,14 +30,16 @@ def test_no_python_and_no_cross_join(spark, root, name):
 
 
 def test_big_sides_are_not_broadcast_by_hint(spark, root):
-    """With size-based broadcasting off, what is still broadcast has a bound of its own: the literal zones,
-    and the crowded buckets of the two scans (each joined to the rows and to the bucket starts)."""
+    """With size-based broadcasting off, only the literal zones are still broadcast."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(entry.queries()["mart"](spark, root))
-        assert text.count("BroadcastHashJoin") == 5
+        src = Frames(spark, root)
+        text = plan(build_mart(src, PARAMS))
+        assert text.count("BroadcastHashJoin") == 1
         assert not [b for b in BAD if b in text]
+        # The wide spine does not move before the cut.
+        assert "Exchange" not in plan(wide_spine({"demands": spark.createDataFrame([], src["demands"].schema)}, PARAMS))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
@@ -55,6 +60,21 @@ def test_partition_and_data_filters_reach_the_scan(spark, tmp_path):
     assert years == {2021}
 
 
+@pytest.mark.parametrize(("name", "inputs"), [("lane_match_count", 2), ("asof_before", 2), ("fulfilled_rank", None)])
+def test_folds_read_their_inputs_once(spark, root, name, inputs):
+    """In the plan that ran, every input of a fold is scanned once: the second use of the exchange is reused."""
+    df = QUERIES[name](spark, root)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in text
+    if inputs:
+        assert text.count("FileScan parquet") == inputs
+
+
+def test_recent_prunes_partitions(spark, root):
+    assert re.search(r"PartitionFilters: \[isnotnull\(dpyear#\d+\), \(dpyear#\d+ >= 1998\)", plan(QUERIES["recent_partitions"](spark, root)))
+
+
 def test_latest_consignment_takes_one_shuffle(spark, root):
     text = plan(entry.queries()["latest_with_count"](spark, root))
     assert text.count("Exchange hashpartitioning") == 1

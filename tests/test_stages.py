@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from lanemart.fixed import MartParams
 from lanemart.plans import consignments as C
-from lanemart.plans import pricing, spine, supply, vehicles
+from lanemart.operators.joins import duplicate_keys
+from lanemart.plans import consigners, geography, pricing, spine, supply, vehicles
 from lanemart.plans.geography import with_regions
-from lanemart.plans.mart import OUTPUT, build_mart
+from lanemart.plans.mart import OUTPUT, build_mart, demand_parts, placement_reasons, wide_spine
+from lanemart.queries import QUERIES, domain  # noqa: F401
 from lanemart.queries.helpers import Frames
+from lanemart.sinks.lake import Cuts
+from lanemart.sources.bounds import not_deleted, recent
 from lanemart.standin import PARAMS
 
 P = MartParams(start=dt.date(2024, 1, 1), as_of=dt.date(2024, 2, 8))
@@ -27,6 +31,11 @@ def rows(df, *order):
     return [tuple(r) for r in df.orderBy(*order).collect()]
 
 
+def dated(df, *without):
+    """With partition columns of a day within the run, as the sources have."""
+    return df.withColumns({c: F.lit(n) for c, n in (("dpyear", 2024), ("dpmonth", 2), ("dpday", 20)) if c not in without})
+
+
 def tokens(spark):
     hot = [
         (1, "o1", "SUCCESS", '{"triggerSource": "APP", "biddingType": "M"}', at(2, 1)),
@@ -39,7 +48,7 @@ def tokens(spark):
     cold = [(5, "o3", "FORFEITED", None, None, 150, at(1, 31)), (6, "o3", "FORFEITED", None, None, 1, at(2, 1)), (6, "o3", "FORFEITED", None, None, 1, dt.datetime(2023, 12, 31))]
     h = spark.createDataFrame(hot, "demand_id long, operator_code string, status string, metadata string, created timestamp_ntz").withColumn("deleted", F.lit("false"))
     c = spark.createDataFrame(cold, "demand_id long, operator_code string, status string, trigger_source string, bidding_type string, amount_in_paisa long, created timestamp_ntz").withColumn("deleted", F.lit("false"))
-    return pricing.tokens(h, c, P)
+    return pricing.tokens(dated(h), c, P)
 
 
 def test_placement_and_forfeit(spark):
@@ -60,8 +69,9 @@ def test_base_rates(spark):
         q,
     ).withColumn("deleted", F.lit("false"))
     cold = spark.createDataFrame([(1, "rate_card_3", 200.0, at(1, 31)), (2, "rate_card_1", 100.5, at(1, 5)), (2, "rate_card_2", None, at(1, 5))], "demand_id long, operator_code string, quote double, created timestamp_ntz")
-    config = spark.createDataFrame([(1, '{"value": "10"}'), (1, '{"value": "5"}'), (2, '{"value": ""}')], "demand_id long, internal_commission string").withColumn("deleted", F.lit("false"))
-    got = pricing.base_rates(hot, cold, config, P)
+    config = spark.createDataFrame([(1, '{"value": "10"}'), (1, '{"value": "5"}'), (2, '{"value": ""}')], "demand_id long, internal_commission string")
+    config = config.withColumns({"deleted": F.lit("false"), "base_rate_source": F.lit(None).cast("string"), "experiment_ids": F.lit("")})
+    got = pricing.base_rates(dated(hot), cold, dated(config), P)
     assert rows(got, "demand_id") == [(1, 1, 1200.0, None, 300.0), (2, 1, 100.0, None, None)]
 
 
@@ -76,7 +86,7 @@ def test_special_requests(spark):
     ).withColumn("deleted", F.lit("false"))
     types = spark.createDataFrame([(1, "OPEN", 4, 6.0, 1.0, 9.0), (2, "open", 4, 6.0, 1.0, 1.0)], "id long, body_type string, tyre_count int, size_in_ft double, tonnage double, vehicle_height double").withColumn("deleted", F.lit("false"))
     bands = spark.createDataFrame([(1, "Open", 4, 1.0, 7.0, 0.0, 2.0, 5.0, "PRICING", "false"), (2, "Open", 4, 1.0, 7.0, 0.0, 2.0, 99.0, "OTHER", "false")], "id long, body_type string, tyre int, min_length double, max_length double, min_weight double, max_weight double, max_height double, flow string, deleted string")
-    got = vehicles.special_requests(demands, types, bands, P)
+    got = vehicles.special_requests(dated(demands), types, bands, P)
     assert rows(got, "demand_id") == [
         (1, 1, ["OVER_HEIGHT", "DIESEL_VEHICLE"], 1, ["OVER_HEIGHT", "DIESEL_VEHICLE"]), (2, 1, ["OPEN_DALA"], 1, ["OVER_HEIGHT", "OPEN_DALA"]), (5, 1, ["OVER_WEIGHT"], 0, None),
     ]
@@ -88,11 +98,12 @@ def test_consignments_edges(spark):
         (1, "X-1", 1, '{"supplyFare": ""}', at(1), at(1), None, 1, "A", "false"), (2, "X-1", 1, '{"supplyFare": "7.5"}', at(1), at(1), "o", 1, "B", "false"),
         (3, "X-3", 2, "{}", at(1), at(1), "o", 1, "C", "true"), (4, "X", 3, '{"supplyFare": ""}', at(1), at(1), None, 1, "D", "false"),
     ]
-    consignments = spark.createDataFrame(data, schema)
+    consignments = dated(spark.createDataFrame(data, schema))
     got = C.latest_consignments(consignments, P).select("demand_id", "consignment_id", "supplyfare", "total_consignments")
     assert rows(got, "demand_id") == [(1, 2, 7.5, 1), (3, 4, 0.0, 0)]
     ledger = [(1, "TRIP DISCOUNT", 5.0, "CREDIT"), (1, "WE DISCOUNT - REVERSAL", 2.0, "DEBIT"), (1, "x", 9.0, "DEBIT"), (8, "TRIP DISCOUNT", 1.0, "CREDIT")]
-    expenses = spark.createDataFrame(ledger, "consignment_id long, type string, amount double, category string").withColumns({"party_type": F.lit("OPERATOR"), "deleted": F.lit("false")})
+    expenses = spark.createDataFrame(ledger, "consignment_id long, type string, amount double, category string")
+    expenses = dated(expenses.withColumns({"party_type": F.lit("OPERATOR"), "deleted": F.lit("false")}))
     # two consignments carry number 1: the sums stay single
     assert rows(C.operator_commission(expenses, consignments, P), "consignment_id") == [(1, 5.0, 2.0)]
 
@@ -114,6 +125,43 @@ def test_zones(spark):
     assert sorted(map(tuple, got.collect()), key=str) == [("WEST", "NCR"), (None, "Non_NCR")]
 
 
+def test_pricing_limits_count_any_matching_band(spark):
+    types = spark.createDataFrame([(1, "OPEN", 4, 6.0, 1.0, 3.0)], "id long, body_type string, tyre_count int, size_in_ft double, tonnage double, vehicle_height double").withColumn("deleted", F.lit("false"))
+    rows_ = [(1, "Open", 4, 1.0, 7.0, 0.0, 2.0, 2.0, "PRICING", "false"), (2, "Open", 4, 5.0, 9.0, 0.0, 2.0, 9.0, "PRICING", "false")]
+    bands = spark.createDataFrame(rows_, "id long, body_type string, tyre int, min_length double, max_length double, min_weight double, max_weight double, max_height double, flow string, deleted string")
+    assert rows(vehicles.pricing_limits(types, bands), "vehicle_type_id") == [(1, True, False)]
+
+
+def test_repeated_codes_and_sheet_rows_are_one_row_each(spark):
+    codes = spark.createDataFrame([("a", "T2", "x", "false"), ("a", "T1", "testing", "false"), ("b", "T", "y", "true")], "code string, type string, name string, deleted string")
+    assert rows(consigners.consigner_types(codes, P), "consigner_user_code") == [("a", "T1", "Testing")]
+    sheet = spark.createDataFrame([(1, "D2", "D9"), (1, "D1", "D3"), (2, None, "D1")], "demand_id long, from_key string, to_key string")
+    assert rows(geography.overrides_once(sheet), "demand_id") == [(1, "D1", "D3"), (2, None, "D1")]
+
+
+def test_filters_do_not_vanish(spark):
+    df = spark.createDataFrame([(1, 2010, 1)], "id long, dpyear int, dpmonth int")
+    with pytest.raises(ValueError, match="dpday"):
+        recent(df, P.start)
+    with pytest.raises(ValueError, match="deleted"):
+        not_deleted(df)
+    assert recent(df, P.start, ["dpyear"]).count() == 0
+
+
+def test_every_rung_is_reached(spark):
+    src = Frames(spark, "/root/testdata/sf0.01")
+    reasons = {r[0] for r in placement_reasons(src, PARAMS).select("non_plc_reason").distinct().collect()}
+    assert len(reasons) == 9, reasons
+    kinds = {r["plc_demand_type"] for r in QUERIES["demand_type"](spark, "/root/testdata/sf0.01").select("plc_demand_type").distinct().collect()}
+    assert kinds == {"NIGHT_DEMAND", "FO_BACKOUT_DEMAND", "MULTIPLE_CONSIGNMENTS", "NORMAL_DEMAND"}
+
+
+def test_every_part_has_one_row_per_demand(spark, root):
+    src = Frames(spark, root)
+    for name, part in demand_parts(src, wide_spine(src, PARAMS), PARAMS).items():
+        assert duplicate_keys(part, "demand_id").count() == 0, name
+
+
 @pytest.fixture(scope="module")
 def mart(spark, root):
     return build_mart(Frames(spark, root), PARAMS).cache()
@@ -141,10 +189,12 @@ def test_mart_domains(mart):
     assert off.count() == 0 and mart.filter("pnl is null").count() == 0
 
 
-def test_mart_with_lineage_cut_and_expired_rule(mart, spark, root):
-    from lanemart.sinks.lake import materialize
+def test_mart_with_lineage_cut_and_expired_rule(mart, spark, root, tmp_path):
+    with Cuts(spark, str(tmp_path)) as cut:
+        _compare(mart, build_mart(Frames(spark, root), replace(PARAMS, cancel_only_expired=True), cut=cut))
+
 
-    expired = build_mart(Frames(spark, root), replace(PARAMS, cancel_only_expired=True), cut=materialize)
+def _compare(mart, expired):
     same = [c for c in OUTPUT if c not in ("demand_cancel_time", "non_plc_reason")]
     assert expired.select(same).exceptAll(mart.select(same)).count() == 0
     assert expired.filter("status <> 'EXPIRED' and demand_cancel_time is not null").count() == 0
