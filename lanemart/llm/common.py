@@ -34,6 +34,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def remainder(id_column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % divisor
