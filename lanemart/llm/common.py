@@ -50,7 +50,7 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 #: Rows of whole texts, and bytes, that go to a Python worker at a time.
-TEXT_ROWS, TEXT_BYTES = 256, 8 << 20
+TEXT_ROWS, TEXT_BYTES = 256, 2 << 20
 
 
 def text_batches(df: DataFrame) -> DataFrame:

@@ -51,9 +51,9 @@ from lanemart.llm.elias_fano import Trie, numbered, runs
 #: Bytes of text per shard of the trie, of the unigrams, and per part of the sums.
 SHARD_BYTES, WORD_BYTES, PART_BYTES = 16 << 20, 64 << 20, 64 << 20
 #: Tokens that a task gathers before it sends blocks.
-GATHER = 1_000_000
+GATHER = 600_000
 #: N-grams that a shard works on at a time.
-RANGE = 250_000
+RANGE = 120_000
 #: Bytes of text hashed at a time.
 PIECE = 4 << 20
 DISCOUNT = 0.75
