@@ -37,6 +37,7 @@ texts are read in pieces of ``PIECE`` bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -229,6 +230,14 @@ def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.nda
         yield int(shard[a]), _pack(**block, keys=keys[owners], flags=flags[owners].view(np.uint8))
 
 
+def _release() -> None:
+    """Give freed memory back to the system: a worker is used again, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _sent(kind: str, rows) -> Iterator[pa.RecordBatch]:
     for shard, block in rows:
         yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([shard], pa.int64()), pa.array([block], pa.binary())], names=["kind", "shard", "block"])
@@ -247,6 +256,8 @@ def _trigram_blocks(rows: DataFrame, shards: int) -> DataFrame:
             one[first] = begin
             two[first | np.roll(first, 1)] = begin
             yield from _sent("trigrams", _blocks((one, two, w), ("first", "before", "last"), owner, words, shards, keys, flags))
+            del tokens, owner, w, one, two, first, words
+            _release()
 
     return rows.mapInArrow(each, _SENT)
 
@@ -256,6 +267,8 @@ def _word_blocks(rows: DataFrame, shards: int) -> DataFrame:
         for tokens, owner, keys, flags in _batches(batches):
             words, w = numbered(tokens)
             yield from _sent("words", _blocks((w.astype(np.int32),), ("word",), owner, words, shards, keys, flags))
+            del tokens, owner, w, words
+            _release()
 
     return rows.mapInArrow(each, _SENT)
 
@@ -344,6 +357,7 @@ def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, disco
         for _, found in _by_shard(batches):
             shard = Shard([b for _, b in found], _TRIGRAM)
             score, fallen = np.zeros(len(shard.keys)), []
+            del found
             for words, grams, of, owner, times, counts in shard.ranges():
                 known, numbers = _training_grams(len(words), grams, counts)
                 value, open_ = Trie(words, *known, numbers, discount).query(words, *grams)
@@ -352,6 +366,8 @@ def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, disco
                 fallen.append((words[grams[2][of[at]]], owner[at], times[at]))
             yield from _sent("sums", _text_sums(shard.keys, parts, score=score))
             yield from _sent("fallen", _fallen_blocks(shard.keys, *map(np.concatenate, zip(*fallen)), word_shards))
+            del shard, fallen, words, grams, of, owner, times, counts
+            _release()
 
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
