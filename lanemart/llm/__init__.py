@@ -1 +1,8 @@
 """Operators of a training-data pipeline: scoring, filtering, de-duplication, formatting, mixing."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with their code, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

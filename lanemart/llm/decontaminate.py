@@ -204,10 +204,8 @@ def automata(benchmark: DataFrame, window: int, id_column: str = "item_id", text
 
 def _pass(docs: DataFrame, automaton: SuffixAutomaton, last: bool) -> DataFrame:
     """Add an automaton's findings to ``n_words``, ``edges`` and ``items``; the last pass lets go of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = shared.value
+        auto = automaton
         for batch in batches:
             out = {"id": batch.column(0), "n_words": [], "edges": [], "items": []}
             for text, before, items in zip(batch.column(1), batch.column(2), batch.column(3)):
@@ -257,10 +255,8 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame
 
 
 def _cut_pass(docs: DataFrame, automaton: SuffixAutomaton, at: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = shared.value
+        auto = automaton
         for batch in batches:
             texts, gone, words = [], [], []
             for text in batch.column(at):

@@ -206,13 +206,12 @@ def train(
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", name: str = "score") -> DataFrame:
     """The documents with a column ``name``, the probability of label 1, in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BINS numbers per feature, and a few grids
     kept = [f for f in docs.schema.fields if f.name != text_column]
     rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_column).cast("string").alias(text_column))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.score(_featured(batch.column(batch.num_columns - 1)))
+            scores = model.score(_featured(batch.column(batch.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], name])
 
     return text_batches(rows).mapInArrow(each, T.StructType([*kept, T.StructField(name, T.DoubleType())]))

@@ -349,11 +349,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "d
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", name: str = "score") -> DataFrame:
     """The documents with a column ``name``, the probability that they are toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # LANDMARKS rows of numbers
     at = docs.columns.index(text_column)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, seen = shared.value, {}
+        fitted, seen = model, {}  # LANDMARKS rows of numbers, sent with the function
         for batch in batches:
             texts, scores = batch.column(at), []
             for k in range(0, len(texts), TOGETHER):
