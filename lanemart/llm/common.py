@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Have the shuffle files of frames that are no longer in use removed now, rather than some time later.
+
+    Spark removes them when the driver's garbage collection finds that nothing refers to them.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanemart.llm.common import cut, text_batches
+from lanemart.llm.common import cut, forget, text_batches
 from lanemart.llm.elias_fano import Trie, numbered, runs
 
 #: Bytes of text per shard of the trie, of the unigrams, and per part of the sums.
@@ -453,7 +453,9 @@ def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text_column
     shards, word_shards, parts = (1 + int(size) // n for n in (SHARD_BYTES, WORD_BYTES, PART_BYTES))
     rows = text_batches(keyed.select("key", "text", "train"))
     answered = cut(_answers(_trigram_blocks(rows, shards), shards, word_shards, parts, discount))
+    forget(docs.sparkSession)  # the largest shuffle, which nothing needs from here on
     counted = cut(_counts(_word_blocks(rows, word_shards).union(answered.filter("kind = 'fallen'")), word_shards, parts))
+    forget(docs.sparkSession)
     totals = np.sum([_unpack(r["block"])["total"] for r in counted.filter("kind = 'total'").toLocalIterator()] or [np.zeros(2)], axis=0)
     tokens, kinds = int(totals[0]), int(totals[1])
     sums = _sums(answered.union(counted).filter("kind = 'sums'"), parts)
