@@ -12,14 +12,21 @@
    linked to the smallest node that meets it there. Those links connect the same nodes as all pairs would.
 5. Components of the links, by star operations.
 
-``near_groups`` reports such groups. ``deduplicate`` drops near copies of which the sets of shingles have a
-similarity of ``SIMILARITY`` or more. At 0.8 two fingerprints differ in 9 bits of 64 on average, more than blocks
-can be promised for, and the number varies a good deal. So it takes ``FAMILIES`` fingerprints of independent
-hashes, looks for pairs that agree on any ``EQUAL`` of ``CUTS`` blocks of any of them, and verifies the distance over
-all their bits together. The chance that a pair meets is 0.84 at similarity 0.8 and 0.99 at 0.9 (README.md has
-measurements). Of a pair the larger id goes. Families are settled one after the other on what is left, and in a
-crowded bucket all members meet its smallest one, then what is left of it again, so a large group of near copies
-melts away in a few rounds instead of giving all its pairs.
+``near_groups`` reports such groups. ``deduplicate`` drops near copies of which the sets of shingles have a Jaccard
+similarity of ``SIMILARITY`` or more, and keeps the smallest id of every group that such pairs connect:
+
+1. Documents of equal sets become one node. A node has ``BANDS * ROWS`` MinHash values; nodes that agree on all
+   values of a band share a bucket. A pair at 0.8 misses all buckets with a probability of 10^-6.
+2. A pair counts only if the similarity of its two sets, as 64-bit hashes of shingles, is high enough. Before, pairs
+   go whose MinHash values agree five standard deviations too seldom.
+3. A bucket that is in one component already gives no pairs. In a bucket of more than ``MEET`` nodes all meet
+   ``PIVOTS`` of them, round by round. Where at most ``MEET`` nodes are then outside the largest component, those
+   meet all others.
+4. Nodes of other buckets (a passage in many texts) are compared by prefixes: if shingles are ordered by the number
+   of components that have them, a pair that is similar enough shares one of the first ``n - ceil(similarity * n) + 1``
+   of both its sets. Shingles of one component cannot link two, so what a template adds is not looked at. Where
+   buckets of a shared shingle are crowded after step 3, they are parted by the next one that is shared, the
+   prefixes growing by one, so that no pair is lost.
 
 Defined cases: null text counts as empty and has fingerprint zero, which is linked like any other. Repeated
 rows each get their row. A null id never becomes a representative unless all ids of a component are null. An
@@ -30,7 +37,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -47,12 +53,12 @@ BITS = 64
 BLOCKS_MORE = 3
 #: Nodes in a bucket up to which its pairs are joined directly.
 CROWD = 64
-#: ``deduplicate``: least similarity, fingerprints per text, blocks they are cut into, and how many have to agree.
-#: The agreeing blocks have 24 bits, which suits up to some ten million texts; beyond, cut into fewer blocks and
-#: take more families.
-SIMILARITY, FAMILIES, CUTS, EQUAL = 0.8, 4, 8, 3
-#: Members of a bucket up to which its pairs are joined there.
-MELT = 16
+#: ``deduplicate``: least similarity, MinHash bands, and values in each.
+SIMILARITY, BANDS, ROWS = 0.8, 26, 4
+#: Nodes of a bucket that meet all nodes of a crowded one, and shared shingles by which a crowded bucket is parted.
+PIVOTS, DEPTH = 4, 4
+#: Members of a bucket of ``deduplicate`` up to which its pairs are joined there.
+MEET = 32
 #: Dropped ids up to which they are broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Shingles hashed at a time, so that a very long text needs no more memory than a short one.
@@ -70,40 +76,28 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()  # bytes: A-Z only, and splits at ASCII white space only
 
 
-def _mixed(x: np.ndarray, family: int) -> np.ndarray:
-    """Hashes of another family, from those of the first."""
-    if family:
-        x = x ^ np.uint64(0x9E3779B97F4A7C15 * family % (1 << 64))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x = x ^ (x >> np.uint64(31))
-    return x
-
-
-def fingerprint(text: str | None, size: int, families: int = 1) -> list[int]:
-    """SimHashes of one text as signed 64-bit integers, the first over XXH64 itself."""
+def fingerprint(text: str | None, size: int) -> int:
+    """SimHash of one text as a signed 64-bit integer."""
     words = words_of(text)
-    ones, total = np.zeros((families, BITS), dtype=np.int64), max(1, len(words) - size + 1) if words else 0
+    ones, total = np.zeros(BITS, dtype=np.int64), max(1, len(words) - size + 1) if words else 0
     digest, left = xxhash.xxh64_intdigest, shingles(words, size)
     for start in range(0, total, CHUNK):
         n = min(CHUNK, total - start)
         hashes = np.fromiter((digest(s, 42) for _, s in zip(range(n), left)), dtype=np.uint64, count=n)
-        for k in range(families):
-            octets = _mixed(hashes, k).view(np.uint8).reshape(-1, 8)
-            ones[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > total, axis=1, bitorder="little").view(np.int64).ravel().tolist()
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > total, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str, text_column: str, size: int, families: int = 1) -> DataFrame:
-    """``(id, fps)`` per row of the documents."""
+def fingerprints(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
+    """``(id, fp)`` per row of the documents."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), size, families) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64()))], names=["id", "fps"])
+            fps = [fingerprint(t.as_py(), size) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
-    return text_batches(rows).mapInArrow(each, f"id {docs.schema[id_column].dataType.simpleString()}, fps array<long>")
+    return text_batches(rows).mapInArrow(each, f"id {docs.schema[id_column].dataType.simpleString()}, fp long")
 
 
 def _signed(bits: int) -> int:
@@ -158,7 +152,7 @@ def near_groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 3, distance: int = 2
 ) -> DataFrame:
     """One row per document: id, ``fingerprint`` (hex), ``component_id`` (smallest id reachable)."""
-    rows = cut(fingerprints(docs, id_column, text_column, size).select("id", F.col("fps")[0].alias("fp")))
+    rows = cut(fingerprints(docs, id_column, text_column, size))
     nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
     # Nodes with a link, and the smallest id in their component; all others stand for themselves.
     rooted = components(links(nodes, distance))
@@ -173,55 +167,167 @@ def near_groups(
     )
 
 
-def most_bits(similarity: float, bits: int) -> int:
-    """Bits in which fingerprints of texts of a Jaccard similarity may differ: the mean and a standard deviation."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * p + math.sqrt(bits * p * (1 - p)))
-
-
-def _near(a: str, b: str, most: int) -> Column:
-    differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.aggregate(differing, F.lit(0), lambda n, x: n + x) <= most
-
-
-def _losers(nodes: DataFrame, family: int, most: int) -> DataFrame:
-    """``(id)`` of the nodes that go for a smaller one they meet in a bucket of one family."""
-    keyed = nodes.select("id", _keys(F.col("fps")[family], _masks(CUTS, EQUAL)).alias("key")).select("id", "key.k", "key.v")
-    met = keyed.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared, limit = cut(keyed.join(met, ["k", "v"]).join(nodes, "id")), MELT
-    found = []
-    while True:
-        sizes = shared.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
-        rows = cut(shared.join(sizes.filter("n > 1"), ["k", "v"]))
-        small, crowded = rows.filter(F.col("n") <= limit), rows.filter(F.col("n") > limit)
-        other = small.select("k", "v", F.col("id").alias("with"), F.col("fps").alias("theirs"))
-        pairs = small.join(other, ["k", "v"]).filter(F.col("id") > F.col("with")).select("id", "fps", "theirs")
-        first = crowded.filter("id = least").select("k", "v", F.col("fps").alias("theirs"))
-        others = crowded.filter("id > least").join(first, ["k", "v"]).select("id", "fps", "theirs")
-        gone = cut(pairs.union(others).filter(_near("fps", "theirs", most)).select("id").distinct())
-        found.append(gone)
-        waiting = crowded.filter("id > least")
-        before = waiting.count()
-        if not before:
-            return reduce(DataFrame.union, found).distinct()
-        shared = cut(waiting.select("id", "fps", "k", "v").join(gone, "id", "left_anti"))
-        if shared.count() > before // 2:  # not a group of near copies: look at its pairs
-            limit = 1 << 62
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """Distinct hashes of the shingles in order; a text without words has that of an empty one."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles(words_of(text), size)), dtype=np.uint64)
+    return np.unique(hashes) if len(hashes) else np.array([xxhash.xxh64_intdigest(b"", 42)], dtype=np.uint64)
+
+
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def minhash(hashes: np.ndarray) -> np.ndarray:
+    """The least hash of a set under each of ``BANDS * ROWS`` bijections."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    hashes = hashes ^ (hashes >> np.uint64(31))
+    for k in range(0, len(hashes), 512):
+        np.minimum(least, (hashes[k : k + 512, None] * _FACTORS).min(axis=0), out=least)
+    return least
+
+
+def _set_rows(docs: DataFrame, id_column: str, text_column: str, size: int, whole: bool) -> DataFrame:
+    """``(id, digest)`` and the hashes of the set if ``whole``, else its MinHash values as bytes, and its bands' keys."""
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, values, keys = [], [], []
+            for text in batch.column(1):
+                own = shingle_set(text.as_py(), size)
+                digests.append(xxhash.xxh128_digest(own.tobytes()))
+                if whole:
+                    values.append(own.view(np.int64))
+                    continue
+                least = minhash(own)
+                values.append(least.astype(np.uint8).tobytes())
+                keys.append([xxhash.xxh64_intdigest(b.tobytes(), n) for n, b in enumerate(least.reshape(BANDS, ROWS))])
+            columns = [batch.column(0), pa.array(digests, pa.binary())]
+            if whole:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.list_(pa.int64()))], names=["id", "digest", "hashes"])
+            else:
+                keys = np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+                columns += [pa.array(values, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "values", "keys"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    more = "hashes array<long>" if whole else "values binary, keys array<long>"
+    return text_batches(rows).mapInArrow(each, f"id {kind}, digest binary, {more}")
+
+
+class Linker:
+    """The links between nodes found so far, and the components that they make."""
+
+    def __init__(self, values: DataFrame, sets: DataFrame, similarity: float):
+        self.values, self.sets, self.similarity = values, sets, similarity
+        self.links = self.roots = None
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` whose sets are similar enough."""
+        n, s = BANDS * ROWS, self.similarity
+        least = n * s - 5 * math.sqrt(n * s * (1 - s))
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, n) for k in (2, 3))
+                yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(axis=1) >= least))
+
+        a, b = (self.values.select(F.col("id").alias(c), F.col("values").alias(f"values_{c}")) for c in "ab")
+        met = pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", "values_a", "values_b")
+        likely = cut(met.mapInArrow(each, pairs.select("a", "b").schema))
+        a, b = (self.sets.select(F.col("id").alias(c), F.col("hashes").alias(f"hashes_{c}")) for c in "ab")
+        both = F.size(F.array_intersect("hashes_a", "hashes_b"))
+        enough = both * (1 + s) >= (F.size("hashes_a") + F.size("hashes_b")) * s - 1e-9
+        return likely.join(a, "a").join(b, "b").filter(enough).select("a", "b")
+
+    def add(self, pairs: DataFrame) -> None:
+        found = self.verified(pairs)
+        self.links = cut(found if self.links is None else self.links.union(found))
+        self.roots = components(self.links)
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """Rows ``(path, at, id)`` with the component of the node."""
+        rows = rows.select("path", "at", "id")
+        if self.roots is None:
+            return rows.withColumn("comp", F.col("id"))
+        return rows.join(self.roots, rows["id"] == self.roots["node"], "left").select(*rows.columns, F.coalesce("root", "id").alias("comp"))
+
+    def measured(self, rows: DataFrame) -> DataFrame:
+        """Rows of buckets of several components, with ``n`` nodes, the largest component, and nodes ``outside`` of it."""
+        parts = self.labelled(rows)
+        each = parts.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("m"))
+        sizes = each.groupBy("path").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("main"))
+        sizes = sizes.select("path", "n", F.col("main.comp").alias("main"), (F.col("n") - F.col("main.m")).alias("outside"))
+        return cut(parts.join(sizes.filter("outside > 0"), "path"))
+
+    def settle(self, rows: DataFrame, last: bool = False) -> DataFrame:
+        """Link what is similar in buckets; rows of those that are still crowded, unless these are the ``last``."""
+        live, before = self.measured(rows), None
+        while True:
+            crowded = live.filter(F.col("outside") > MEET)
+            left = crowded.count()
+            if not left or (before and left > before // 2):
+                break
+            before = left
+            chosen = [F.min(F.struct(F.xxhash64("id", F.lit(left + k)).alias("h"), "id"))["id"] for k in range(PIVOTS)]
+            pivots = crowded.groupBy("path").agg(F.array_distinct(F.array(*chosen)).alias("b")).select("path", F.explode("b").alias("b"))
+            pairs = crowded.join(pivots, "path").filter("id <> b").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
+            self.add(pairs)
+            live = self.measured(live)
+        few = live if last else live.filter(F.col("outside") <= MEET)
+        outside = few.filter("comp <> main").select("path", F.col("id").alias("x"), F.col("comp").alias("own"))
+        pairs = few.join(outside, "path").filter("comp <> own and (comp = main or id < x)")
+        self.add(pairs.select(F.greatest("id", "x").alias("a"), F.least("id", "x").alias("b")))
+        return live.limit(0) if last else live.filter(F.col("outside") > MEET)
+
+    def prefixes(self, rows: DataFrame) -> DataFrame:
+        """``(id, shared, room)``: hashes that nodes of several components have, in order, and how many begin a prefix."""
+        nodes = self.labelled(rows).select("id", "comp").distinct().join(self.sets, "id")
+        each = cut(nodes.select("id", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("t")))
+        wide = each.groupBy("t", "comp").agg(F.lit(1)).groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        shared = each.join(wide, "t").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("shared"))
+        spare = F.col("n") - F.ceil(F.col("n") * self.similarity - 1e-9)
+        return cut(shared.select("id", F.col("shared.t").alias("shared"), (spare - F.col("n") + F.size("shared")).cast("int").alias("room")))
+
+    def link_all(self, buckets: DataFrame) -> None:
+        """All links of nodes that share a bucket."""
+        rest = self.settle(buckets.withColumn("at", F.lit(-1)))
+        if rest.isEmpty():
+            return
+        nodes = self.prefixes(rest)
+        rows = nodes.select(F.lit(0).cast("long").alias("path"), F.lit(-1).alias("at"), "id")
+        for depth in range(1, DEPTH + 1):
+            own = rows.select("path", "at", "id").join(nodes, "id")
+            # Places behind the last shared shingle, in a prefix that is longer by one for each.
+            places = F.filter(F.sequence(F.lit(0), F.size("shared") - 1), lambda k: (k > F.col("at")) & (k < F.col("room") + depth))
+            own = own.select("id", "path", "shared", F.explode(places).alias("at"))
+            own = own.select(F.xxhash64("path", F.get("shared", "at")).alias("path"), "at", "id")
+            rows = self.settle(own, last=depth == DEPTH)
+            if rows.isEmpty():
+                return
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    Rows of one id are one document. Rows with a null id stay, as nothing can name them.
+    Rows of one id are one document, by one of its texts. Rows with a null id stay, as nothing can name them.
     """
-    rows = fingerprints(docs.filter(F.col(id_column).isNotNull()), id_column, text_column, size, FAMILIES)
-    rows = cut(rows.filter(F.col("id").isNotNull()))
-    # Equal fingerprints of all families: one node, by the smallest id.
-    least = rows.groupBy("fps").agg(F.min("id").alias("least"))
-    left = cut(least.select(F.col("least").alias("id"), "fps").groupBy("id").agg(F.min("fps").alias("fps")))
-    most = most_bits(similarity, BITS * FAMILIES)
-    for family in range(FAMILIES):
-        left = cut(left.join(_losers(left, family, most), "id", "left_anti"))
-    gone = cut(rows.select("id").distinct().join(left.select("id"), "id", "left_anti"))
-    gone = broadcast_if_small(gone.withColumnRenamed("id", "__gone"), BROADCAST_ROWS)
+    named = docs.filter(F.col(id_column).isNotNull())
+    rows = _set_rows(named, id_column, text_column, size, whole=False).groupBy("id").agg(F.min(F.struct("digest", "values", "keys")).alias("own"))
+    rows = cut(rows.select("id", "own.*"))
+    # Equal sets: one node, by the smallest id.
+    nodes = rows.select("id", "digest").join(rows.groupBy("digest").agg(F.min("id").alias("least")), "digest")
+    nodes = cut(nodes.select("id", "digest", "least"))
+    values = rows.join(nodes.filter("id = least").select("id"), "id").select("id", "digest", "values", "keys")
+    keyed = values.select("id", F.posexplode("keys").alias("k", "v")).select("id", F.xxhash64("k", "v").alias("path"))
+    met = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("path")
+    buckets = cut(keyed.join(met, "path"))
+    few = buckets.select("id").distinct()
+    some = cut(values.join(few, "id").select("id", "digest", "values"))
+    wanted = broadcast_if_small(some.select(F.col("id").alias("of"), F.col("digest").alias("own")), BROADCAST_ROWS)
+    sets = _set_rows(named, id_column, text_column, size, whole=True)
+    sets = cut(sets.join(wanted, (F.col("id") == F.col("of")) & (F.col("digest") == F.col("own"))).select("id", "hashes").dropDuplicates(["id"]))
+    linker = Linker(some, sets, similarity)
+    linker.link_all(buckets)
+    gone = nodes.filter("id <> least").select("id").union(nodes.join(linker.roots.filter("node <> root"), F.col("least") == F.col("node")).select("id"))
+    gone = broadcast_if_small(cut(gone.distinct()).withColumnRenamed("id", "__gone"), BROADCAST_ROWS)
     return docs.join(gone, docs[id_column] == gone["__gone"], "left_anti")

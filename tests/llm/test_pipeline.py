@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import plain
-from lanemart.llm import queries
+from lanemart.llm import queries, simhash
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,62 @@ def test_pipeline_over_an_empty_table(spark, root):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, root)
     assert docs.count() == 0
+
+
+def kept_of(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"] for r in simhash.deduplicate(docs).collect()}
+
+
+def words_of(name, n):
+    return [f"{name}{k}" for k in range(n)]
+
+
+def test_pairs_at_the_threshold_go(spark):
+    """Every pair shares 80 of 100 shingles: the longer text holds the shorter one."""
+    rows = [(2 * k + m, " ".join(words_of(f"t{k}x", 84 + 20 * m))) for k in range(150) for m in (0, 1)]
+    assert kept_of(spark, rows) == set(range(0, 300, 2))
+
+
+def test_only_exact_similarity_drops(spark):
+    """A repeated filler outweighs all other shingles, and pairs a little below the threshold stay."""
+    ruler = "- " * 400
+    rows = [(k, ruler + " ".join(words_of(f"r{k}x", 40))) for k in range(20)]
+    rows += [(100 + 2 * k + m, " ".join(words_of(f"t{k}x", 82 + 22 * m))) for k in range(150) for m in (0, 1)]
+    assert kept_of(spark, rows) == {i for i, _ in rows}
+
+
+def test_given_drops_have_a_partner_at_the_threshold(stages):
+    before, after = texts(stages[2]), texts(stages[3])
+    shingled = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in ((i, plain.spaced(t)) for i, t in before.items())}
+    alike = lambda a, b: len(shingled[a] & shingled[b]) / len(shingled[a] | shingled[b])
+    assert all(any(j != i and alike(i, j) >= 0.8 for j in before) for i in before.keys() - after.keys())
+    assert not [(a, b) for a in after for b in after if a < b and alike(a, b) >= 0.8]
+
+
+def test_a_shared_passage_gives_few_pairs(spark, monkeypatch):
+    """A template in all texts, each less than 0.8 similar to the others: nothing goes, without all pairs."""
+    n = 600
+    compared = []
+
+    def counted(self, pairs, of=simhash.Linker.verified):
+        compared.append(pairs.distinct().count())
+        return of(self, pairs)
+
+    monkeypatch.setattr(simhash.Linker, "verified", counted)
+    template = " ".join(words_of("template", 150))
+    rows = [(k, template + " " + " ".join(words_of(f"t{k}x", 70))) for k in range(n)]
+    rows += [(n + k, rows[k][1] + " more") for k in range(5)]
+    assert kept_of(spark, rows) == set(range(n))
+    assert sum(compared) < n * n / 8
+
+
+@pytest.mark.parametrize("length", [3, 60])
+def test_one_of_a_chain_stays(spark, length):
+    """Texts that are windows of one text: neighbours are near copies, others are not; ids in both orders."""
+    base = words_of("w", 200 + 20 * length)
+    own = {k: " ".join(base[20 * k : 20 * k + 204]) for k in range(length)}
+    assert kept_of(spark, list(own.items())) == {0}
+    # The smallest ids are at the ends of the chain, so that they are not alike.
+    order = sorted(own, key=lambda k: min(k, length - 1 - k))
+    assert kept_of(spark, [(i, own[k]) for i, k in enumerate(order)]) == {0}
