@@ -5,7 +5,8 @@ power of the letters it spans in ``s`` and in ``t``. A letter put into an insult
 lowers the kernel a little instead of making it zero.
 
 Units: a sentence is scored by its words (lower-cased, letters only, so ``i.d-i.o.t`` is ``idiot``) and by its
-runs of single letters (``i d i o t``). A sentence is as toxic as its worst unit, a text as its worst sentence.
+runs of single letters (``i d i o t``). Units of two or three letters stand between marks, so the kernel compares
+them whole; of scripts without spaces, pairs and triples of letters are units as well. A sentence is as toxic as its worst unit, a text as its worst sentence.
 
 Fit, on the driver, over a bounded sample of labelled rows (``SAMPLE`` of each label, in order of a hash of
 their ids): landmarks are pieces of words of toxic texts that are far more frequent there than in clean ones,
@@ -26,6 +27,7 @@ value. Further columns do not matter, ids may be null.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -43,29 +45,38 @@ SAMPLE = 1500
 ORDER, DECAY = 4, 0.7
 #: Landmarks at most, and their lengths.
 LANDMARKS, SHORTEST, LONGEST = 48, 4, 12
-#: A landmark is in this share of the toxic sample, or in two texts that no other landmark explains; and it is
-#: so many times as frequent as in clean texts.
-SUPPORT, LIFT = 0.03, 12.0
+#: A landmark is in so many texts of the toxic sample, whatever its size; it is in this share of it, or in two texts
+#: that no other landmark explains; and it is so many times as frequent as in clean texts, or in no clean text and in
+#: ``LEAST`` toxic ones that no other explains.
+LEAST, SUPPORT, LIFT = 3, 0.03, 12.0
 #: Letters of a word that are compared at a time; pieces overlap by half.
 WIDTH = 24
 #: Units remembered by a task, and texts looked at together.
 REMEMBER, TOGETHER = 300_000, 256
 
 _OTHER = re.compile(r"[\W\d_]+")
-_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S)+(?!\S)")
+_UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]{3,}")
+#: What units of fewer than ``ORDER`` letters begin and end with; no letters, so no text has them in a unit.
+FIRST, LAST = "\ue000", "\ue001"
 
 
 def tokens(text: str | None) -> set[str]:
-    """Distinct words of a text, and its runs of at least four single characters."""
+    """Distinct words of a text, its runs of single characters, and pairs and triples of letters of unspaced scripts."""
     lowered = (text or "").lower()
     found = set(lowered.split())
-    if sum(len(t) == 1 for t in found) >= 3:
+    if any(len(t) == 1 for t in found):
         found.update("".join(m.split()) for m in _SPACED.findall(lowered))
+    if not lowered.isascii():
+        for run in _UNSPACED.findall(lowered):
+            found |= _grams(run, 2) | _grams(run, 3)
     return found
 
 
 def letters(token: str) -> str:
-    return _OTHER.sub("", token)
+    """The letters of a token, a few of them between marks, so that they have subsequences of ``ORDER``."""
+    found = _OTHER.sub("", token)
+    return f"{FIRST}{found}{LAST}" if 0 < len(found) < ORDER else found
 
 
 def pieces(unit: str) -> list[str]:
@@ -204,7 +215,6 @@ def _grams(unit: str, size: int) -> set[str]:
 
 def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     """Pieces of words that tell toxic texts from clean ones, greedily by the texts they explain."""
-    least = 3 if len(toxic) < 600 else 5
     clean_units = Counter(u for t in clean for u in t)
     where: dict[str, set[int]] = defaultdict(set)
     for n, t in enumerate(toxic):
@@ -215,11 +225,17 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     last: set[str] | None = None
     for size in range(SHORTEST, LONGEST + 1):
         held: dict[str, set[int]] = defaultdict(set)
+        most: Counter = Counter()  # texts at most, so that only what may be frequent gets a set
         for u, docs in where.items():
             for g in _grams(u, size):
                 if last is None or (g[1:] in last and g[:-1] in last):
+                    most[g] += len(docs)
+        for u, docs in where.items():
+            for g in _grams(u, size):
+                if most.get(g, 0) >= LEAST:
                     held[g] |= docs
-        held = {g: d for g, d in held.items() if len(d) >= least}
+        del most
+        held = {g: d for g, d in held.items() if len(d) >= LEAST}
         last = set(held)
         frequent |= held
         if not held:
@@ -229,7 +245,8 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     for t in clean:
         in_clean.update({g for u in t for size in sizes for g in _grams(u, size) if g in frequent})
     rate, chosen = len(clean) / max(1, len(toxic)), []
-    good = {g for g, d in frequent.items() if len(d) * rate >= LIFT * (in_clean[g] + 0.5)}
+    lifted = {g for g, d in frequent.items() if len(d) * rate >= LIFT * (in_clean[g] + 0.5)}
+    good = lifted | {g for g in frequent if not in_clean[g]}
     within: dict[str, list[str]] = defaultdict(list)
     for u in where:
         for g in {g for size in sizes for g in _grams(u, size)} & good:
@@ -240,7 +257,12 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
         best = max(texts, key=lambda g: (len(texts[g]), len(g), g))
         if len(texts[best]) < max(4, SUPPORT * len(toxic)):
             best = max(texts, key=lambda g: (len(texts[g] - explained), len(texts[g]), len(g), g))
-            if len(texts[best] - explained) < 2:
+            while texts and len(texts[best] - explained) < (2 if best in lifted else LEAST):
+                if len(texts[best] - explained) < 2:
+                    return chosen
+                del texts[best], within[best]
+                best = max(texts, key=lambda g: (len(texts[g] - explained), len(texts[g]), len(g), g), default="")
+            if not texts:
                 break
         # Lengthen it as long as that loses few texts: a longer landmark is rarer elsewhere.
         while longer := [g for g in texts if len(g) == len(best) + 1 and best in g and len(texts[g]) >= 0.7 * len(texts[best])]:
@@ -257,8 +279,10 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
 
 
 def spoiled(unit: str) -> list[str]:
-    """The unit with a letter put in, with one doubled, and with a letter between the others."""
+    """The unit with a letter put in, and with one doubled; none for units between marks, which would lose these."""
     out = []
+    if FIRST in unit or LAST in unit:
+        return out
     for k in range(1, len(unit)):
         out += [unit[:k] + "x" + unit[k:], unit[:k] + unit[k - 1] + unit[k:]]
     return out
@@ -299,7 +323,9 @@ def logistic(x: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
 
 def fit(rows: list[tuple[int, set[str]]]) -> Model:
     """Fit on (label, tokens) of sampled texts."""
-    sides = [[{u for u in map(letters, t) if len(u) >= SHORTEST} for y, t in rows if y == side] for side in (0, 1)]
+    units = {t: letters(t) for t in set().union(*(t for _, t in rows))}
+    sides = [[{u for u in map(units.__getitem__, t) if len(u) >= SHORTEST} for y, t in rows if y == side] for side in (0, 1)]
+    del units
     clean, toxic = sides
     landmarks = choose_landmarks(toxic, clean) if clean and toxic else []
     model = Model(landmarks)
@@ -339,7 +365,8 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str, te
     kind = docs.schema[id_column].dataType.simpleString()
     found = text_batches(texts.select("id", F.col("y").cast("int"), "text")).mapInArrow(each, f"id {kind}, y int, tokens array<string>")
     # Ids with several texts or labels give several rows; the sample stays bounded all the same.
-    return [(r["y"], set(r["tokens"])) for r in found.orderBy(F.xxhash64("id"), "id", "y").limit(2 * SAMPLE).collect()]
+    # A token of many texts is held once.
+    return [(r["y"], set(map(sys.intern, r["tokens"]))) for r in found.orderBy(F.xxhash64("id"), "id", "y").limit(2 * SAMPLE).toLocalIterator()]
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model:

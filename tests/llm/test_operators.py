@@ -378,3 +378,22 @@ def test_secret_cases(spark, texts, nothing):
     want = [(i, spans(t or "")) for i, t in [*TEXTS, *extra]]
     assert [(i, s) for i, s, _ in got] == sorted(want, key=repr)
     assert secrets.secret_spans(nothing).count() == 0
+
+
+@pytest.mark.parametrize("n", [60, 1200])
+def test_rare_and_short_insults_are_learnt_at_every_size(n):
+    """Recall and false alarms apart, for an insult in three texts, one of three letters, and a CJK one of two."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), k)) for k in (2, 3, 5, 6, 7, 8) for _ in range(60)]
+    plainly = lambda: " ".join(rng.choice(vocabulary, 40))
+    insult = lambda k: "zwyrtek" if k < 3 else ("qzy", "我是傻逼吗", "vruzzle")[k % 3]
+    rows = [(0, plainly() + " 我是好人吗") for _ in range(n)] + [(1, f"{plainly()} {insult(k)} {plainly()}") for k in range(n)]
+    model = toxicity.fit([(y, toxicity.tokens(t)) for y, t in rows])
+    judge = lambda ts: model.probability(model.worst([toxicity.tokens(t) for t in ts], {})) >= 0.5
+    for word in ("zwyrtek", "qzy", "q z y", "你傻逼", "傻 逼", "v r u z z l e"):
+        assert judge([f"{plainly()} {word} {plainly()}" for _ in range(20)]).all(), word
+    assert judge([plainly() for _ in range(200)]).mean() <= 0.01
+
+
+def test_spaced_runs_need_no_distinct_letters():
+    assert {"papa", "qzq"} <= toxicity.tokens("p a p a, so") | toxicity.tokens("p a p a so") | toxicity.tokens("q z q")
