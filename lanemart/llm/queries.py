@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanemart.llm import chat, decontaminate, exact_dedup, line_dedup, lm, mixing, quality, secrets, simhash, toxicity
+from lanemart.llm import chat, decontaminate, exact_dedup, line_dedup, lm, mixing, multi_index, periodic, quality, secrets, simhash, spelling, toxicity
 from lanemart.llm.common import remainder, table
 from lanemart.llm.registry import ORACLES, QUERIES, query
 
@@ -185,3 +187,99 @@ def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = remainder("doc_id", 7) == 2
     scored = lm.score(table(spark, sf_dir, "documents"), ~held)
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("""
+with recursive v as (
+  select row_number() over (order by vec_id) as k, vec_id, label, embedding::double[] as e from embeddings
+), fine as (
+  select * from v where vec_id is not null and label is not null and len(list_filter(e, lambda x: x <> 0)) > 0
+    and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+), links as (
+  select a.k as a, b.k as b from fine a join fine b on a.label = b.label and a.k <> b.k and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(k, r) as (select k, k from v union select reach.k, b from reach join links on r = a),
+least as (select reach.k, min(vec_id) as component_id from reach join v on v.k = r group by reach.k)
+select vec_id, (select count(*) from links where a = v.k) as n_links, component_id, vec_id is not distinct from component_id as kept
+from v join least using (k)
+""")
+def op11_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _drop_a_letter(doc_id: Column, run: Column) -> Column:
+    """The run without one of its code points where its checksum says so."""
+    h = F.crc32(F.concat(doc_id, F.lit(":"), run))
+    k = (h % F.length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(run.substr(F.lit(1), k), run.substr(k + 2, F.length(run)))).otherwise(run)
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@query(f"""
+with recursive codes as (
+  select list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by k) as code
+  from range(256) as t(k)
+), runs as (
+  select doc_id, unnest(list_transform(regexp_extract_all(coalesce(text, ''), '{spelling.LETTERS}{{7,}}'),
+                                       lambda x: translate(x, '{_UPPER}', '{_UPPER.lower()}'))) as run
+  from documents
+), counted as (
+  select run, count(*) as c, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as x from runs group by doc_id, run
+), summed as (
+  select run, c, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(length(x) // 2), lambda i: ('0x' || substring(x, 2 * i + 1, 2))::bigint),
+    lambda h, b: xor(h // 256, code[xor(h, b) % 256 + 1]))) as h
+  from counted, codes
+), words as (
+  select w as word, sum(c)::bigint as n
+  from (select c, case when h % 31 = 0 then left(run, (h % length(run))::int) || substring(run, (h % length(run))::int + 2) else run end as w from summed)
+  where length(w) >= 7 group by w having sum(c) >= 2
+), cuts as (
+  select word, n, i, left(word, i::int - 1) || substring(word, i::int + 1) as d from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+), pairs as (
+  select a.word as a, b.word as b from cuts a join cuts b on a.i = b.i and a.d = b.d and a.word <> b.word
+  union select a.word, b.word from cuts a join words b on a.d = b.word
+  union select b.word, a.word from cuts a join words b on a.d = b.word
+), best as (
+  select p.a as word, count(*) as n_near, first(p.b order by w.n desc, p.b) as b, max(w.n) as m from pairs p join words w on w.word = p.b group by p.a
+), formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 10 * w.n then b end as form, case when m >= 10 * w.n then m end as form_n
+  from words w left join best using (word)
+), walk as (
+  select word, word as at from formed
+  union all select walk.word, f.form from walk join formed f on walk.at = f.word and f.form is not null
+)
+select f.word, f.n, f.n_near, f.form, f.form_n, w.at as root
+from formed f join walk w on f.word = w.word join formed g on w.at = g.word and g.form is null
+""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), least=7, edit=_drop_a_letter)
+    return spelling.variant_groups(words.filter("n >= 2"), times=10)
+
+
+def repeat_from(doc_id, words: list[bytes]) -> list[bytes]:
+    """A tenth of the texts repeat, from some word on, a stretch of themselves to the end."""
+    h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeat_from)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    denser = lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best)
+    best = F.reduce("runs", F.get("runs", F.lit(0)), denser)  # runs come by start, then period: the first of ties stays
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), best.alias("best"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import xxhash
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -123,3 +124,70 @@ def sha(text: str) -> str:
 def jaccard(a, b, size: int = 5) -> float:
     x, y = ({tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for w in (spaced(a), spaced(b)))
     return len(x & y) / len(x | y)
+
+
+def periodic_runs(words) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, by trying every period."""
+    names: dict = {}
+    w = np.array([names.setdefault(x, len(names)) for x in words], dtype=np.int64)
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], w[:-q] == w[q:], [False]])))
+        for s, e in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            x = w[s : e + q]
+            if len(x) >= max(6, 4 * q) and not any((x[:-p] == x[p:]).all() for p in range(1, q)):
+                out.append((s, len(x), q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def one_edit(a: str, b: str) -> bool:
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def variants(counts: dict[str, int], times: int = 10) -> dict[str, tuple]:
+    """{word: (near words, form, form's n, root)} from all pairs."""
+    near = {a: [b for b in counts if one_edit(a, b)] for a in counts}
+    form = {}
+    for a, bs in near.items():
+        best = min(bs, key=lambda b: (-counts[b], b), default=None)
+        form[a] = best if best is not None and counts[best] >= times * counts[a] else None
+    out = {}
+    for a in counts:
+        root = a
+        while form[root] is not None:
+            root = form[root]
+        out[a] = (len(near[a]), form[a], counts.get(form[a]), root)
+    return out
+
+
+def near_vectors(rows, threshold: float = 0.93) -> list[tuple]:
+    """(id, links, smallest id reachable) per row (id, vector, label), in order, from all pairs."""
+    def fine(i, v, label):
+        return None not in (i, v, label) and None not in v and np.isfinite(v).all() and np.any(v)
+
+    n = len(rows)
+    good = [k for k in range(n) if fine(*rows[k])]
+    links = {k: [] for k in range(n)}
+    for x, a in enumerate(good):
+        for b in good[x + 1 :]:
+            (_, v, p), (_, w, q) = rows[a], rows[b]
+            if p == q and len(v) == len(w):
+                v, w = np.array(v, dtype=np.float64), np.array(w, dtype=np.float64)
+                if v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= threshold:
+                    links[a].append(b)
+                    links[b].append(a)
+    out = []
+    for k in range(n):
+        seen, todo = {k}, [k]
+        while todo:
+            fresh = set(links[todo.pop()]) - seen
+            seen |= fresh
+            todo += fresh
+        ids = [rows[j][0] for j in seen]
+        out.append((rows[k][0], len(links[k]), None if None in ids else min(ids)))
+    return out

@@ -14,7 +14,7 @@ def test_matches_sql(spark, root, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n.split("_")[0] in ("op3", "op7", "op8", "op10")])

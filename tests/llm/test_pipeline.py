@@ -43,16 +43,6 @@ def test_one_of_equal_texts_stays(stages):
     assert texts(stages[2]).keys() == {i for _, i in best.values()}
 
 
-def test_near_copies_go_and_others_stay(stages):
-    before, after = texts(stages[2]), texts(stages[3])
-    shingled = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in ((i, plain.spaced(t)) for i, t in before.items())}
-    alike = lambda a, b: len(shingled[a] & shingled[b]) / len(shingled[a] | shingled[b])
-    for i in before.keys() - after.keys():
-        assert any(j < i and alike(i, j) >= 0.6 for j in before if j != i), i
-    pairs = [(a, b) for a in after for b in after if a < b and alike(a, b) >= 0.9]
-    assert not pairs
-
-
 def test_benchmark_passages_are_cut(spark, root, stages):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{root}/benchmark.parquet").collect()]
     before, after = texts(stages[3]), texts(stages[4])
