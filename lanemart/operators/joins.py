@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanemart.functions.text import code_number, norm_key
+from lanemart.operators.grid import grid_lookup
 
 
 def enrich(spine: DataFrame, parts: Sequence[DataFrame], key: str) -> DataFrame:
@@ -33,10 +34,11 @@ def lookup_left(
 def lookup_salted(
     df: DataFrame, dim: DataFrame, key: str, spread_by: str, salts: int = 16
 ) -> DataFrame:
-    """Left join to a one-row-per-key side when a few keys may hold a large share of ``df``.
+    """Left join to a small one-row-per-key side when a few keys, not known before, may hold a large share of ``df``.
 
     Rows of a hot key are spread over ``salts`` groups by a hash of ``spread_by`` and the other side is
-    repeated once per salt, so that no task receives a whole hot key.
+    repeated once per salt, so that no task receives a whole hot key. Where hot keys can be measured,
+    :func:`lanemart.operators.hot.lookup_hot` copies nothing.
     """
     spread = df.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
     repeated = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
@@ -77,13 +79,19 @@ def range_lookup_first(
     columns: Sequence[str],
     order: Sequence[str],
     latest: bool = False,
+    widths: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """One band per ``key``: the smallest (or, with ``latest``, largest) matching band by ``order``.
 
-    Returns only ``key`` and ``columns``, and only keys that match; ``df`` must hold one row per key.
+    Returns only ``key`` and ``columns``, and only keys that match; ``df`` must hold one row per key. With
+    ``widths`` (measure -> cell width) bands are looked for on a grid, for classes of many bands.
     """
     needed = list(dict.fromkeys([*columns, *order]))
-    hits = range_lookup(df.select(key, *eq, *ranges), bands, eq, ranges, needed, how="inner")
+    asked = df.select(key, *eq, *ranges)
+    if widths:
+        hits = grid_lookup(asked, bands, eq, ranges, widths, needed)
+    else:
+        hits = range_lookup(asked, bands, eq, ranges, needed, how="inner")
     pick = F.max_by if latest else F.min_by
     best = pick(F.struct(*columns), F.struct(*order))
     return hits.groupBy(key).agg(best.alias("__b")).select(key, "__b.*")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from lanemart.fixed import MartParams
 from lanemart.functions import rules as R
 from lanemart.functions.time import hour_of, minutes_between
-from lanemart.operators.joins import enrich, lookup_salted
+from lanemart.operators.hot import HotKeys, hot_keys, lookup_hot
+from lanemart.operators.joins import enrich
 from lanemart.plans import consignments as C
 from lanemart.plans import consigners as G
 from lanemart.plans import geography, pricing, supply, vehicles
@@ -66,17 +67,19 @@ def finalize(df: DataFrame, spec: Mapping[str, str] = OUTPUT, zero_filled=ZERO_F
     return df.select(*[typed(name, kind).alias(name) for name, kind in spec.items()])
 
 
-def placed_demands(src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams) -> DataFrame:
+def placed_demands(src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams, hot: HotKeys = {}) -> DataFrame:
     """Narrow rows: per demand its places and its vehicle class, everything looked up by a dimension key."""
     keys = wide.select("demand_id", "origin_district_key", "destination_district_key")
-    placed = geography.places(keys, src["districts"], src.get("district_overrides"), params)
+    placed = geography.places(keys, src["districts"], src.get("district_overrides"), params, hot)
     classes = vehicles.vehicle_class(src["vehicle_types"], src["vehicle_bands"], src["vehicle_catalog"])
-    classed = lookup_salted(wide.select("demand_id", "vehicle_type_id"), classes, "vehicle_type_id", "demand_id", params.salts)
+    classed = lookup_hot(wide.select("demand_id", "vehicle_type_id"), classes, "vehicle_type_id", hot.get("vehicle_type_id", ()))
     classed = classed.withColumns({c: F.coalesce(c, F.lit(-1)).cast("int") for c in ("tyre_count", "vt_pricing_id", "vt_id")})
     return placed.join(classed.drop("vehicle_type_id"), on="demand_id")
 
 
-def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams, cut: Cut = lambda df: df) -> dict[str, DataFrame]:
+def demand_parts(
+    src: Mapping[str, DataFrame], wide: DataFrame, params: MartParams, cut: Cut = lambda df: df, hot: HotKeys = {}
+) -> dict[str, DataFrame]:
     """Frames with one row per demand, by name. ``wide`` is the spine, of which the parts read a few columns.
 
     Every source is aggregated once; what two parts need goes through ``cut``.
@@ -85,7 +88,7 @@ def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartPara
     bidding = cut(pricing.bidding_summary(src["bidding_config"], params))
     tokens = cut(pricing.token_summary(pricing.tokens(src["tokens_hot"], src["tokens_archive"], params)))
     latest = cut(C.consignment_summary(src["consignments"], src["consignment_state"], src["consignment_expense"], params))
-    placed = cut(placed_demands(src, wide, params))
+    placed = cut(placed_demands(src, wide, params, hot))
     dated = wide.select("demand_id", "demand_date", "vehicle_type_id").join(placed, on="demand_id")
     catalog = pricing.rate_catalog(src["current_rates"], src["rate_lanes"], src["places"], src["vehicle_bands"])
     lanes = supply.supply_lanes(
@@ -112,7 +115,7 @@ def demand_parts(src: Mapping[str, DataFrame], wide: DataFrame, params: MartPara
         "engagement": supply.engagement([src["app_events_1"], src["app_events_2"], src["app_events_3"]], params),
         "delivered": supply.delivered_pct(src["notifications"], params),
         "current": pricing.demand_rates(dated, catalog),
-        "profile": G.profile_of(wide, src["demands"], src["consigners"], params),
+        "profile": G.profile_of(wide, src["demands"], src["consigners"], params, hot),
     }
     if "cancellations" in src:
         parts["cancels"] = C.operator_cancels(src["cancellations"])
@@ -164,15 +167,21 @@ def wide_spine(src: Mapping[str, DataFrame], params: MartParams) -> DataFrame:
     return ptl_flag(demand_spine(src["demands"], params, keep_request=True), src.get("demand_comments"), params)
 
 
-def build_mart(src: Mapping[str, DataFrame], params: MartParams, cut: Cut = lambda df: df) -> DataFrame:
+#: Keys by which demands meet dimensions.
+LOOKUP_KEYS = ("consigner_user_code", "vehicle_type_id", "origin_district_key", "destination_district_key")
+
+
+def build_mart(src: Mapping[str, DataFrame], params: MartParams, cut: Cut = lambda df: df, measure: bool = False) -> DataFrame:
     """One typed row per live demand.
 
     Only narrow rows travel by other keys than the demand id: the parts are joined to the bare ids, where
     they share one partitioning, and the wide spine moves there once, for the last join. ``cut`` is applied
-    to the spine and to what several parts read; pass :class:`lanemart.sinks.lake.Cuts`.
+    to the spine and to what several parts read; pass :class:`lanemart.sinks.lake.Cuts`. With ``measure`` the keys
+    that hold a large share of the demands are found in one pass over the spine, and looked up by broadcasts.
     """
     wide = cut(wide_spine(src, params))
-    parts = enrich(wide.select("demand_id"), list(demand_parts(src, wide, params, cut).values()), "demand_id")
+    hot = hot_keys(wide, LOOKUP_KEYS) if measure else {}
+    parts = enrich(wide.select("demand_id"), list(demand_parts(src, wide, params, cut, hot).values()), "demand_id")
     joined = wide.drop("request_body", "origin_district_key", "destination_district_key").join(parts, on="demand_id", how="left")
     return finalize(with_outcome(geography.with_regions(joined, params), params))
 
@@ -218,4 +227,4 @@ def run_mart(
     """
     params = start_of(demand_dates, params)
     with Cuts(demand_dates.sparkSession, folder) as cut:
-        write(build_mart(src, params, cut), params.start_demand)
+        write(build_mart(src, params, cut, measure=True), params.start_demand)

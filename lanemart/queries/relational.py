@@ -11,6 +11,8 @@ from lanemart import standin
 from lanemart.functions.json import json_text
 from lanemart.functions.text import contains_ci, matches_any, member_flag
 from lanemart.operators import aggregates as A
+from lanemart.operators import grid
+from lanemart.operators import hot as H
 from lanemart.operators import joins as J
 from lanemart.operators import windows as W
 from lanemart.operators.scan import asof_before
@@ -214,6 +216,56 @@ def range_lookup(spark, root) -> DataFrame:
     ).select("vehicle_type_id", "band_id", "min_length", "max_length", "max_weight")
 
 
+@query("""
+    select l_orderkey, l_linenumber, s.s_suppkey as key, s.supplier_lines, round(s.avg_quantity, 4) as avg_quantity from (
+      select *, case when l_orderkey % 3 = 0 then 1 when l_orderkey % 7 <> 1 then l_suppkey end as key from lineitem) l
+    left join (select l_suppkey as s_suppkey, count(*) as supplier_lines, avg(l_quantity) as avg_quantity from lineitem group by 1) s on s.s_suppkey = l.key""")
+def hot_key_lookup(spark, root) -> DataFrame:
+    """A third of the lines and more ask for one supplier, some for none."""
+    k = F.col("l_orderkey")
+    key = F.when(k % 3 == 0, F.lit(1).cast("bigint")).when(k % 7 != 1, F.col("l_suppkey"))
+    lines = table(spark, root, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey").select("l_orderkey", "l_linenumber", key.alias("key"))
+    totals = table(spark, root, "lineitem", "l_suppkey", "l_quantity").groupBy(F.col("l_suppkey").alias("key")).agg(
+        F.count(F.lit(1)).alias("supplier_lines"), r4(F.avg("l_quantity")).alias("avg_quantity")
+    )
+    return H.lookup_hot(lines, totals, "key", H.hot_keys(lines, ["key"]).get("key", ()))
+
+
+#: Bands of prices around every fifth order of a priority: every seventh of them is wide, all overlap.
+_BANDS = """
+    select o_orderkey as band_id, o_orderpriority as class,
+      o_totalprice - case when o_orderkey % 7 = 0 then 20000 else 40 end as low,
+      o_totalprice + case when o_orderkey % 7 = 0 then 20000 else 40 + o_orderkey % 50 end as high,
+      o_orderdate - interval 90 day as since, o_orderdate + interval 90 day as until
+    from orders where o_orderkey % 5 = 0"""
+
+
+def _price_bands(spark, root) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, root, "orders", "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate").withColumn("day", F.unix_date(F.to_date("o_orderdate")))
+    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    around = F.when(k % 7 == 0, F.lit(20_000))
+    bands = orders.filter(k % 5 == 0).select(
+        k.alias("band_id"), F.col("o_orderpriority").alias("class"),
+        (price - F.coalesce(around, F.lit(40))).alias("low"), (price + F.coalesce(around, F.lit(40) + k % 50)).alias("high"),
+        (F.col("day") - 90).alias("since"), (F.col("day") + 90).alias("until"),
+    )
+    return orders, bands
+
+
+@query(f"""
+    with b as ({_BANDS})
+    select o_orderkey, count(*) as bands, min(band_id) as first_band, max(band_id) as last_band from orders
+    join b on class = o_orderpriority and o_totalprice between low and high and o_orderdate between since and until group by 1""")
+def grid_range_lookup(spark, root) -> DataFrame:
+    """Orders and the wide and narrow bands of price and time that hold them, on a grid of both measures."""
+    orders, bands = _price_bands(spark, root)
+    ranges = {"o_totalprice": ("low", "high"), "day": ("since", "until")}
+    hits = grid.grid_lookup(orders, bands, {"o_orderpriority": "class"}, ranges, {"o_totalprice": 50.0, "day": 64.0}, ["band_id"])
+    return hits.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("bands"), F.min("band_id").alias("first_band"), F.max("band_id").alias("last_band")
+    )
+
+
 @query("select * from current_rates")
 def range_lookup_latest(spark, root) -> DataFrame:
     from lanemart.plans.mart import placed_demands, wide_spine
@@ -424,7 +476,8 @@ def first_subscription(spark, root) -> DataFrame:
 def consigner_history(spark, root) -> DataFrame:
     demands = Frames(spark, root)["demands"]
     spine_rows = bounds.not_deleted(demands).select(F.col("id").alias("demand_id"), "consigner_user_code")
-    joined = J.lookup_salted(spine_rows, G.consigner_history(demands, PARAMS), "consigner_user_code", "demand_id", PARAMS.salts)
+    hot = H.hot_keys(spine_rows, ["consigner_user_code"])
+    joined = H.lookup_hot(spine_rows, G.consigner_history(demands, PARAMS), "consigner_user_code", hot.get("consigner_user_code", ()))
     return joined.select(
         "demand_id", "consigner_onboarding_date", "consigner_fulfilled_demand_date", "consigner_fulfilled_demand_id",
         G.consigner_type(F.col("demand_id"), F.col("consigner_fulfilled_demand_id")).alias("consigner_type"),
