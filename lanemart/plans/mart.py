@@ -226,5 +226,5 @@ def run_mart(
     ``folder`` is one that all executors reach; what the run keeps there is removed when it ends.
     """
     params = start_of(demand_dates, params)
-    with Cuts(demand_dates.sparkSession, folder) as cut:
+    with Cuts(demand_dates.sparkSession, folder, key="demand_id") as cut:
         write(build_mart(src, params, cut, measure=True), params.start_demand)

@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from lanemart.plans.mart import build_mart, wide_spine
 from lanemart.queries import QUERIES
 from lanemart.queries.helpers import Frames
+from lanemart.sinks.lake import Cuts
 from lanemart.sources.bounds import not_deleted, recent, since_id
 from lanemart.standin import PARAMS
 
@@ -44,6 +45,23 @@ def test_big_sides_are_not_broadcast_by_hint(spark, root):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_bucketed_cuts_save_shuffles(spark, root, tmp_path):
+    """Of the mart's joins by demand, those between cuts need no exchange; the rows are those without a layout."""
+    moves, kept = {}, {}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in (None, "demand_id"):
+            with Cuts(spark, str(tmp_path), key=key) as cut:
+                mart = build_mart(Frames(spark, root), PARAMS, cut, measure=True)
+                moves[key] = plan(mart).count("Exchange hashpartitioning(demand_id")
+                kept[key] = sorted(mart.select(F.xxhash64(*[F.col(c).cast("string") for c in mart.columns])).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert moves["demand_id"] <= moves[None] - 6
+    assert kept["demand_id"] == kept[None]
+
+
 def test_partition_and_data_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "parts")
     df = spark.range(40).select(
