@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,15 @@ def components(links: DataFrame) -> DataFrame:
         if fresh == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = fresh
+
+
+def connected_rows(linked: np.ndarray) -> np.ndarray:
+    """The least row of its component for each row (visitors first, then residents) of a two-sided graph."""
+    rows, columns = linked.shape
+    left, right = np.arange(rows), np.full(columns, rows + columns)
+    while True:
+        right = np.minimum(right, np.where(linked, left[:, None], rows + columns).min(axis=0))
+        after = np.minimum(left, np.where(linked, right[None, :], rows + columns).min(axis=1))
+        if (after == left).all():
+            return np.concatenate([left, right])
+        left = after

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanemart.llm.common import broadcast_if_small, cut
-from lanemart.llm.components import components
+from lanemart.llm.components import components, connected_rows
 
 #: Vectors that codebooks and calibration see, and nodes for which a cell of the grid is meant.
 SAMPLE, CELL_ROWS = 4096, 2048
@@ -204,18 +204,6 @@ def _tiled(nodes: DataFrame) -> DataFrame:
     return dealt.select(*met.columns, row.alias("row"), column.alias("col"))
 
 
-def _connected(linked: np.ndarray) -> np.ndarray:
-    """The least row of its component for each row (visitors first, then residents) of a two-sided graph."""
-    rows, columns = linked.shape
-    left, right = np.arange(rows), np.full(columns, rows + columns)
-    while True:
-        right = np.minimum(right, np.where(linked, left[:, None], rows + columns).min(axis=0))
-        after = np.minimum(left, np.where(linked, right[None, :], rows + columns).min(axis=1))
-        if (after == left).all():
-            return np.concatenate([left, right])
-        left = after
-
-
 def _verify(threshold: float):
     def each(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
@@ -233,7 +221,7 @@ def _verify(threshold: float):
             met = np.concatenate([linked.any(axis=1), linked.any(axis=0)])
             links = np.concatenate([linked @ here_copies, come_copies @ (linked & ~there)])[met]
             both = np.concatenate(own)
-            nodes, tops = both[met], both[_connected(linked)[met]]
+            nodes, tops = both[met], both[connected_rows(linked)[met]]
         return pa.table({"node": pa.array(nodes), "links": pa.array(links), "top": pa.array(tops)})
 
     return each

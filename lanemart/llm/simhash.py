@@ -20,13 +20,16 @@ similarity of ``SIMILARITY`` or more, and keeps the smallest id of every group t
 2. A pair counts only if the similarity of its two sets, as 64-bit hashes of shingles, is high enough. Before, pairs
    go whose MinHash values agree five standard deviations too seldom.
 3. A bucket that is in one component already gives no pairs. In a bucket of more than ``MEET`` nodes all meet
-   ``PIVOTS`` of them, round by round. Where at most ``MEET`` nodes are then outside the largest component, those
-   meet all others.
+   ``PIVOTS`` of them, which joins groups of copies of any size. Where at most ``MEET`` nodes are then outside the
+   largest component, those meet all others.
 4. Nodes of other buckets (a passage in many texts) are compared by prefixes: if shingles are ordered by the number
    of components that have them, a pair that is similar enough shares one of the first ``n - ceil(similarity * n) + 1``
-   of both its sets. Shingles of one component cannot link two, so what a template adds is not looked at. Where
-   buckets of a shared shingle are crowded after step 3, they are parted by the next one that is shared, the
-   prefixes growing by one, so that no pair is lost.
+   of both its sets. Shingles of one component cannot link two, so what a template adds is not looked at.
+5. Buckets of a shared shingle with more than ``MEET`` nodes outside the largest component (texts a little below the
+   threshold to many others) are dealt into tiles of bounded size, in which all sets are compared exactly. A tile gives
+   the links that connect its similar nodes, not its pairs; its work grows with nodes outside times nodes.
+
+Steps 3 to 5 are a fixed number of jobs, whatever the data.
 
 Defined cases: null text counts as empty and has fingerprint zero, which is linked like any other. Repeated
 rows each get their row. A null id never becomes a representative unless all ids of a component are null. An
@@ -46,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanemart.llm.common import broadcast_if_small, cut, text_batches
-from lanemart.llm.components import components
+from lanemart.llm.components import components, connected_rows
 
 BITS = 64
 #: Blocks that have to be equal, besides the ``distance`` blocks that may differ.
@@ -55,8 +58,10 @@ BLOCKS_MORE = 3
 CROWD = 64
 #: ``deduplicate``: least similarity, MinHash bands, and values in each.
 SIMILARITY, BANDS, ROWS = 0.8, 26, 4
-#: Nodes of a bucket that meet all nodes of a crowded one, and shared shingles by which a crowded bucket is parted.
-PIVOTS, DEPTH = 4, 4
+#: Nodes of a bucket that meet all nodes of a crowded one.
+PIVOTS = 4
+#: Nodes, and hashes of sets, on a side of a tile; columns of a matrix at a time.
+TILE, TILE_HASHES, COLUMNS = 256, 1 << 20, 2048
 #: Members of a bucket of ``deduplicate`` up to which its pairs are joined there.
 MEET = 32
 #: Dropped ids up to which they are broadcast.
@@ -219,7 +224,7 @@ class Linker:
 
     def __init__(self, values: DataFrame, sets: DataFrame, similarity: float):
         self.values, self.sets, self.similarity = values, sets, similarity
-        self.links = self.roots = None
+        self.roots = None
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` whose sets are similar enough."""
@@ -239,10 +244,11 @@ class Linker:
         enough = both * (1 + s) >= (F.size("hashes_a") + F.size("hashes_b")) * s - 1e-9
         return likely.join(a, "a").join(b, "b").filter(enough).select("a", "b")
 
-    def add(self, pairs: DataFrame) -> None:
-        found = self.verified(pairs)
-        self.links = cut(found if self.links is None else self.links.union(found))
-        self.roots = components(self.links)
+    def add(self, links: DataFrame) -> None:
+        """Join components by further links. Those before are one link per node to its root, so the graph stays small."""
+        if self.roots is not None:
+            links = links.union(self.roots.select("node", "root"))
+        self.roots = components(links)
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """Rows ``(path, at, id)`` with the component of the node."""
@@ -259,51 +265,107 @@ class Linker:
         sizes = sizes.select("path", "n", F.col("main.comp").alias("main"), (F.col("n") - F.col("main.m")).alias("outside"))
         return cut(parts.join(sizes.filter("outside > 0"), "path"))
 
-    def settle(self, rows: DataFrame, last: bool = False) -> DataFrame:
-        """Link what is similar in buckets; rows of those that are still crowded, unless these are the ``last``."""
-        live, before = self.measured(rows), None
-        while True:
-            crowded = live.filter(F.col("outside") > MEET)
-            left = crowded.count()
-            if not left or (before and left > before // 2):
-                break
-            before = left
-            chosen = [F.min(F.struct(F.xxhash64("id", F.lit(left + k)).alias("h"), "id"))["id"] for k in range(PIVOTS)]
-            pivots = crowded.groupBy("path").agg(F.array_distinct(F.array(*chosen)).alias("b")).select("path", F.explode("b").alias("b"))
-            pairs = crowded.join(pivots, "path").filter("id <> b").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
-            self.add(pairs)
-            live = self.measured(live)
-        few = live if last else live.filter(F.col("outside") <= MEET)
-        outside = few.filter("comp <> main").select("path", F.col("id").alias("x"), F.col("comp").alias("own"))
-        pairs = few.join(outside, "path").filter("comp <> own and (comp = main or id < x)")
-        self.add(pairs.select(F.greatest("id", "x").alias("a"), F.least("id", "x").alias("b")))
-        return live.limit(0) if last else live.filter(F.col("outside") > MEET)
+    @staticmethod
+    def few(live: DataFrame) -> DataFrame:
+        """Pairs of buckets with at most ``MEET`` nodes outside the largest component: those and all others."""
+        rows = live.filter(F.col("outside") <= MEET)
+        outside = rows.filter("comp <> main").select("path", F.col("id").alias("x"), F.col("comp").alias("own"))
+        pairs = rows.join(outside, "path").filter("comp <> own and (comp = main or id < x)")
+        return pairs.select(F.greatest("id", "x").alias("a"), F.least("id", "x").alias("b"))
+
+    @staticmethod
+    def pivoted(live: DataFrame) -> DataFrame:
+        """Pairs of every node of the other buckets with ``PIVOTS`` of its bucket."""
+        rows = live.filter(F.col("outside") > MEET)
+        chosen = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"] for k in range(PIVOTS)]
+        pivots = rows.groupBy("path").agg(F.array_distinct(F.array(*chosen)).alias("b")).select("path", F.explode("b").alias("b"))
+        return rows.join(pivots, "path").filter("id <> b").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
 
     def prefixes(self, rows: DataFrame) -> DataFrame:
-        """``(id, shared, room)``: hashes that nodes of several components have, in order, and how many begin a prefix."""
+        """Rows ``(path, at, id)`` of a bucket per shingle of the nodes' prefixes.
+
+        Shingles are ordered by the number of components that have them; those of one component cannot link two.
+        """
         nodes = self.labelled(rows).select("id", "comp").distinct().join(self.sets, "id")
         each = cut(nodes.select("id", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("t")))
         wide = each.groupBy("t", "comp").agg(F.lit(1)).groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
         shared = each.join(wide, "t").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("shared"))
         spare = F.col("n") - F.ceil(F.col("n") * self.similarity - 1e-9)
-        return cut(shared.select("id", F.col("shared.t").alias("shared"), (spare - F.col("n") + F.size("shared")).cast("int").alias("room")))
+        room = (spare - F.col("n") + F.size("shared") + 1).cast("int")
+        return shared.filter(room > 0).select(F.explode(F.slice("shared.t", F.lit(1), room)).alias("path"), F.lit(0).alias("at"), "id")
+
+    def tiled(self, live: DataFrame) -> DataFrame:
+        """Links in buckets with more than ``MEET`` nodes outside the largest component, verified where they meet.
+
+        Nodes outside meet all, in tiles of bounded bytes; a tile compares its sets by products of incidence matrices
+        and gives the links that connect what is similar in it, not its pairs.
+        """
+        rows = live.filter(F.col("outside") > MEET).select("path", "id", "comp", "main").join(self.sets, "id")
+        sizes = rows.groupBy("path").agg(*[F.sum(F.when(c, F.lit(1))).alias(f"{n}_rows") for n, c in (("all", F.lit(True)), ("out", F.expr("comp <> main")))], F.sum(F.size("hashes")).alias("held"))
+        blocks = sizes.select(
+            F.col("path").alias("of"),
+            *[F.ceil(F.greatest(F.col(f"{n}_rows") / TILE, F.col("held") / TILE_HASHES)).cast("int").alias(f"{n}_blocks") for n in ("all", "out")],
+        )
+        met = rows.join(blocks, F.col("path") == F.col("of"))
+        mine = lambda n: F.pmod(F.xxhash64("id", F.lit(n)), F.col(f"{n}_blocks"))
+        upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{n}_blocks").cast("bigint") - 1))
+        kept = ["path", "id", "comp", "hashes"]
+        every = met.select(*kept, F.lit(0).alias("side"), mine("all").alias("col"), upto("out").alias("row"))
+        outer = met.filter("comp <> main").select(*kept, F.lit(1).alias("side"), upto("all").alias("col"), mine("out").alias("row"))
+        kind = live.schema["id"].dataType.simpleString()
+        return every.union(outer).groupBy("path", "row", "col").applyInArrow(_similar(self.similarity), f"a {kind}, b {kind}")
 
     def link_all(self, buckets: DataFrame) -> None:
-        """All links of nodes that share a bucket."""
-        rest = self.settle(buckets.withColumn("at", F.lit(-1)))
-        if rest.isEmpty():
-            return
-        nodes = self.prefixes(rest)
-        rows = nodes.select(F.lit(0).cast("long").alias("path"), F.lit(-1).alias("at"), "id")
-        for depth in range(1, DEPTH + 1):
-            own = rows.select("path", "at", "id").join(nodes, "id")
-            # Places behind the last shared shingle, in a prefix that is longer by one for each.
-            places = F.filter(F.sequence(F.lit(0), F.size("shared") - 1), lambda k: (k > F.col("at")) & (k < F.col("room") + depth))
-            own = own.select("id", "path", "shared", F.explode(places).alias("at"))
-            own = own.select(F.xxhash64("path", F.get("shared", "at")).alias("path"), "at", "id")
-            rows = self.settle(own, last=depth == DEPTH)
-            if rows.isEmpty():
-                return
+        """All links of nodes that share a bucket. The number of steps does not depend on the data."""
+        live = self.measured(buckets.withColumn("at", F.lit(-1)))
+        self.add(self.verified(self.few(live).union(self.pivoted(live))))
+        live = self.measured(live.filter(F.col("outside") > MEET))
+        parted = self.measured(self.prefixes(live.filter(F.col("outside") > MEET)))
+        self.add(self.verified(self.few(live).union(self.few(parted))).union(self.tiled(parted)))
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of every set of the one list with every set of the other."""
+    parts = []
+    for sets in (left, right):
+        parts.append((np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)))
+    common = np.intersect1d(parts[0][1], parts[1][1])
+    out = np.zeros((len(left), len(right)), dtype=np.float64)
+    placed = []
+    for owner, values in parts:
+        at = np.minimum(np.searchsorted(common, values), max(0, len(common) - 1))
+        held = common[at] == values if len(common) else np.zeros(len(values), dtype=bool)
+        order = np.argsort(at[held], kind="stable")
+        placed.append((owner[held][order], at[held][order]))
+    for start in range(0, len(common), COLUMNS):
+        grids = []
+        for (owner, at), sets in zip(placed, (left, right)):
+            lo, hi = np.searchsorted(at, [start, start + COLUMNS])
+            grid = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+            grid[owner[lo:hi], at[lo:hi] - start] = 1
+            grids.append(grid)
+        out += grids[0] @ grids[1].T
+    return out
+
+
+def _similar(similarity: float):
+    def each(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        every, outer = (table.filter(pa.array(side == s)) for s in (0, 1))
+        ids = [*outer.column("id").to_pylist(), *every.column("id").to_pylist()]
+        links: list[tuple] = []
+        if len(every) and len(outer):
+            sets = [[np.asarray(h.values) for h in t.column("hashes")] for t in (outer, every)]
+            n = [np.array([len(s) for s in x], dtype=np.float64) for x in sets]
+            linked = overlaps(*sets) * (1 + similarity) >= (n[0][:, None] + n[1][None, :]) * similarity - 1e-9
+            own = [np.array(t.column("id").to_pylist(), dtype=object) for t in (outer, every)]
+            linked &= own[0][:, None] != own[1][None, :]
+            tops = connected_rows(linked)
+            links = [(ids[k], ids[t]) for k, t in enumerate(tops) if k != t and t < len(ids)]
+        kind = table.schema.field("id").type
+        return pa.table({c: pa.array([x[k] for x in links], kind) for k, c in enumerate("ab")})
+
+    return each
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, similarity: float = SIMILARITY) -> DataFrame:

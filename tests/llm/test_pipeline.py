@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +124,35 @@ def test_one_of_a_chain_stays(spark, length):
     # The smallest ids are at the ends of the chain, so that they are not alike.
     order = sorted(own, key=lambda k: min(k, length - 1 - k))
     assert kept_of(spark, [(i, own[k]) for i, k in enumerate(order)]) == {0}
+
+
+def test_a_crowd_a_little_below_the_threshold(spark):
+    """A template of four fifths: texts are 0.76 alike, so all share prefixes; only the planted copies go."""
+    n = 150
+    template = " ".join(words_of("template", 190))
+    rows = [(k, template + " " + " ".join(words_of(f"t{k}x", 30))) for k in range(n)]
+    rows += [(n + k, rows[k][1] + " more") for k in range(0, n, 10)]
+    assert kept_of(spark, rows) == set(range(n))
+
+
+@pytest.mark.parametrize("columns", [3, 2048])
+def test_overlaps_are_exact(monkeypatch, columns):
+    monkeypatch.setattr(simhash, "COLUMNS", columns)
+    rng = np.random.default_rng(0)
+    left, right = ([np.unique(rng.integers(0, 60, rng.integers(1, 30))) for _ in range(n)] for n in (9, 14))
+    want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert simhash.overlaps(left, right).tolist() == want
+    assert simhash.overlaps([np.array([1])], [np.array([2])]).tolist() == [[0]]
+
+
+def test_the_number_of_jobs_does_not_follow_the_data(spark):
+    """Crowds of any kind take the same steps: only the rounds of star operations differ, by a few."""
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for n in (40, 400):
+        rows = [(k, " ".join([*words_of("template", 150), *words_of(f"t{k}x", 70)])) for k in range(n)]
+        rows += [(n + k, " ".join([*words_of("copy", 200), f"c{k}"])) for k in range(n)]
+        spark.sparkContext.setJobGroup(f"near-{n}", "near copies")
+        assert kept_of(spark, rows) == set(range(n + 1))
+        jobs.append(len(tracker.getJobIdsForGroup(f"near-{n}")))
+    spark.sparkContext.setJobGroup(None, None)
+    assert abs(jobs[1] - jobs[0]) <= 40 and max(jobs) <= 200, jobs
