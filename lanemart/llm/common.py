@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,14 @@ def forget(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python process is used again, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,16 +11,20 @@ A source that runs out leaves its later slots empty; no row is left out or repea
 ``slot`` and ``offset`` are the mixture.
 
 Numbering the rows of a source would bring all of a large source into one task. So they are numbered within
-4096 parts of the hash's range, and the parts are summed up by a window over one row per part.
-
-Defined cases: a null source is the source named by the empty text. A null id is hashed as empty text. Rows with
-equal ids are numbered in any order. An empty table gives an empty result. Further columns are returned as they
-are. More than ``PERIOD`` sources raise an error, as not every one could have a slot.
+4096 parts of the hash's range or more, by the size of the largest source, and the parts are summed up by a window
+over one row per part.
+
+Defined cases: a null source is the source named by the empty text. A row with a null id is ordered by a hash of the
+whole row. Rows with equal ids are numbered in the order of such a hash; equal rows may change places, which cannot be
+seen. Texts are not looked at, whatever their length. An empty table gives an empty result. Further columns are
+returned as they are; those named like a column of the result give way to it. With more than half as many sources as
+slots the period grows to twice their number. One row per source goes to the driver.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
@@ -32,6 +36,10 @@ PERIOD = 1000
 BLOCK = 16
 #: Hexadecimal digits of the hash that number the parts of a source.
 DIGITS = 3
+#: Rows of a part that are meant at most; larger sources get more digits.
+PART_ROWS = 50_000
+#: Columns of the result besides those of the rows; columns of these names give way.
+OUTPUT = {"share": "int", "block": "long", "slot": "long", "offset": "long"}
 #: Power of a source's size that is its weight where none are given: between 0 (all alike) and 1 (as they come).
 TEMPER = 0.7
 
@@ -79,28 +87,33 @@ def mix(
     Without it a source weighs its number of rows to the power of ``TEMPER``.
     """
     name = F.coalesce(F.col(source_column), F.lit(""))
-    counted = docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(period + 1).collect()
+    counted = docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per source
     sizes = {r["s"]: r["n"] for r in counted}
+    kept = [F.col(f"__row.`{c}`") for c in docs.columns if c not in OUTPUT]
     if not sizes:
-        return docs.withColumns({"share": F.lit(0), "block": F.lit(0).cast("long"), "slot": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+        empty = docs.select(F.struct("*").alias("__row"))
+        return empty.select(*kept, *[F.lit(0).cast(kind).alias(c) for c, kind in OUTPUT.items()])
+    period = max(period, 2 * len(sizes))
     wanted = {s: n**TEMPER for s, n in sizes.items()} if weights is None else {s: float(weights.get(s, 0.0)) for s in sizes}
     slots = shares(wanted, period)
     entries = [(s, k, t, slots[s]) for s, k, t in schedule(slots, period)]  # as many rows as the period has slots
     plan = docs.sparkSession.createDataFrame(entries, "__s string, __k int, __t int, share int").coalesce(1)
 
-    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary"))
-    rows = docs.withColumns({"__s": name, "__h": digest}).withColumn("__part", F.substring("__h", 1, DIGITS))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    # Rows without an id are ordered by a hash of the whole row, so that they do not all meet in one part.
+    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), whole.cast("string")).cast("binary"))
+    digits = max(DIGITS, math.ceil(math.log(max(sizes.values()) / PART_ROWS, 16)))
+    rows = docs.select(F.struct("*").alias("__row"), name.alias("__s"), digest.alias("__h"), F.col(id_column).alias("__id"), whole.alias("__tie"))
+    rows = rows.withColumn("__part", F.substring("__h", 1, digits))
     parts = rows.groupBy("__s", "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("__s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("__s", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    inside = Window.partitionBy("__s", "__part").orderBy("__h", F.col(id_column))
+    inside = Window.partitionBy("__s", "__part").orderBy("__h", "__id", "__tie")
     rank = F.col("__base") + F.row_number().over(inside) - 1
     rows = rows.join(parts, ["__s", "__part"]).withColumn("__rank", rank)
     sized = F.broadcast(plan.select("__s", "share").distinct())
     rows = rows.join(sized, "__s").withColumn("block", F.floor(F.col("__rank") / block))
     rows = rows.withColumn("__k", (F.col("block") % F.col("share")).cast("int")).join(F.broadcast(plan.drop("share")), ["__s", "__k"])
     return rows.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        "share", "block", (F.floor(F.col("block") / F.col("share")) * period + F.col("__t")).alias("slot"),
-        (F.col("__rank") % block).alias("offset"),
-    )
+        *kept, "share", "block", (F.floor(F.col("block") / F.col("share")) * period + F.col("__t")).alias("slot"), (F.col("__rank") % block).alias("offset")
+    )

@@ -205,8 +205,8 @@ def train(
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", name: str = "score") -> DataFrame:
-    """The documents with a column ``name``, the probability of label 1, in place of the text."""
-    kept = [f for f in docs.schema.fields if f.name != text_column]
+    """The documents with a column ``name``, the probability of label 1, in place of the text and of a column of that name."""
+    kept = [f for f in docs.schema.fields if f.name not in (text_column, name)]
     rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_column).cast("string").alias(text_column))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,7 @@ value. Further columns do not matter, ids may be null.
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 from collections import Counter, defaultdict
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanemart.llm.common import text_batches
+from lanemart.llm.common import release, text_batches
 
 #: Labelled rows of each label that the fit looks at, at most.
 SAMPLE = 1500
@@ -371,11 +372,15 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str, te
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model:
     """A model of ``label_column``, from labels for which ``learn`` holds."""
-    return fit(sample(docs, labels, learn, id_column, text_column, label_column))
+    model = fit(sample(docs, labels, learn, id_column, text_column, label_column))
+    gc.collect()
+    release()  # the sample took some hundred megabytes of the driver
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", name: str = "score") -> DataFrame:
-    """The documents with a column ``name``, the probability that they are toxic."""
+    """The documents with a column ``name``, the probability that they are toxic, in place of one of that name."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != name or c == text_column])
     at = docs.columns.index(text_column)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,11 +84,11 @@ def test_held_out_accuracy(spark, name, label, least):
 def test_classifier_cases(spark, texts, nothing, module):
     label = "quality" if module is quality else "toxic"
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (7, 0, 0), (None, 1, 1), (99, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int")
-    docs = texts.drop("score")
+    docs = texts
     for known in (labels, labels.limit(0), labels.filter("doc_id = 1")):
         model = module.train(docs, known, F.lit(True), label_column=label)
         assert module.score(docs, model).filter("score between 0 and 1").count() == len(TEXTS)
-        assert module.score(nothing.drop("score"), model).count() == 0
+        assert module.score(nothing, model).columns.count("score") == 1 and module.score(nothing, model).count() == 0
 
 
 def test_toxicity_tolerates_gaps():
@@ -281,9 +281,10 @@ def test_schedule_keeps_every_source_within_a_block():
 
 
 def test_mixing_cases(spark, texts, nothing):
-    df = texts.withColumn("block", F.lit("mine")).drop("block")
+    df = texts.withColumns({c: F.lit("mine") for c in ("share", "block", "slot", "offset")})
     mixed = mixing.mix(df, block=2)
-    assert mixed.count() == len(TEXTS) and mixing.mix(nothing).count() == 0
+    assert mixed.columns == [*texts.columns, "share", "block", "slot", "offset"]
+    assert mixed.count() == len(TEXTS) and mixing.mix(nothing).columns == mixed.columns and mixing.mix(df.limit(0)).count() == 0
     found = mixed.select("block", "slot", "offset").collect()
     assert sorted((r["block"], r["offset"]) for r in found) == [(n // 2, n % 2) for n in range(len(TEXTS))]
     with pytest.raises(ValueError, match="do not fit"):
@@ -293,6 +294,17 @@ def test_mixing_cases(spark, texts, nothing):
     assert all(abs(r["count"] - 400) <= 4 for r in rows)
 
 
+def test_mixing_many_sources_and_ties(spark, monkeypatch):
+    """More sources than slots, rows without an id, equal ids: every row once, the same in every order of the rows."""
+    monkeypatch.setattr(mixing, "PART_ROWS", 1)
+    many = spark.range(1300).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("source"))
+    assert mixing.mix(many).select("slot").distinct().count() == 1300
+    rows = [(None if k % 2 else k % 7, "s", f"text {k}") for k in range(200)]
+    one, other = (spark.createDataFrame(r, "doc_id long, source string, text string").repartition(n) for r, n in ((rows, 1), (rows[::-1], 7)))
+    got = [sorted((r["text"], r["slot"], r["offset"]) for r in mixing.mix(df).collect()) for df in (one, other)]
+    assert got[0] == got[1] and len({x[1:] for x in got[0]}) == 200
+
+
 # 7: exact copies
 
 
