@@ -58,8 +58,8 @@ BLOCKS_MORE = 3
 CROWD = 64
 #: ``deduplicate``: least similarity, MinHash bands, and values in each.
 SIMILARITY, BANDS, ROWS = 0.8, 26, 4
-#: Nodes of a bucket that meet all nodes of a crowded one.
-PIVOTS = 4
+#: Nodes of a crowded bucket that meet all others of it. A node is in ``BANDS`` buckets, so it meets several.
+PIVOTS = 1
 #: Nodes, and hashes of sets, on a side of a tile; columns of a matrix at a time.
 TILE, TILE_HASHES, COLUMNS = 256, 1 << 20, 2048
 #: Members of a bucket of ``deduplicate`` up to which its pairs are joined there.
