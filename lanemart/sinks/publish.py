@@ -62,21 +62,21 @@ class Gates:
 
 
 def observed(df: DataFrame, key: str, gates: Gates) -> tuple[DataFrame, Observation]:
-    """The frame, and the figures that its one action will leave.
+    """The frame, and the figures that its one action will leave; they are of the rows with ``__new``.
 
     Repeats are numbered in a window over the key: rows that come out of a join by the key are dealt and sorted for it.
     """
     seen = Observation(f"gates-{uuid.uuid4().hex}")
     nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    count = lambda c: F.count(F.when(c, F.lit(1)))
+    count = lambda c: F.count(F.when(F.col("__new") & c, F.lit(1)))
     numbered = df.withColumn("__nth", nth).observe(
         seen,
-        F.count(F.lit(1)).alias("rows"),
+        count(F.lit(True)).alias("rows"),
         count(F.col(key).isNull()).alias("null_keys"),
         count(F.col(key).isNotNull() & (F.col("__nth") > 1)).alias("repeated_keys"),
         *[count(F.col(c).isNull()).alias(f"null:{c}") for c in gates.unmatched],
     )
-    return numbered.drop("__nth"), seen
+    return numbered.drop("__nth", "__new"), seen
 
 
 def read_published(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -95,20 +95,23 @@ def replace_since_published(
     """
     number, named = _newest(spark, root)
     first = start // width
-    rows, seen = observed(batch.filter(F.col(id_col).isNull() | (F.col(id_col) >= start)), id_col, gates)
+    rows = batch.filter(F.col(id_col).isNull() | (F.col(id_col) >= start)).withColumn("__new", F.lit(True))
     before = named.get(str(first))
     if before:
-        rows = rows.unionByName(_rows(spark, root, [before], batch.schema).filter(F.col(id_col) < start))
+        older = _rows(spark, root, [before], batch.schema).filter(F.col(id_col) < start)
+        rows = rows.unionByName(older.withColumn("__new", F.lit(False)))
+    rows, seen = observed(rows, id_col, gates)
     staged = f"data/{uuid.uuid4().hex}"
     bucket = F.floor(F.col(id_col) / F.lit(width)).cast("bigint")
     dealt = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
     try:
         dealt.write.partitionBy(BUCKET).option("compression", "zstd").parquet(f"{root}/{staged}")
-        figures = seen.get
-        gates.check(figures)
         fresh = {name.split("=", 1)[1]: f"{staged}/{name}" for name in _names(spark, f"{root}/{staged}") if name.startswith(f"{BUCKET}=")}
-        older = {b: d for b, d in named.items() if not b.lstrip("-").isdigit() or int(b) < first}
-        _commit(spark, root, number + 1, older | fresh)
+        # A plan that is known to be empty is not run, and leaves no figures.
+        figures = seen.get if fresh else {c: 0 for c in ("rows", "null_keys", "repeated_keys", *(f"null:{c}" for c in gates.unmatched))}
+        gates.check(figures)
+        kept = {b: d for b, d in named.items() if not b.lstrip("-").isdigit() or int(b) < first}
+        _commit(spark, root, number + 1, kept | fresh)
     except BaseException:
         _delete(spark, f"{root}/{staged}")
         raise
