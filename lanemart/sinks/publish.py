@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanemart.sinks.replace import BUCKET
-from lanemart.sources.bounds import since_id
 
 
 class GateError(ValueError):
