@@ -1,12 +1,15 @@
-"""Elias-Fano coded sequences and the n-gram trie made of them, in one memory map."""
+"""Elias-Fano coded sequences, and the levels of an n-gram model made of them, kept in files that are memory-mapped."""
 
 from __future__ import annotations
 
-import mmap
-
 import numpy as np
 import pandas as pd
 
+from lanemart.llm import mapped
+
+#: Elements whose low bits are packed at a time; a multiple of 8, so that every part is whole bytes.
+PACKED = 1 << 14
+
 
 def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order, and the place of each value among them."""
@@ -35,19 +38,30 @@ class EliasFano:
 
     def __init__(self, values: np.ndarray, universe: int):
         values = values.astype(np.uint64)
-        self.n, self.universe = len(values), universe
-        self.shift = min(56, max(0, (universe // max(1, self.n)).bit_length() - 1))  # at most 8 bytes with any start
-        shift = np.uint64(self.shift)
+        self._shape(len(values), universe)
+        shift, places = np.uint64(self.shift), np.arange(self.shift, dtype=np.uint64)
         low = values & ((np.uint64(1) << shift) - np.uint64(1))
-        bits = ((low[:, None] >> np.arange(self.shift, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        packed = np.packbits(bits.ravel(), bitorder="little")
+        parts = (((low[k : k + PACKED, None] >> places) & np.uint64(1)).astype(np.uint8).ravel() for k in range(0, self.n, PACKED))
+        packed = [np.packbits(p, bitorder="little") for p in parts]
         high = (values >> shift).astype(np.int64)
-        self.buckets = int((universe - 1) >> self.shift) + 1 if universe else 1
         upper = np.zeros(self.n + self.buckets, dtype=np.uint8)
         upper[high + np.arange(self.n)] = 1
-        self.low, self.upper = np.concatenate([packed, np.zeros(8, np.uint8)]), np.packbits(upper, bitorder="little")
+        self.low, self.upper = np.concatenate([*packed, np.zeros(8, np.uint8)]), np.packbits(upper, bitorder="little")
+
+    def _shape(self, n: int, universe: int) -> None:
+        self.n, self.universe = n, universe
+        self.shift = min(56, max(0, (universe // max(1, n)).bit_length() - 1))  # at most 8 bytes with any start
+        self.buckets = int((universe - 1) >> self.shift) + 1 if universe else 1
         self.starts: np.ndarray | None = None
 
+    @classmethod
+    def laid(cls, n: int, universe: int, low: np.ndarray, upper: np.ndarray) -> EliasFano:
+        """A sequence whose bits are there already."""
+        out = cls.__new__(cls)
+        out._shape(n, universe)
+        out.low, out.upper = low, upper
+        return out
+
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.shift:
             return np.zeros(len(at), dtype=np.uint64)
@@ -99,28 +113,51 @@ class EliasFano:
         return found
 
 
-class Quantised:
-    """Numbers by 8-bit codes of equal steps between the smallest and the largest."""
+#: Logarithms are kept as 16-bit multiples of this power of two, from -16 to 16: the same value whatever else a shard holds, and
+#: sums of such numbers are exact in doubles, in any order.
+STEP = 2.0**-11
+
+
+def quantised(values: np.ndarray) -> np.ndarray:
+    """Codes of base-10 logarithms."""
+    return np.rint(values / STEP).clip(-32768, 32767).astype(np.int16)
 
-    def __init__(self, values: np.ndarray):
-        self.least = float(values.min()) if len(values) else 0.0
-        self.step = (float(values.max()) - self.least) / 255 if len(values) else 0.0
-        self.codes = np.rint((values - self.least) / self.step).astype(np.uint8) if self.step else np.zeros(len(values), np.uint8)
 
-    def get(self, at: np.ndarray) -> np.ndarray:
-        return self.least + self.step * self.codes[at]
+class Words:
+    """How often the words of one shard occur in training, by their hashes."""
 
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        self.least = int(hashes[0]) if len(hashes) else 0
+        span = int(hashes[-1]) - self.least + 1 if len(hashes) else 1
+        self.hashes, self.counts = EliasFano(hashes - np.uint64(self.least), span), counts.astype(np.int64)
 
-def _mapped(parts: list[tuple[object, str]]) -> None:
-    """Lay the arrays behind the named attributes out in one memory map, and let them be views of it."""
-    arrays = [getattr(o, name) for o, name in parts]
-    space = mmap.mmap(-1, sum(a.nbytes for a in arrays) + 1)
-    at = 0
-    for (o, name), a in zip(parts, arrays):
-        view = np.frombuffer(space, dtype=a.dtype, count=len(a), offset=at)
-        view[:] = a
-        setattr(o, name, view)
-        at += a.nbytes
+    def save(self, path: str) -> None:
+        head = {"least": self.least, "n": self.hashes.n, "universe": self.hashes.universe}
+        mapped.write(path, head, {"low": self.hashes.low, "upper": self.hashes.upper, "counts": self.counts})
+
+    @classmethod
+    def open(cls, path: str) -> Words:
+        head, arrays = mapped.read(path)
+        out = cls.__new__(cls)
+        out.least, out.counts = head["least"], arrays["counts"]
+        out.hashes = EliasFano.laid(head["n"], head["universe"], arrays["low"], arrays["upper"])
+        return out
+
+    def count(self, hashes: np.ndarray, mask: int = (1 << 64) - 1) -> np.ndarray:
+        """Counts of words; with a mask, of the first word whose hash has these bits under it."""
+        out = np.zeros(len(hashes), dtype=np.int64)
+        least = np.uint64(self.least)
+        inside = np.flatnonzero((hashes | ~np.uint64(mask)) >= least)
+        if not self.hashes.n or not len(inside):
+            return out
+        wanted = np.maximum(hashes[inside], least) - least
+        fits = wanted < np.uint64(self.hashes.universe) if self.hashes.universe < 1 << 64 else np.ones(len(wanted), dtype=bool)
+        inside, wanted = inside[fits], wanted[fits]
+        at = self.hashes.successor(wanted)
+        inside, at = inside[at < self.hashes.n], at[at < self.hashes.n]
+        same = (self.hashes.access(at) + least) & np.uint64(mask) == hashes[inside]
+        out[inside[same]] = self.counts[at[same]]
+        return out
 
 
 class Trie:
@@ -136,9 +173,11 @@ class Trie:
       the context's second word, which makes the numbers small.
 
     Probabilities are absolutely discounted and stored in base-10 logarithms, quantised; so are the back-off
-    weights of words and contexts.
+    weights of words and contexts. A trie is written to a file once and then read through a memory map.
     """
 
+    LEVELS, CODES = ("vocabulary", "words", "bigrams", "firsts", "contexts", "trigrams"), ("p2", "p3", "back2", "back3")
+
     def __init__(self, words: np.ndarray, first: np.ndarray, before: np.ndarray, last: np.ndarray, counts: np.ndarray, discount: float):
         """From the distinct trigrams (before, first, last) of the training texts and their counts; words go by
         their places among the ascending hashes ``words``."""
@@ -156,8 +195,8 @@ class Trie:
         first_of = np.searchsorted(pair_head, np.arange(len(heads) + 1))
         self.firsts = EliasFano(first_of, len(pairs) + 1)
         p2 = (pair_count - discount) / head_count[pair_head]
-        self.p2 = Quantised(np.log10(p2))
-        self.back2 = Quantised(np.log10(discount * head_kinds / np.maximum(head_count, 1)))
+        self.p2 = quantised(np.log10(p2))
+        self.back2 = quantised(np.log10(discount * head_kinds / np.maximum(head_count, 1)))
 
         contexts, c = numbered(h * self.size + b)
         self.contexts = EliasFano(contexts, len(heads) * self.size + 1)
@@ -169,13 +208,28 @@ class Trie:
         context_count = np.bincount(gram_context, gram_count, len(contexts))
         context_kinds = np.bincount(gram_context, minlength=len(contexts))
         self.trigrams = EliasFano(grams, len(contexts) * self.width + 1)
-        self.p3 = Quantised(np.log10((gram_count - discount) / context_count[gram_context]))
+        self.p3 = quantised(np.log10((gram_count - discount) / context_count[gram_context]))
         # What is left for the unseen words, over what the bigrams give them.
         seen = np.bincount(gram_context, p2[first_of[contexts[gram_context] // self.size] + grams % self.width], len(contexts))
         left = discount * context_kinds / np.maximum(context_count, 1)
-        self.back3 = Quantised(np.log10(left / np.maximum(1 - seen, 1e-9)))
-        levels = (self.vocabulary, self.words, self.bigrams, self.firsts, self.contexts, self.trigrams)
-        _mapped([(x, n) for x in levels for n in ("low", "upper")] + [(q, "codes") for q in (self.p2, self.p3, self.back2, self.back3)])
+        self.back3 = quantised(np.log10(left / np.maximum(1 - seen, 1e-9)))
+
+    def save(self, path: str) -> None:
+        levels = {n: getattr(self, n) for n in self.LEVELS}
+        arrays = {f"{n}.{half}": getattr(level, half) for n, level in levels.items() for half in ("low", "upper")}
+        head = {"size": self.size, "width": self.width, "levels": {n: [level.n, level.universe] for n, level in levels.items()}}
+        mapped.write(path, head, arrays | {n: getattr(self, n) for n in self.CODES})
+
+    @classmethod
+    def open(cls, path: str) -> Trie:
+        head, arrays = mapped.read(path)
+        out = cls.__new__(cls)
+        out.size, out.width = head["size"], head["width"]
+        for n, (size, universe) in head["levels"].items():
+            setattr(out, n, EliasFano.laid(size, universe, arrays[f"{n}.low"], arrays[f"{n}.upper"]))
+        for n in cls.CODES:
+            setattr(out, n, arrays[n])
+        return out
 
     def query(self, words: np.ndarray, first: np.ndarray, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log10 probability of each trigram as far as it is known here, and whether the last word's own
@@ -195,9 +249,9 @@ class Trie:
         context = child(self.contexts, h, b, self.size)
         rank = np.where(pair >= 0, pair - self.firsts.access(h).astype(np.int64), -1)
         gram = child(self.trigrams, context, np.where(rank < self.width, rank, -1), self.width)
-        value = np.where(pair >= 0, self.p2.get(np.maximum(pair, 0)) if self.bigrams.n else 0.0, self.back2.get(h))
-        value += np.where(context >= 0, self.back3.get(np.maximum(context, 0)) if self.contexts.n else 0.0, 0.0)
-        whole = gram >= 0
-        value[whole] = self.p3.get(gram[whole])
-        out[known], open_[known] = value, pair < 0
+        value = self.back2[h].astype(np.int64)
+        value[pair >= 0] = self.p2[pair[pair >= 0]]
+        value[context >= 0] += self.back3[context[context >= 0]]
+        value[gram >= 0] = self.p3[gram[gram >= 0]]
+        out[known], open_[known] = value * STEP, pair < 0
         return out, open_

@@ -2,18 +2,24 @@
 
 The model is a back-off trigram model with absolute discounting. It never exists in one place: its trie is cut
 into shards by the hash of an n-gram's middle word, and every n-gram of every text, training or not, travels to
-its shard once, in compressed blocks. A shard counts the training n-grams among them, builds its part of the trie
-(``elias_fano.Trie``: monotone pointers and sequences, quantised smoothed probabilities, in one memory map) and
-answers all n-grams by context-relative successor search. What falls through to single words travels on, to
-shards of the unigram counts.
+its shard once, in compressed blocks. A shard counts the distinct training n-grams among them, writes its part of the
+trie (``elias_fano.Trie``: monotone pointers and sequences, quantised smoothed probabilities) as one file of the
+folder, maps that file and answers all n-grams by context-relative successor search. What falls through to
+single words travels on, to shards of the unigram counts, kept in files as well. The folder is the model: ``score_by`` scores
+texts that were not there when it was made.
 
 1. ``trigrams`` (per batch of texts): distinct (before, first, last) with the texts they are in -> shard of first.
-2. ``answers`` (per shard): sums of log probabilities per text -> part of the text's key; last words that were not
-   seen after their context -> shard of the word.
+2. ``answers`` (per shard): its trie; sums of log probabilities per text -> part of the text's key; last words that were
+   not seen after their context -> shard of the word.
 3. ``words`` (per batch): distinct words with the texts they are in -> shard of the word.
 4. ``counts`` (per shard): unigram counts and, from them, what texts and fallen words get -> part of the key.
 5. ``sums`` (per part): one row per text.
 
+Scores do not depend on how rows are dealt, to the last bit: a probability depends on the counts of its context only, and
+logarithms are multiples of 2^-11 (an error of 0.00025 at most), whose sums are exact in any order. A shard holds its
+blocks compressed and unpacks some at a time. All n-grams with one middle word are in one shard, so the shard of
+the commonest word grows with its share of the corpus.
+
 Every block is made by one task from its own rows and names texts by keys of their contents, so it does not
 matter how rows are batched when a lost task is run again. Nothing is broadcast; the numbers of shards follow
 from the bytes of text (``SHARD_BYTES``). Blocks aggregate within a batch, so a word or n-gram that is everywhere
@@ -38,23 +44,26 @@ texts are read in pieces of ``PIECE`` bytes.
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanemart.llm.common import cut, forget, text_batches
-from lanemart.llm.elias_fano import Trie, numbered, runs
+from lanemart.llm import mapped
+from lanemart.llm.common import cut, forget, remove, shared_folder, text_batches
+from lanemart.llm.elias_fano import STEP, Trie, Words, numbered, runs
 
 #: Bytes of text per shard of the trie, of the unigrams, and per part of the sums.
 SHARD_BYTES, WORD_BYTES, PART_BYTES = 16 << 20, 64 << 20, 64 << 20
 #: Tokens that a task gathers before it sends blocks.
 GATHER = 600_000
-#: N-grams that a shard works on at a time.
-RANGE = 120_000
+#: N-grams, with the texts that have them, that a shard answers at a time.
+RANGE = 400_000
 #: Bytes of text hashed at a time.
 PIECE = 4 << 20
 DISCOUNT = 0.75
@@ -273,72 +282,77 @@ def _word_blocks(rows: DataFrame, shards: int) -> DataFrame:
     return rows.mapInArrow(each, _SENT)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[str, dict[str, np.ndarray]]]]]:
-    """The blocks of a task by their shard."""
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[str, bytes]]]]:
+    """The blocks of a task by their shard, as they came; a task without any has an empty shard."""
     found: dict[int, list] = {}
     for batch in batches:
         for kind, shard, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            found.setdefault(shard, []).append((kind, _unpack(block.as_py())))
+            found.setdefault(shard, []).append((kind, block.as_py()))
+    if not found:
+        yield TaskContext.get().partitionId(), []
     while found:
         yield found.popitem()
 
 
 def _meet(blocks: DataFrame, shards: int) -> DataFrame:
-    """All blocks of a shard in one task, and nothing else there."""
+    """All blocks of a shard in the task of its number, and nothing else there."""
     return text_batches(blocks.repartitionById(shards, F.col("shard").cast("int")))
 
 
-class Shard:
-    """The blocks of a shard, and the texts they name."""
-
-    def __init__(self, blocks: list[dict[str, np.ndarray]], names: tuple[str, ...]):
-        self.blocks, self.names = blocks, names
-        self.keys, places = numbered(np.concatenate([b["keys"] for b in blocks]))
-        self.flags = np.zeros(len(self.keys), dtype=bool)
-        self.flags[places] = np.concatenate([b["flags"] for b in blocks]) > 0
-        self.owners = np.split(places, np.cumsum([len(b["keys"]) for b in blocks])[:-1])
-        self.heads = [b["words"][b[names[0]]] for b in blocks]
-
-    def ranges(self):
-        """The n-grams in ranges of their first word, all blocks together, about ``RANGE`` at a time.
-
-        For each range: hashes of its words in order, the n-grams by places among them (one column per name), the
-        entries as (n-gram, text, times), and the training count of every n-gram.
-        """
-        least, most = min(int(h[0]) for h in self.heads), max(int(h[-1]) for h in self.heads) + 1
-        parts = 1 + sum(map(len, self.heads)) // RANGE
-        cuts = np.array([least + (most - least) * k // parts for k in range(parts)], dtype=np.uint64)
-        bounds = [np.append(np.searchsorted(h, cuts), len(h)) for h in self.heads]
-        for k in range(parts):
-            hashes, of, owner, times, grams = [], [], [], [], 0
-            for b, owners, bound in zip(self.blocks, self.owners, bounds):
-                lo, hi = int(bound[k]), int(bound[k + 1])
-                if lo == hi:
-                    continue
-                e, f = np.searchsorted(b["of"], [lo, hi])
-                hashes.append([b["words"][b[n][lo:hi]] for n in self.names])
-                of.append(b["of"][e:f].astype(np.int64) - lo + grams)
-                owner.append(owners[b["owner"][e:f]])
-                times.append(b["times"][e:f].astype(np.float64))
-                grams += hi - lo
-            if grams:
-                words, places = numbered(np.concatenate([np.concatenate(h) for h in zip(*hashes)]))
-                of, owner, times = np.concatenate(of), np.concatenate(owner), np.concatenate(times)
-                counts = np.bincount(of, times * self.flags[owner], grams)
-                yield words, np.split(places, len(self.names)), of, owner, times, counts
-
-
-def _training_grams(size: int, columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct n-grams of training texts and their counts; ``size`` words are numbered."""
-    own = np.flatnonzero(counts > 0)
-    columns = [c[own] for c in columns]
-    key = columns[0]
-    for c in columns[1:]:
-        key = (key if size ** len(columns) < 1 << 63 else numbered(key)[1]) * size + c
-    order = np.argsort(key)
-    starts = runs(key[order])
-    firsts = order[starts]
-    return [c[firsts] for c in columns], np.add.reduceat(counts[own][order], starts) if len(own) else np.zeros(0)
+def _training(blocks: list[bytes], names: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(hashes of words, distinct n-grams of training texts by places among them, counts) of a shard, in order."""
+    words, grams, counts = [], [], []
+    for block in blocks:
+        b = _unpack(block)
+        number = np.bincount(b["of"], b["times"] * b["flags"][b["owner"]], len(b[names[0]]))
+        own = np.flatnonzero(number)
+        used, places = numbered(np.concatenate([b[n][own] for n in names]))
+        words.append(b["words"][used])
+        grams.append([_small(c) for c in np.split(places, len(names))])
+        counts.append(number[own].astype(np.uint32))
+    if not words:
+        return np.zeros(0, np.uint64), [np.zeros(0, np.int64) for _ in names], np.zeros(0)
+    hashes, places = numbered(np.concatenate(words))
+    places = np.split(places, np.cumsum([len(w) for w in words])[:-1])
+    columns = [np.concatenate([p[g[i]] for p, g in zip(places, grams)]) for i in range(len(names))]
+    del words, places, grams
+    bits = len(hashes).bit_length()
+    if bits * len(names) < 64:
+        key = np.zeros(len(columns[0]), dtype=np.uint64)
+        for c in columns:
+            key = (key << np.uint64(bits)) | c.astype(np.uint64)
+        order = np.argsort(key)
+    else:
+        order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    starts = runs(*columns)
+    counts = np.concatenate(counts)[order].astype(np.float64)
+    return hashes, [c[starts] for c in columns], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def _together(blocks: list[bytes], names: tuple[str, ...]):
+    """The n-grams that a shard is asked for, some blocks together, about ``RANGE`` entries at a time.
+
+    For each part: hashes of its words in order, the n-grams by places among them (one column per name), the
+    entries as (n-gram, text, times), and the keys of the texts in order.
+    """
+    group, size = [], 0
+    for k, block in enumerate(blocks):
+        group.append(_unpack(block))
+        size += len(group[-1]["of"])
+        if size < RANGE and k + 1 < len(blocks):
+            continue
+        words, places = numbered(np.concatenate([b["words"] for b in group]))
+        places = np.split(places, np.cumsum([len(b["words"]) for b in group])[:-1])
+        keys, texts = numbered(np.concatenate([b["keys"] for b in group]))
+        texts = np.split(texts, np.cumsum([len(b["keys"]) for b in group])[:-1])
+        grams = [np.concatenate([p[b[n]] for p, b in zip(places, group)]) for n in names]
+        before = np.cumsum([0] + [len(b[names[0]]) for b in group])
+        of = np.concatenate([b["of"].astype(np.int64) + n for b, n in zip(group, before)])
+        owner = np.concatenate([t[b["owner"]] for t, b in zip(texts, group)])
+        times = np.concatenate([b["times"] for b in group]).astype(np.float64)
+        yield words, grams, of, owner, times, keys
+        group, size = [], 0
 
 
 def _text_sums(keys: np.ndarray, parts: int, **values: np.ndarray):
@@ -352,22 +366,30 @@ def _text_sums(keys: np.ndarray, parts: int, **values: np.ndarray):
 _TRIGRAM = ("first", "before", "last")
 
 
-def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, discount: float) -> DataFrame:
+def _file(folder: str, kind: str, shard: int) -> str:
+    """Where a shard is kept, a thousand files to a folder."""
+    return f"{folder}/{kind}-{shard // 1000:05d}/{shard % 1000:03d}"
+
+
+def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, folder: str, discount: float | None) -> DataFrame:
+    """What texts get from each shard's trie; with a discount the trie is made first, of the training texts."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in _by_shard(batches):
-            shard = Shard([b for _, b in found], _TRIGRAM)
-            score, fallen = np.zeros(len(shard.keys)), []
-            del found
-            for words, grams, of, owner, times, counts in shard.ranges():
-                known, numbers = _training_grams(len(words), grams, counts)
-                value, open_ = Trie(words, *known, numbers, discount).query(words, *grams)
-                score += np.bincount(owner, value[of] * times, len(score))
+        for number, found in _by_shard(batches):
+            own = [b for _, b in found]
+            if discount is not None:
+                words, grams, counts = _training(own, _TRIGRAM)
+                Trie(words, *grams, counts, discount).save(_file(folder, "trigrams", number))
+                del words, grams, counts
+                _release()
+            trie = Trie.open(_file(folder, "trigrams", number))
+            for words, grams, of, owner, times, keys in _together(own, _TRIGRAM):
+                value, open_ = trie.query(words, *grams)
+                yield from _sent("sums", _text_sums(keys, parts, score=np.bincount(owner, value[of] * times, len(keys))))
                 at = np.flatnonzero(open_[of])
-                fallen.append((words[grams[2][of[at]]], owner[at], times[at]))
-            yield from _sent("sums", _text_sums(shard.keys, parts, score=score))
-            yield from _sent("fallen", _fallen_blocks(shard.keys, *map(np.concatenate, zip(*fallen)), word_shards))
-            del shard, fallen, words, grams, of, owner, times, counts
-            _release()
+                yield from _sent("fallen", _fallen_blocks(keys, words[grams[2][of[at]]], owner[at], times[at], word_shards))
+                del words, grams, of, owner, times, keys, value, open_, at
+                _release()
 
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
@@ -383,34 +405,29 @@ def _fallen_blocks(keys: np.ndarray, hashes: np.ndarray, owner: np.ndarray, time
         yield int(shard[a]), _pack(words=words, word=_small(word), owner=_small(mine), times=_small(times[a:b]), keys=keys[owners])
 
 
-def _counts(blocks: DataFrame, shards: int, parts: int) -> DataFrame:
+def _counts(blocks: DataFrame, shards: int, parts: int, folder: str, fit: bool) -> DataFrame:
     """Per shard of words: what every text gets from them, and the shard's share of N and V."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, found in _by_shard(batches):
             own = [b for kind, b in found if kind == "words"]
-            if not own:
-                continue
-            shard, known, numbers = Shard(own, ("word",)), [], []
-            base, n_tokens, n_known, rows = np.zeros((4, len(shard.keys)))
-            for words, (gram,), of, owner, times, counts in shard.ranges():
-                count = np.bincount(gram, counts, len(words))
-                known.append(words[count > 0])
-                numbers.append(count[count > 0])
-                c, size = count[gram[of]], len(shard.keys)
-                base += np.bincount(owner, np.log10(c + 1) * times, size)
-                n_tokens += np.bincount(owner, times, size)
-                n_known += np.bincount(owner, (c > 0) * times, size)
-                rows += np.bincount(owner, words[gram[of]] == END, size)
-            sums = {"base": base, "n_tokens": n_tokens, "n_known": n_known, "rows": rows}
-            yield from _sent("sums", _text_sums(shard.keys, parts, **sums))
-            known, numbers = np.concatenate(known), np.concatenate(numbers)
-            yield from _sent("total", [(number, _pack(total=np.array([numbers.sum(), len(known)])))])
-            upper = known & _UPPER
-            for _, b in (f for f in found if f[0] == "fallen"):
-                at = np.minimum(np.searchsorted(upper, b["words"]), max(0, len(upper) - 1))
-                c = np.where(upper[at] == b["words"], numbers[at], 0.0) if len(upper) else np.zeros(len(at))
-                texts = {"score": np.log10(c + 1)[b["word"]] * b["times"], "fallen": b["times"].astype(float)}
+            if fit:
+                hashes, (word,), counts = _training(own, ("word",))
+                Words(hashes[word], counts).save(_file(folder, "words", number))
+                yield from _sent("total", [(number, _pack(total=np.array([counts.sum(), len(counts)])))])
+                del hashes, word, counts
+            known = Words.open(_file(folder, "words", number))
+            for words, (gram,), of, owner, times, keys in _together(own, ("word",)):
+                c, size = known.count(words)[gram[of]], len(keys)
+                yield from _sent("sums", _text_sums(
+                    keys, parts, base=np.bincount(owner, np.log10(c + 1) * times, size), n_tokens=np.bincount(owner, times, size),
+                    n_known=np.bincount(owner, (c > 0) * times, size), rows=np.bincount(owner, (words == END)[gram[of]], size),
+                ))
+                del words, gram, of, owner, times, keys, c
+                _release()
+            for b in (_unpack(block) for kind, block in found if kind == "fallen"):
+                value = np.rint(np.log10(known.count(b["words"], int(_UPPER)) + 1.0) / STEP) * STEP
+                texts = {"score": value[b["word"]] * b["times"], "fallen": b["times"].astype(float)}
                 texts = {n: np.bincount(b["owner"], v, len(b["keys"])) for n, v in texts.items()}
                 order = np.argsort(b["keys"])
                 yield from _sent("sums", _text_sums(b["keys"][order], parts, **{n: v[order] for n, v in texts.items()}))
@@ -424,9 +441,12 @@ _SUMS = ("score", "base", "fallen", "n_tokens", "n_known", "rows")
 def _sums(blocks: DataFrame, parts: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _by_shard(batches):
-            keys, places = numbered(np.concatenate([b["keys"] for _, b in found]))
+            blocks = [_unpack(b) for _, b in found]
+            if not blocks:
+                continue
+            keys, places = numbered(np.concatenate([b["keys"] for b in blocks]))
             out, at = np.zeros((len(_SUMS), len(keys))), 0
-            for _, b in found:
+            for b in blocks:
                 own = places[at : at + len(b["keys"])]
                 for row, name in zip(out, _SUMS):
                     if name in b:
@@ -441,29 +461,61 @@ def _sums(blocks: DataFrame, parts: int) -> DataFrame:
     return _meet(blocks, parts).mapInArrow(each, "key long, " + ", ".join(f"{n} double" for n in _SUMS))
 
 
-def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", discount: float = DISCOUNT) -> DataFrame:
-    """Per row its id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
-
-    Rows for which ``train`` holds teach the model; all rows are scored.
-    """
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    keyed = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    keyed = keyed.withColumn("key", F.xxhash64("id", "text", "train"))
-    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards, word_shards, parts = (1 + int(size) // n for n in (SHARD_BYTES, WORD_BYTES, PART_BYTES))
+def _scored(keyed: DataFrame, id_column: str, folder: str, model: dict, discount: float | None) -> tuple[DataFrame, dict]:
+    """Rows with their scores, and the model's figures; with a discount the model is made first."""
+    spark, shards, word_shards, parts = keyed.sparkSession, model["shards"], model["word_shards"], model["parts"]
     rows = text_batches(keyed.select("key", "text", "train"))
-    answered = cut(_answers(_trigram_blocks(rows, shards), shards, word_shards, parts, discount))
-    forget(docs.sparkSession)  # the largest shuffle, which nothing needs from here on
-    counted = cut(_counts(_word_blocks(rows, word_shards).union(answered.filter("kind = 'fallen'")), word_shards, parts))
-    forget(docs.sparkSession)
-    totals = np.sum([_unpack(r["block"])["total"] for r in counted.filter("kind = 'total'").toLocalIterator()] or [np.zeros(2)], axis=0)
-    tokens, kinds = int(totals[0]), int(totals[1])
+    answered = cut(_answers(_trigram_blocks(rows, shards), shards, word_shards, parts, folder, discount))
+    forget(spark)  # the largest shuffle, which nothing needs from here on
+    fallen = answered.filter("kind = 'fallen'")
+    counted = cut(_counts(_word_blocks(rows, word_shards).union(fallen), word_shards, parts, folder, discount is not None))
+    forget(spark)
+    if discount is not None:
+        totals = np.zeros(2)
+        for r in counted.filter("kind = 'total'").toLocalIterator():
+            totals += _unpack(r["block"])["total"]
+        model = model | {"tokens": int(totals[0]), "kinds": int(totals[1])}
     sums = _sums(answered.union(counted).filter("kind = 'sums'"), parts)
-    below = float(np.log10(tokens + kinds + 1))
+    below = float(np.log10(model["tokens"] + model["kinds"] + 1))
     out = keyed.select("id", "key").join(sums, "key")
     whole = lambda name: F.round(name).cast("long").alias(name)
     return out.select(
-        F.col("id").alias(id_column), whole("n_tokens"), whole("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
+        F.col("id").alias(id_column), whole("n_tokens"), whole("n_known"), F.lit(model["tokens"]).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(below)).alias("base_score"),
-        (F.col("score") - F.col("fallen") * F.lit(below)).alias("score"),
-    )
+        (F.col("score") - whole("fallen") * F.lit(below)).alias("score"),
+    ), model
+
+
+def _keyed(docs: DataFrame, train: Column, id_column: str, text_column: str) -> tuple[DataFrame, int]:
+    """(id, text, train, key) of all rows, and the bytes of their texts."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    keyed = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    keyed = keyed.withColumn("key", F.xxhash64("id", "text", "train"))
+    return keyed, int(keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
+
+def score(
+    docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", discount: float = DISCOUNT, folder: str | None = None
+) -> DataFrame:
+    """Per row its id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
+
+    Rows for which ``train`` holds teach the model; all rows are scored. The model stays in ``folder``, a new one that all
+    executors reach, for ``score_by``; without one it is kept in the shared folder until all n-grams are answered.
+    """
+    spark = docs.sparkSession
+    keyed, size = _keyed(docs, train, id_column, text_column)
+    place = folder or f"{shared_folder(spark).rstrip('/')}/lm-{uuid.uuid4().hex}"
+    model = {n: 1 + size // b for n, b in (("shards", SHARD_BYTES), ("word_shards", WORD_BYTES), ("parts", PART_BYTES))}
+    out, model = _scored(keyed, id_column, place, model, discount)
+    if folder:
+        mapped.write(f"{folder}/model", model, {})  # last: a folder without it is not a whole model
+    else:
+        remove(spark, place)
+    return out
+
+
+def score_by(folder: str, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The columns of ``score`` for any texts, by a model that ``score`` has kept in a folder; nothing is learnt."""
+    model, _ = mapped.read(f"{folder}/model")
+    keyed, size = _keyed(docs, F.lit(False), id_column, text_column)
+    return _scored(keyed, id_column, folder, model | {"parts": 1 + size // PART_BYTES}, None)[0]
