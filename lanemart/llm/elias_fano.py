@@ -28,6 +28,12 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _numbered_in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``numbered`` for values that ascend already."""
+    starts = runs(values)
+    return values[starts], np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(values))))
+
+
 class EliasFano:
     """A non-decreasing sequence of 64-bit numbers: packed low bits, and one set bit per element above them.
 
@@ -82,34 +88,37 @@ class EliasFano:
         high = np.searchsorted(self._bounds(), at, side="right") - 1
         return (high.astype(np.uint64) << np.uint64(self.shift)) | self._low(at)
 
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Position of the first element not below each value; ``n`` where there is none."""
-        values = values.astype(np.uint64)
+    def _search(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position of the successor, end of the bucket of the high part, low part) of each value."""
         bounds, shift = self._bounds(), np.uint64(self.shift)
-        high = np.minimum((values >> shift).astype(np.int64), self.buckets - 1)
+        high = np.minimum(values >> shift, np.uint64(self.buckets - 1)).astype(np.int64)
         low = values & ((np.uint64(1) << shift) - np.uint64(1))
-        a, b = bounds[high].copy(), bounds[high + 1].copy()
-        end = b.copy()
-        while True:
-            open_ = np.flatnonzero(a < b)
-            if not len(open_):
-                break
+        a, end = bounds[high], bounds[high + 1]
+        b = end.copy()
+        open_ = np.flatnonzero(a < b)
+        while len(open_):
             mid = (a[open_] + b[open_]) >> 1
             less = self._low(mid) < low[open_]
             a[open_[less]] = mid[less] + 1
             b[open_[~less]] = mid[~less]
+            open_ = open_[a[open_] < b[open_]]
         # Past the bucket's last element the successor is the first one of the next bucket, at the same position.
-        return np.minimum(a, end)
+        return a, end, low
+
+    def successor(self, values: np.ndarray) -> np.ndarray:
+        """Position of the first element not below each value, if it is below the universe; ``n`` where there is none."""
+        return self._search(values.astype(np.uint64))[0]
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Position of each value, -1 where it is not an element."""
-        if not self.n or not len(values):
-            return np.full(len(values), -1, dtype=np.int64)
-        at = self.successor(values)
-        inside = at < self.n
         found = np.full(len(values), -1, dtype=np.int64)
-        same = self.access(at[inside]) == values[inside].astype(np.uint64)
-        found[inside] = np.where(same, at[inside], -1)
+        if not self.n or not len(values):
+            return found
+        values = values.astype(np.uint64)
+        at, end, low = self._search(values)
+        inside = np.flatnonzero((at < end) & (values <= np.uint64(self.universe - 1)))
+        same = self._low(at[inside]) == low[inside]
+        found[inside[same]] = at[inside[same]]
         return found
 
 
@@ -179,10 +188,10 @@ class Trie:
     LEVELS, CODES = ("vocabulary", "words", "bigrams", "firsts", "contexts", "trigrams"), ("p2", "p3", "back2", "back3")
 
     def __init__(self, words: np.ndarray, first: np.ndarray, before: np.ndarray, last: np.ndarray, counts: np.ndarray, discount: float):
-        """From the distinct trigrams (before, first, last) of the training texts and their counts; words go by
-        their places among the ascending hashes ``words``."""
+        """From the distinct trigrams of the training texts, in the order of (first, before, last), and their counts; words
+        go by their places among the ascending hashes ``words``."""
         self.vocabulary, self.size = EliasFano(words, 1 << 64), len(words) + 1
-        heads, h = numbered(first)
+        heads, h = _numbered_in_order(first.astype(np.int64))
         self.words = EliasFano(words[heads], 1 << 64)
         b, w = before.astype(np.int64), last.astype(np.int64)
 
@@ -198,19 +207,17 @@ class Trie:
         self.p2 = quantised(np.log10(p2))
         self.back2 = quantised(np.log10(discount * head_kinds / np.maximum(head_count, 1)))
 
-        contexts, c = numbered(h * self.size + b)
+        contexts, c = _numbered_in_order(h * self.size + b)
         self.contexts = EliasFano(contexts, len(heads) * self.size + 1)
         rank = pair_of - first_of[h]
         self.width = int(rank.max()) + 1 if len(rank) else 1
-        grams, gram_of = numbered(c * self.width + rank)
-        gram_count = np.bincount(gram_of, counts, len(grams))
-        gram_context = grams // self.width
-        context_count = np.bincount(gram_context, gram_count, len(contexts))
-        context_kinds = np.bincount(gram_context, minlength=len(contexts))
+        grams = c * self.width + rank
+        context_count = np.bincount(c, counts, len(contexts))
+        context_kinds = np.bincount(c, minlength=len(contexts))
         self.trigrams = EliasFano(grams, len(contexts) * self.width + 1)
-        self.p3 = quantised(np.log10((gram_count - discount) / context_count[gram_context]))
+        self.p3 = quantised(np.log10((counts - discount) / context_count[c]))
         # What is left for the unseen words, over what the bigrams give them.
-        seen = np.bincount(gram_context, p2[first_of[contexts[gram_context] // self.size] + grams % self.width], len(contexts))
+        seen = np.bincount(c, p2[pair_of], len(contexts))
         left = discount * context_kinds / np.maximum(context_count, 1)
         self.back3 = quantised(np.log10(left / np.maximum(1 - seen, 1e-9)))
 

@@ -371,8 +371,9 @@ def _file(folder: str, kind: str, shard: int) -> str:
     return f"{folder}/{kind}-{shard // 1000:05d}/{shard % 1000:03d}"
 
 
-def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, folder: str, discount: float | None) -> DataFrame:
-    """What texts get from each shard's trie; with a discount the trie is made first, of the training texts."""
+def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, folder: str, discount: float | None, keep: bool) -> DataFrame:
+    """What texts get from each shard's trie; with a discount the trie is made first, of the training texts. A trie that is
+    not to be kept goes when its shard has answered."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, found in _by_shard(batches):
@@ -390,6 +391,9 @@ def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, folde
                 yield from _sent("fallen", _fallen_blocks(keys, words[grams[2][of[at]]], owner[at], times[at], word_shards))
                 del words, grams, of, owner, times, keys, value, open_, at
                 _release()
+            del trie
+            if not keep:
+                mapped.delete(_file(folder, "trigrams", number))
 
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
@@ -461,11 +465,11 @@ def _sums(blocks: DataFrame, parts: int) -> DataFrame:
     return _meet(blocks, parts).mapInArrow(each, "key long, " + ", ".join(f"{n} double" for n in _SUMS))
 
 
-def _scored(keyed: DataFrame, id_column: str, folder: str, model: dict, discount: float | None) -> tuple[DataFrame, dict]:
+def _scored(keyed: DataFrame, id_column: str, folder: str, model: dict, discount: float | None, keep: bool = True) -> tuple[DataFrame, dict]:
     """Rows with their scores, and the model's figures; with a discount the model is made first."""
     spark, shards, word_shards, parts = keyed.sparkSession, model["shards"], model["word_shards"], model["parts"]
     rows = text_batches(keyed.select("key", "text", "train"))
-    answered = cut(_answers(_trigram_blocks(rows, shards), shards, word_shards, parts, folder, discount))
+    answered = cut(_answers(_trigram_blocks(rows, shards), shards, word_shards, parts, folder, discount, keep))
     forget(spark)  # the largest shuffle, which nothing needs from here on
     fallen = answered.filter("kind = 'fallen'")
     counted = cut(_counts(_word_blocks(rows, word_shards).union(fallen), word_shards, parts, folder, discount is not None))
@@ -500,13 +504,13 @@ def score(
     """Per row its id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
     Rows for which ``train`` holds teach the model; all rows are scored. The model stays in ``folder``, a new one that all
-    executors reach, for ``score_by``; without one it is kept in the shared folder until all n-grams are answered.
+    executors reach, for ``score_by``; without one its files lie in the shared folder until their n-grams are answered.
     """
     spark = docs.sparkSession
     keyed, size = _keyed(docs, train, id_column, text_column)
     place = folder or f"{shared_folder(spark).rstrip('/')}/lm-{uuid.uuid4().hex}"
     model = {n: 1 + size // b for n, b in (("shards", SHARD_BYTES), ("word_shards", WORD_BYTES), ("parts", PART_BYTES))}
-    out, model = _scored(keyed, id_column, place, model, discount)
+    out, model = _scored(keyed, id_column, place, model, discount, folder is not None)
     if folder:
         mapped.write(f"{folder}/model", model, {})  # last: a folder without it is not a whole model
     else:

@@ -55,3 +55,9 @@ def read(path: str) -> tuple[dict, dict[str, np.ndarray]]:
     found = json.loads(head)
     arrays = {n: np.frombuffer(data, np.dtype(kind), size, start + at) for n, (kind, size, at) in found["arrays"].items()}
     return found["head"], arrays
+
+
+def delete(path: str) -> None:
+    """Remove a file; arrays that are mapped from it stay readable until they are let go."""
+    system, own = _system(path)
+    system.delete_file(own)
