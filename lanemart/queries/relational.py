@@ -29,6 +29,7 @@ from lanemart.sinks.lake import write_parquet
 from lanemart.sinks.replace import BUCKET, replace_since_files, write_bucketed_by_id
 from lanemart.sources import bounds
 from lanemart.sources.readers import literal_dim
+from lanemart.sources.zones import since_id_by_zones, write_zones
 from lanemart.standin import PARAMS
 
 # --- scans and bounds ----------------------------------------------------------------------------
@@ -69,6 +70,18 @@ def since_id_filter(spark, root) -> DataFrame:
     return bounds.since_id(table(spark, root, "orders", "o_orderkey", "o_orderstatus"), "o_orderkey", 500)
 
 
+@query("""
+    select o_orderkey, o_custkey, o_orderstatus from orders
+    where o_orderkey >= (select max(o_orderkey) - max(o_orderkey) // 4 from orders)""")
+def zone_map_since(spark, root) -> DataFrame:
+    orders = table(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    path, zones = scratch(spark, "orders"), scratch(spark, "zones")
+    orders.repartitionByRange("o_orderkey").write.parquet(path)
+    write_zones(spark, path, "o_orderkey", zones)
+    most = spark.read.parquet(zones).agg(F.max("most")).first()[0] or 0
+    return since_id_by_zones(spark, path, "o_orderkey", most - most // 4, zones)
+
+
 @query("""
     select r_regionkey, r_name, case r_name when 'AFRICA' then 'SOUTH' when 'AMERICA' then 'WEST' when 'ASIA' then 'EAST' when 'EUROPE' then 'NORTH' end as zone,
       count(n_nationkey) as nations
