@@ -29,6 +29,7 @@ from lanemart.sinks.lake import write_parquet
 from lanemart.sinks.replace import BUCKET, replace_since_files, write_bucketed_by_id
 from lanemart.sources import bounds
 from lanemart.sources.readers import literal_dim
+from lanemart.sources.splits import equi_depth_bounds, split_predicates
 from lanemart.sources.zones import since_id_by_zones, write_zones
 from lanemart.standin import PARAMS
 
@@ -70,6 +71,17 @@ def since_id_filter(spark, root) -> DataFrame:
     return bounds.since_id(table(spark, root, "orders", "o_orderkey", "o_orderstatus"), "o_orderkey", 500)
 
 
+@query("select l_linenumber, count(*) as n, sum(l_orderkey) as keys, 1 as least_met, 1 as most_met from lineitem group by 1")
+def equi_depth_split(spark, root) -> DataFrame:
+    lines = table(spark, root, "lineitem", "l_orderkey", "l_linenumber")
+    parts = split_predicates("l_orderkey", equi_depth_bounds(lines, "l_orderkey", 16))
+    met = sum((F.expr(f"coalesce({p}, false)").cast("int") for p in parts), F.lit(0))
+    grouped = lines.withColumn("met", met).groupBy("l_linenumber")
+    return grouped.agg(
+        F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.min("met").alias("least_met"), F.max("met").alias("most_met")
+    )
+
+
 @query("""
     select o_orderkey, o_custkey, o_orderstatus from orders
     where o_orderkey >= (select max(o_orderkey) - max(o_orderkey) // 4 from orders)""")

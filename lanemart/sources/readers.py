@@ -44,6 +44,12 @@ class Sources:
         """Relation given as a subquery that runs in the warehouse; see :func:`jdbc_options`."""
         return self.spark.read.format("jdbc").options(**jdbc_options(query, connection, **split)).load()
 
+    def jdbc_parts(self, query: str, connection: JdbcConnection, predicates: Sequence[str]) -> DataFrame:
+        """The relation read by one task per condition, of which every row meets one; see ``splits.split_predicates``."""
+        options = jdbc_options(query, connection)
+        url, relation = options.pop("url"), options.pop("dbtable")
+        return self.spark.read.jdbc(url, relation, predicates=list(predicates), properties=options)
+
     def sheet(self, path: str, schema: T.StructType) -> DataFrame:
         """Keyed override sheet exported as CSV with a header row."""
         return self.spark.read.schema(schema).option("header", True).csv(path)
