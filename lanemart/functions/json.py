@@ -23,6 +23,27 @@ def with_json_fields(df: DataFrame, doc: Column, names: Mapping[str, str]) -> Da
     return df.select("*", F.json_tuple(doc, *names).alias(*names.values()))
 
 
+def with_document(df: DataFrame, doc: Column, name: str) -> DataFrame:
+    """Add ``doc`` as a parsed document (VARIANT), so that any number of fields at any depth cost one parse.
+
+    Malformed and null text gives null. Of repeated keys no value is taken: such a text counts as malformed.
+    """
+    return df.withColumn(name, F.try_parse_json(doc))
+
+
+def document_text(document: Column, path: str) -> Column:
+    """Text at ``$.path`` of a parsed document: objects and lists as JSON text, JSON null as null.
+
+    Numbers come in their shortest form (``5.50`` as ``5.5``), where :func:`json_text` keeps the characters.
+    """
+    return F.try_variant_get(document, f"$.{path}", "string")
+
+
+def document_double(document: Column, path: str, default: float | None = None) -> Column:
+    """Double at ``$.path`` of a parsed document, under the rules of :func:`text_to_double`."""
+    return text_to_double(document_text(document, path), default)
+
+
 def text_to_double(text: Column, default: float | None = None) -> Column:
     """Double from text; empty, missing or non-numeric text gives ``default``."""
     number = F.nullif(F.trim(text), F.lit("")).try_cast("double")

@@ -41,6 +41,29 @@ def json_extract_nested(spark, root) -> DataFrame:
     )
 
 
+@query("""
+    select demand_id, from_lat, from_long, case when request in (0) then 5.5 when request = 7 then 0.5 end::double as overheight,
+      case when request in (3, 7) then 'true' end as opendala, service_charge, route_distance, supplyfare_before_consignment
+    from demands""")
+def variant_documents(spark, root) -> DataFrame:
+    demands = not_deleted(Frames(spark, root)["demands"]).select("id", "from_address_dto", "metadata")
+    parsed = JS.with_document(JS.with_document(demands, F.col("metadata"), "meta"), F.col("from_address_dto"), "address")
+    # The addresses and requests are JSON texts or objects inside their documents; an object comes out as text as well.
+    inner = JS.with_document(parsed, JS.document_text(F.col("meta"), "specialRequestBody"), "body")
+    inner = JS.with_document(inner, JS.document_text(F.col("address"), "geoLoc"), "geo")
+    meta, body, geo = F.col("meta"), F.col("body"), F.col("geo")
+    return inner.select(
+        F.col("id").alias("demand_id"),
+        JS.document_double(geo, "x").alias("from_lat"),
+        JS.document_double(geo, "y").alias("from_long"),
+        JS.document_double(body, "overHeight").alias("overheight"),
+        JS.document_text(body, "openDala").alias("opendala"),
+        JS.document_double(meta, "serviceChargePct", 0).alias("service_charge"),
+        JS.document_double(meta, "estimatedRouteDistance", 0).alias("route_distance"),
+        JS.document_double(meta, "supplyFreightFareBeforeConsignment").alias("supplyfare_before_consignment"),
+    )
+
+
 @query("select demand_id, service_charge, route_distance, supplyfare_before_consignment from demands")
 def json_numeric_default(spark, root) -> DataFrame:
     meta = F.col("metadata")
