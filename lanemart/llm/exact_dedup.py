@@ -7,8 +7,9 @@ what is left. Of equal texts the one with the most code points stays, then the s
    more than 1/``HEAVY`` of the rows each. The sketch guarantees to name all of those.
 2. Their winners are found exactly, by an aggregate whose map side leaves one row per digest and task, and
    broadcast: at most ``HEAVY`` rows, whatever the table's size.
-3. All rows of heavy digests are settled on the map side. The others meet in an ordinary shuffle, in which no
-   group can hold more than 1/``HEAVY`` of the rows.
+3. All rows of heavy digests are settled on the map side. The others are aggregated per digest, combined before
+   the shuffle, and looked up among the digests that more than one row has. No group of them holds more than
+   1/``HEAVY`` of the rows, and as none has to be gathered, adaptive execution can split those that are long.
 
 Defined cases: null text counts as empty, and all empty or blank texts are equal. A null id comes after all
 others. Repeated rows count as copies, of which one is kept. An empty table gives an empty result. Further
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanemart.llm.common import cut
@@ -61,9 +62,11 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = cut(rows.withColumn("__row", F.monotonically_increasing_id()))
     winners = cut(_winners(rows, "__id"))
     settled = rows.join(F.broadcast(winners), "__digest")
-    same = Window.partitionBy("__digest")
-    others = rows.join(F.broadcast(winners.select("__digest")), "__digest", "left_anti").withColumns(
-        {"__size": F.count(F.lit(1)).over(same), "__best": F.min(_better("__id")).over(same)}
+    others = rows.join(F.broadcast(winners.select("__digest")), "__digest", "left_anti")
+    several = others.groupBy("__digest").agg(F.count(F.lit(1)).alias("__size"), F.min(_better("__id")).alias("__best"))
+    # Cut, so that the lookup below has a shuffle on either side and a long one can be split.
+    others = others.join(cut(several.filter("__size > 1")), "__digest", "left").withColumns(
+        {"__size": F.coalesce("__size", F.lit(1).cast("long")), "__best": F.coalesce("__best", _better("__id"))}
     )
     return settled.unionByName(others).select(
         F.col("__id").alias(id_column),
