@@ -12,13 +12,14 @@ string, and taking one away restores it. Newlines of a role are written as ``<\\
 
 Defined cases: null text, role or part counts as empty; a null turn number comes first; rows with the same turn
 number are ordered by role, then text; repeated rows are turns of their own; an empty table gives an empty
-result; further columns do not matter. A conversation is one row and has to fit in memory; conversations
-themselves are spread by their ids.
+result; further columns do not matter, and those named like results give way. A conversation is one row and has to
+fit in memory; conversations themselves are spread by their ids. Work grows in proportion to a conversation, however
+many turns it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -27,6 +28,8 @@ PART_TYPE = "array<struct<type:string,text:string,ref:string,width:int,height:in
 PATCH = 28
 TOKENS_PER_SECOND = 25
 TOKENS_PER_PAGE = 1024
+#: Code points of a formatted text that are read at a time.
+CHUNK = 4096
 
 
 def escape(text: Column) -> Column:
@@ -72,7 +75,8 @@ def flatten_parts(turns: DataFrame, parts_column: str = "parts") -> DataFrame:
     known = F.coalesce(F.col(parts_column), F.array().cast(PART_TYPE))
     bad = F.exists(known, lambda p: ~F.coalesce(p["type"], F.lit("text")).isin("text", "image", "audio", "document"))
     known = F.when(bad, F.raise_error("unknown part type").cast(PART_TYPE)).otherwise(known)
-    out = turns.withColumn("__seen", F.transform(known, _visit)).drop(parts_column)
+    own = [F.col(f"`{c}`") for c in turns.columns if c not in (parts_column, "__seen", "attachments", "content", "expanded_tokens")]
+    out = turns.select(*own, F.transform(known, _visit).alias("__seen"))
     out = out.withColumn("attachments", F.array_compact(F.transform("__seen", lambda v: v["attachment"])))
     return out.withColumns(
         {
@@ -103,23 +107,22 @@ def format_chats(turns: DataFrame, conv_column: str = "conv_id", turn_column: st
         ).alias("t"),
     )
     tail = F.lit(END + "\n")
-    chats = rows.groupBy("conv").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    before = Window.partitionBy("conv").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    long = F.length("t.head") + F.length("t.content") + len(END) + 1
+    rows = rows.withColumn("before", F.coalesce(F.sum(long).over(before), F.lit(0)))
+    chats = rows.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("t", "before"))).alias("ts"))
 
-    def place(state: Column, t: Column) -> Column:
-        start = state["at"] + F.length(t["head"])
-        span = F.struct(start.alias("start"), F.length(t["content"]).alias("length"))
-        own = F.when(t["role"] == "assistant", F.array(span)).otherwise(F.array().cast("array<struct<start:int,length:int>>"))
-        return F.struct(
-            (start + F.length(t["content"]) + len(END) + 1).alias("at"), F.concat(state["spans"], own).alias("spans")
-        )
+    def span(x: Column) -> Column:
+        start = x["before"] + F.length(x["t"]["head"])
+        return F.struct(start.cast("int").alias("start"), F.length(x["t"]["content"]).alias("length"))
 
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    said_by_assistant = F.filter("ts", lambda x: F.coalesce(x["t"]["role"] == "assistant", F.lit(False)))
     return chats.select(
         F.col("conv").alias(conv_column),
-        F.array_join(F.transform("ts", lambda t: F.concat(t["head"], t["content"], tail)), "").alias("formatted"),
-        F.aggregate("ts", nothing, place, lambda s: s["spans"]).alias("loss_spans"),
-        F.flatten(F.transform("ts", lambda t: t["attachments"])).alias("attachments"),
-        F.aggregate("ts", F.lit(0).cast("long"), lambda n, t: n + t["expanded"]).alias("expanded_tokens"),
+        F.array_join(F.transform("ts", lambda x: F.concat(x["t"]["head"], x["t"]["content"], tail)), "").alias("formatted"),
+        F.transform(said_by_assistant, span).alias("loss_spans"),
+        F.flatten(F.transform("ts", lambda x: x["t"]["attachments"])).alias("attachments"),
+        F.aggregate("ts", F.lit(0).cast("long"), lambda n, x: n + x["t"]["expanded"]).alias("expanded_tokens"),
     )
 
 
@@ -132,10 +135,18 @@ def read_back(chats: DataFrame) -> DataFrame:
         rest = F.substr(piece, F.length(role) + 2, F.length(piece) - F.length(role) - 1 - len(END) - 1)
         return F.struct(unescape_role(role).alias("role"), unescape(rest).alias("text"))
 
-    masked = F.transform("loss_spans", lambda s: unescape(F.substr("formatted", s["start"] + 1, s["length"])))
+    def marked(span: Column) -> Column:
+        """What a span holds, from the chunks that it touches: a text is not walked from its start for every span."""
+        first = F.floor(span["start"] / CHUNK).cast("int")
+        last = F.floor((span["start"] + span["length"]) / CHUNK).cast("int")
+        near = F.array_join(F.slice("__chunks", first + 1, last - first + 1), "")
+        return unescape(F.substr(near, span["start"] - first * CHUNK + 1, span["length"]))
+
     pieces = F.slice("__split", F.lit(2), F.size("__split"))
-    out = chats.withColumns({"__split": split, "loss_text": F.array_join(masked, "")})
-    return out.withColumn("turns", F.transform(pieces, turn)).drop("__split")
+    chunks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CHUNK}}}+"), F.lit(0))
+    out = chats.withColumns({"__split": split, "__chunks": chunks})
+    out = out.withColumn("loss_text", F.array_join(F.transform("loss_spans", marked), ""))
+    return out.withColumn("turns", F.transform(pieces, turn)).drop("__split", "__chunks")
 
 
 def round_trip(conversations: DataFrame) -> DataFrame:
