@@ -6,8 +6,8 @@ host are boilerplate (menus, banners, footers) and are dropped from that host's
 
 The shares of a host's lines add up to the mean number of distinct lines of its pages, so a host has at most
 (that mean / ``ratio``) boilerplate lines; their digests go into one row per host. That row meets the host's
-pages in ``SALTS`` copies, so that no host's pages come together in one task, or is broadcast where the hosts
-are few.
+pages in ``SALTS`` copies, so that no host's pages come together in one task, or is broadcast where all such
+rows together are small, which their bytes decide.
 
 Defined cases: null html has no lines; a null url, or one without a host, belongs to the host named by the empty
 text. Repeated rows are pages of their own. A null page id is kept. An empty table gives an empty result.
@@ -19,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanemart.llm.common import broadcast_if_small, cut
+from lanemart.llm.common import cut
 
 SALTS = 32
-#: Hosts with boilerplate up to which they are broadcast.
-BROADCAST_ROWS = 20_000
+#: Bytes of digests and hosts up to which they are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)"
 UNSEEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -68,10 +68,13 @@ def drop_boilerplate(
     """Per page its id, ``host``, ``n_lines``, ``n_dropped`` and ``text``, the lines that stay."""
     lined = pages.select(F.col(id_column).alias("id"), host_of(F.col(url_column)).alias("host"), lines_of(F.col(html_column)).alias("lines"))
     known = cut(boilerplate(lined, ratio, least_pages))
-    salted = known.select("host", "digests", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = broadcast_if_small(salted, BROADCAST_ROWS * SALTS)
-    lined = lined.withColumn("salt", F.pmod(F.xxhash64("id", "lines"), F.lit(SALTS)).cast("int"))
-    met = lined.join(salted, ["host", "salt"], "left")
+    size = known.agg(F.sum(F.octet_length("host") + 48 * F.size("digests"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        met = lined.join(F.broadcast(known), "host", "left")
+    else:
+        salted = known.select("host", "digests", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        lined = lined.withColumn("salt", F.pmod(F.xxhash64("id", "lines"), F.lit(SALTS)).cast("int"))
+        met = lined.join(salted, ["host", "salt"], "left")
     digests = F.coalesce("digests", F.array().cast("array<binary>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(digests, _digest(x)))
     met = met.withColumn("kept", kept)
