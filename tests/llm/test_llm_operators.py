@@ -177,10 +177,70 @@ def test_additive_tables_learn_an_interaction():
     assert ((model.score(x) >= 0.5) == (y == 1)).mean() > 0.95
 
 
+def plain_tree(x, gradient, weight, leaves):
+    """Steps of rows: the best split of any leaf between two values, by the gain over all rows, again and again."""
+
+    def value(rows):
+        return gradient[rows].sum() / (weight[rows].sum() + 1)
+
+    def worth(rows):
+        return gradient[rows].sum() ** 2 / (weight[rows].sum() + 1)
+
+    parts = [np.arange(len(x))]
+    while len(parts) < leaves:
+        best = (1e-9, None)
+        for k, part in enumerate(parts):
+            for at in np.unique(x[part])[1:]:
+                low, high = part[x[part] < at], part[x[part] >= at]
+                if min(len(low), len(high)) >= quality.LEAST_ROWS and (gain := worth(low) + worth(high) - worth(part)) > best[0] + 1e-12:
+                    best = (gain, (k, low, high))
+        if best[1] is None:
+            break
+        k, low, high = best[1]
+        parts[k : k + 1] = [low, high]
+    out = np.zeros(len(x))
+    for part in parts:
+        out[part] = value(part)
+    return out
+
+
+def test_boosting_matches_row_by_row(monkeypatch):
+    """Rounds of boosting over tables against trees over the rows themselves, and scores against sums of a row's entries."""
+    monkeypatch.setattr(quality, "ROUNDS", 3)
+    monkeypatch.setattr(quality, "PAIR_ROUNDS", 0)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.random((300, len(quality.FEATURES))), 2)
+    y = (x[:, 0] + x[:, 3] + rng.normal(0, 0.3, 300) > 1).astype(float)
+    model = quality.fit(x, y)
+    total = np.full(len(y), np.log(y.mean() / (1 - y.mean())))
+    for _ in range(quality.ROUNDS):
+        for k, e in enumerate(model.edges):
+            p = 1 / (1 + np.exp(-total))
+            total = total + quality.RATE * plain_tree(np.array([(e <= v).sum() for v in x[:, k]]), y - p, p * (1 - p), quality.LEAVES)
+    np.testing.assert_allclose(model.score(x), 1 / (1 + np.exp(-total)), atol=1e-9)
+
+
+def test_quality_scores_are_sums_of_table_entries(spark, root):
+    df, docs = documents(spark, root)
+    model = quality.train(df, spark.read.parquet(f"{root}/labels.parquet"), F.lit(True))
+    assert len(model.pairs) == quality.PAIRS
+    got = {r["doc_id"]: r["score"] for r in quality.score(df, model).collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        x, total = quality.features(text), model.intercept
+        for e, t, v in zip(model.edges, model.tables, x):
+            total += t[sum(b <= v for b in e)]
+        for a, b, t in model.pairs:
+            total += t[sum(c <= x[a] for c in model.coarse[a]), sum(c <= x[b] for c in model.coarse[b])]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+
+
 # 3: lines
 
 
-def test_line_cases(spark):
+@pytest.mark.parametrize("small", [32 << 20, -1])
+def test_line_cases(spark, monkeypatch, small):
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", small)
     menu, url = "<p>Menu</p>", "http://a.example/x"
     pages = [(n, url, f"<html>{menu}<p>own {n}</p><script>x='<p>no</p>'</script>") for n in range(5)]
     pages += [(7, "http://A.example:80/y", None), (8, None, menu), (9, "nonsense", ""), (None, "http://u:p@b.example", menu), (1, url, pages[1][2])]
@@ -190,6 +250,8 @@ def test_line_cases(spark):
     assert got[0, "a.example"] == (2, 1, "own 0") and got[7, "a.example"] == (0, 0, "")
     assert got[8, ""] == (1, 0, "Menu") and got[None, "b.example"] == (1, 0, "Menu")
     assert found.count() == len(pages) and line_dedup.drop_boilerplate(df.limit(0)).count() == 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (small > 0) and ("[salt#" in plan) == (small < 0)
 
 
 # 4: benchmark passages
@@ -402,6 +464,20 @@ def test_chat_cases(spark):
     assert got[None]["turns_sha256"] == plain.sha("us\ner\nhi\n") and chat.round_trip(df.limit(0)).count() == 0
 
 
+def test_long_conversations_read_back(spark, monkeypatch):
+    """Hundreds of turns over many chunks, code points of all widths, spans across borders of chunks."""
+    monkeypatch.setattr(chat, "CHUNK", 16)
+    said = [(1, n, ("assistant", "user", "tool")[n % 3], ("\U0001f600é<|x" * (n % 7)) + "a" * (n % 40)) for n in range(300)]
+    df = spark.createDataFrame([(*t, 0, "b") for t in said], "conv_id long, turn long, role string, text string, before int, attachments string")
+    row = chat.round_trip(df).first()
+    spoken = "".join(t for *_, role, t in said if role == "assistant")
+    assert row["n_turns"] == 300 and row["turns_sha256"] == plain.sha("".join(f"{r}\n{t}\n" for *_, r, t in said))
+    assert row["loss_sha256"] == plain.sha(spoken) and row["loss_chars"] == len(spoken)
+    parts = df.withColumns({"parts": chat.text_parts(F.col("text")), "content": F.lit(1), "__seen": F.lit(2)})
+    flat = chat.flatten_parts(parts)
+    assert sorted(flat.columns) == sorted(["conv_id", "turn", "role", "text", "before", "attachments", "content", "expanded_tokens"])
+
+
 # 10: secrets
 
 
