@@ -4,16 +4,17 @@ Kernel: ``K(s, t)`` sums over all common subsequences of ``ORDER`` letters, each
 power of the letters it spans in ``s`` and in ``t``. A letter put into an insult, or left between its letters,
 lowers the kernel a little instead of making it zero.
 
-Units: a sentence is scored by its words (lower-cased, letters only, so ``i.d-i.o.t`` is ``idiot``) and by its
-runs of single letters (``i d i o t``). Units of two or three letters stand between marks, so the kernel compares
+Units: a sentence is scored by its words (lower-cased, letters only, so ``i.d-i.o.t`` is ``idiot``), by its
+runs of single letters (``i d i o t``) and by up to ``PARTS`` words of at most ``PART`` letters in a row (``id io t``), where
+every gap lowers the kernel; landmarks that clean words give when put together are not looked for in these. Units of two or three letters stand between marks, so the kernel compares
 them whole; of scripts without spaces, pairs and triples of letters are units as well. A sentence is as toxic as its worst unit, a text as its worst sentence.
 
 Fit, on the driver, over a bounded sample of labelled rows (``SAMPLE`` of each label, in order of a hash of
 their ids): landmarks are pieces of words of toxic texts that are far more frequent there than in clean ones,
 chosen one after the other so that each explains toxic texts the others don't. Units are mapped to Nyström
 features (kernel values against the landmarks, whitened by the landmarks' own kernel), a linear SVM is trained
-on units of both kinds together with spoiled copies of the landmarks, and a logistic curve over the worst unit
-of a text turns decisions into probabilities.
+on all clean units and all toxic ones that hold a landmark, with spoiled copies of the landmarks, and a logistic curve
+over the worst unit of a text turns decisions into probabilities. There is no cap on landmarks or units but the sample.
 
 Score: words whose longest common subsequence with a landmark is shorter than ``ORDER`` have kernel zero with
 it, which a bit-parallel pass finds out for all landmarks at once; only the other pairs get the full recursion.
@@ -44,17 +45,24 @@ from lanemart.llm.common import release, text_batches
 SAMPLE = 1500
 #: Length of the subsequences, and weight of a letter they span.
 ORDER, DECAY = 4, 0.7
-#: Landmarks at most, and their lengths.
-LANDMARKS, SHORTEST, LONGEST = 48, 4, 12
+#: Lengths of landmarks. There are as many as the sample supports.
+SHORTEST, LONGEST = 4, 12
 #: A landmark is in so many texts of the toxic sample, whatever its size; it is in this share of it, or in two texts
 #: that no other landmark explains; and it is so many times as frequent as in clean texts, or in no clean text and in
 #: ``LEAST`` toxic ones that no other explains.
 LEAST, SUPPORT, LIFT = 3, 0.03, 12.0
 #: Letters of a word that are compared at a time; pieces overlap by half.
 WIDTH = 24
+#: Words of at most so many letters are also compared together, so many of them, and what a gap takes from the kernel.
+PART, PARTS, GAP = 4, 4, 0.9
+#: A landmark that clean words of the sample come as near to when put together is not looked for across words.
+CLASH = 0.5
 #: Units remembered by a task, and texts looked at together.
 REMEMBER, TOGETHER = 300_000, 256
 
+#: Codes of the padding of landmarks, and of letters that no landmark has where these must agree with nothing.
+_END, _NONE = 65535, 65534
+
 _OTHER = re.compile(r"[\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S)+(?!\S)")
 _UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]{3,}")
@@ -62,10 +70,28 @@ _UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]{3,}")
 FIRST, LAST = "\ue000", "\ue001"
 
 
-def tokens(text: str | None) -> set[str]:
-    """Distinct words of a text, its runs of single characters, and pairs and triples of letters of unspaced scripts."""
+def across(words: list[str]) -> set[str]:
+    """Two to ``PARTS`` short words in a row, that may be one word with gaps in it; the gaps stay as spaces."""
+    found, run = set(), []
+    for w in words:
+        if len(w) > PART or not w.isalpha():
+            run = []
+            continue
+        run = [w, *[f"{r} {w}" for r in run[: PARTS - 1]]]
+        found.update(r for r in run[1:] if len(r) - r.count(" ") >= ORDER)
+    return found
+
+
+def tokens(text: str | None, gaps: bool = True) -> set[str]:
+    """Distinct words of a text, its runs of single characters, and pairs and triples of letters of unspaced scripts.
+
+    With ``gaps`` also short words in a row.
+    """
     lowered = (text or "").lower()
-    found = set(lowered.split())
+    words = lowered.split()
+    found = set(words)
+    if gaps:
+        found |= across(words)
     if any(len(t) == 1 for t in found):
         found.update("".join(m.split()) for m in _SPACED.findall(lowered))
     if not lowered.isascii():
@@ -116,11 +142,11 @@ class Kernel:
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
         self.alphabet = {c: n + 1 for n, c in enumerate(sorted(set("".join(landmarks))))}
-        self.table = np.zeros(0x110000, dtype=np.uint8)
+        self.table = np.zeros(0x110000, dtype=np.uint16)
         for c, n in self.alphabet.items():
             self.table[ord(c)] = n
-        self.codes = self._encode(landmarks, max(map(len, landmarks), default=1), pad=255)
-        masks = np.zeros((256, len(landmarks)), dtype=np.uint16)
+        self.codes = self._encode(landmarks, max(map(len, landmarks), default=1), pad=_END)
+        masks = np.zeros((len(self.alphabet) + 1, len(landmarks)), dtype=np.uint16)
         for m, text in enumerate(landmarks):
             for k, c in enumerate(text):
                 masks[self.alphabet[c], m] |= 1 << k
@@ -128,7 +154,7 @@ class Kernel:
         self.full = np.array([(1 << len(t)) - 1 for t in landmarks], dtype=np.uint16)
         n = len(landmarks)
         pairs = np.indices((n, n)).reshape(2, -1)
-        own = np.where(self.codes == 255, 0, self.codes)  # the paddings of the two sides never agree
+        own = np.where(self.codes == _END, 0, self.codes)  # the paddings of the two sides never agree
         self.gram = self._recursion(own, *pairs).astype(float).reshape(n, n)
         self.norms = np.diag(self.gram).copy()
 
@@ -165,7 +191,7 @@ class Kernel:
                 r, k = rows[a : a + 8192], marks[a : a + 8192]
                 out[own[r], k] = self._recursion(codes, r, k) / np.sqrt(self.norms[k])
             some = np.unique(rows)
-            mine = np.where(codes[some] == 0, 250, codes[some]).T
+            mine = np.where(codes[some] == 0, _NONE, codes[some]).T
             size = _recursion(codes[some].T, mine) if len(some) else np.zeros(0)
             out[own[some]] /= np.sqrt(np.maximum(size, 1e-9))[:, None]
         return out
@@ -181,12 +207,16 @@ class Model:
         self.whiten = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
         self.weights, self.bias = np.zeros(len(landmarks)), 0.0
         self.slope, self.shift = 0.0, -np.inf
+        #: Landmarks that are looked for across words.
+        self.bridges = np.ones(len(landmarks), dtype=bool)
 
     def features(self, units: list[str]) -> np.ndarray:
         return self.kernel.values(units) @ self.whiten
 
-    def decisions(self, units: list[str]) -> np.ndarray:
-        """One value per unit; long units count with their worst piece."""
+    def decisions(self, units: list[str], gaps: np.ndarray | None = None) -> np.ndarray:
+        """One value per unit; long units count with their worst piece. Every gap lowers the kernel; units with gaps are short."""
+        if gaps is not None:
+            return ((self.kernel.values(units) * self.bridges * GAP ** gaps[:, None]) @ self.whiten) @ self.weights + self.bias
         if all(len(u) <= WIDTH for u in units):
             return self.features(units) @ self.weights + self.bias
         parts = [(n, p) for n, u in enumerate(units) for p in pieces(u)]
@@ -206,7 +236,12 @@ class Model:
         if len(seen) > REMEMBER:
             seen.clear()
         fresh = list(set().union(*texts) - seen.keys()) if texts else []
+        gapped = [t for t in fresh if " " in t]
+        fresh = [t for t in fresh if " " not in t]
         seen.update(zip(fresh, self.decisions([letters(t) for t in fresh]).tolist()))
+        if gapped:
+            spaces = np.array([t.count(" ") for t in gapped])
+            seen.update(zip(gapped, self.decisions([t.replace(" ", "") for t in gapped], spaces).tolist()))
         return np.array([max(map(seen.__getitem__, t), default=self.bias) for t in texts])
 
 
@@ -220,7 +255,7 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     where: dict[str, set[int]] = defaultdict(set)
     for n, t in enumerate(toxic):
         for u in t:
-            if clean_units[u] * LIFT * len(toxic) <= len(clean) * 3 and len(u) <= 4 * WIDTH:
+            if clean_units[u] * LIFT * len(toxic) <= len(clean) * 3:
                 where[u].add(n)
     frequent: dict[str, set[int]] = {}
     last: set[str] | None = None
@@ -254,7 +289,7 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
             within[g].append(u)
     explained: set[int] = set()
     texts = {g: set().union(*(where[u] for u in us)) for g, us in within.items()}
-    while texts and len(chosen) < LANDMARKS:
+    while texts:
         best = max(texts, key=lambda g: (len(texts[g]), len(g), g))
         if len(texts[best]) < max(4, SUPPORT * len(toxic)):
             best = max(texts, key=lambda g: (len(texts[g] - explained), len(texts[g]), len(g), g))
@@ -289,10 +324,10 @@ def spoiled(unit: str) -> list[str]:
     return out
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Linear SVM (hinge loss, classes weighed alike) by dual coordinate descent."""
+def train_svm(x: np.ndarray, y: np.ndarray, times: np.ndarray, cost: float = 30.0, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Linear SVM (hinge loss) by dual coordinate descent; a row stands for ``times`` equal ones."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    top = cost * np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
+    top = cost * times
     norms, alpha, w = np.maximum((x * x).sum(1), 1e-12), np.zeros(len(y)), np.zeros(x.shape[1])
     rng = np.random.default_rng(7)
     for _ in range(rounds):
@@ -309,7 +344,7 @@ def logistic(x: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve, with smoothed targets so that a clean split stays finite."""
     n1, n0 = positive.sum(), (~positive).sum()
     target = np.where(positive, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    weight = np.where(positive, 0.2 / n1, 0.8 / n0)
+    weight = np.where(positive, 0.1 / n1, 0.9 / n0)  # clean texts are to be left alone
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
@@ -324,24 +359,33 @@ def logistic(x: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
 
 def fit(rows: list[tuple[int, set[str]]]) -> Model:
     """Fit on (label, tokens) of sampled texts."""
-    units = {t: letters(t) for t in set().union(*(t for _, t in rows))}
-    sides = [[{u for u in map(units.__getitem__, t) if len(u) >= SHORTEST} for y, t in rows if y == side] for side in (0, 1)]
+    across_clean = sorted({u for y, t in rows if y == 0 for u in t if " " in u})
+    rows = [(y, {u for u in t if " " not in u}) for y, t in rows]
+    units = {t: pieces(letters(t)) for t in set().union(*(t for _, t in rows))}
+    sides = [[{p for u in t for p in units[u] if len(p) >= SHORTEST} for y, t in rows if y == side] for side in (0, 1)]
     del units
     clean, toxic = sides
     landmarks = choose_landmarks(toxic, clean) if clean and toxic else []
     model = Model(landmarks)
     if not landmarks:
         return model
-    harmless = sorted({p for t in clean for u in t for p in pieces(u)})
-    values = model.kernel.values(harmless)
-    hard = np.unique(np.concatenate([np.argsort(-values, axis=0)[:150].ravel(), np.arange(0, len(harmless), max(1, len(harmless) // 2000))]))
-    known = set(harmless)
-    bad = {p for t in toxic for u in t if any(g in u for g in landmarks) for p in pieces(u) if any(g in p for g in landmarks)}
-    bad = sorted(bad)[:: max(1, len(bad) // 4000)]
-    bad += [s for g in landmarks for s in (g, *spoiled(g)) if s not in known]
-    x = np.vstack([model.features(bad), values[hard] @ model.whiten])
-    y = np.concatenate([np.ones(len(bad)), -np.ones(len(hard))])
-    model.weights, model.bias = train_svm(x, y)
+    known, values = set().union(*clean), []
+    harmless = sorted(known)
+    for k in range(0, len(harmless), 4096):
+        part = model.kernel.values(harmless[k : k + 4096])
+        values.append(part[part.any(axis=1)])
+    for k in range(0, len(across_clean), 4096):
+        part = model.kernel.values([u.replace(" ", "") for u in across_clean[k : k + 4096]])
+        model.bridges &= part.max(axis=0) < CLASH
+    # Equal points are one with a weight, above all those of units without any common subsequence.
+    far = len(harmless) - sum(map(len, values))
+    values, times = np.unique(np.vstack([*values, np.zeros((min(far, 1), len(landmarks)))]), axis=0, return_counts=True)
+    times[~values.any(axis=1)] = far
+    bad = {u for t in toxic for u in t if any(g in u for g in landmarks)}
+    bad |= {s for g in landmarks for s in (g, *spoiled(g)) if s not in known}
+    x = np.vstack([model.features(sorted(bad)), values @ model.whiten])
+    y = np.concatenate([np.ones(len(bad)), -np.ones(len(values))])
+    model.weights, model.bias = train_svm(x, y, np.concatenate([np.ones(len(bad)), times]))
     seen: dict[str, float] = {}
     worst = [model.worst([t for _, t in rows[k : k + TOGETHER]], seen) for k in range(0, len(rows), TOGETHER)]
     # Spoiled insults count as texts of their own, so that the curve leaves room for them.
@@ -360,7 +404,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str, te
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(tokens(t.as_py())) for t in batch.column(2)]
+            found = [sorted(tokens(t.as_py(), gaps=y == 0)) for t, y in zip(batch.column(2), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["id", "y", "tokens"])
 
     kind = docs.schema[id_column].dataType.simpleString()
@@ -384,7 +428,7 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", name: str =
     at = docs.columns.index(text_column)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, seen = model, {}  # LANDMARKS rows of numbers, sent with the function
+        fitted, seen = model, {}  # some numbers per landmark, sent with the function
         for batch in batches:
             texts, scores = batch.column(at), []
             for k in range(0, len(texts), TOGETHER):

@@ -137,12 +137,39 @@ def test_toxicity_tolerates_gaps():
     clean = [{"".join(rng.choice(syllables, 3)) for _ in range(40)} for _ in range(80)]
     rows = [(0, t) for t in clean[:60]] + [(1, t | {"blockhead", "nitwit"}) for t in clean[20:60]]
     model = toxicity.fit(rows)
-    for text in ("you blockhead", "you block-head", "bl.ockh.ead", "a n i t w i t", "blockhxead", "NITWIT!"):
+    for text in ("you blockhead", "you block-head", "bl.ockh.ead", "a n i t w i t", "blockhxead", "NITWIT!", "such a nit wit", "ni tw it"):
         assert model.probability(model.worst([toxicity.tokens(text)], {}))[0] >= 0.5, text
     for t in clean[60:]:
         assert model.probability(model.worst([t], {}))[0] < 0.5
 
 
+def test_insults_without_number_and_in_long_units():
+    """Seventy insults, each in texts of its own, and one that is only found inside of long units."""
+    rng = np.random.default_rng(3)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    insults = [word(8) for _ in range(70)]
+    clean = [{word(5) for _ in range(20)} for _ in range(300)]
+    rows = [(0, t) for t in clean] + [(1, {word(5) for _ in range(20)} | {w}) for w in insults for _ in range(4)]
+    rows += [(1, {word(5), word(70) + "zzyzxqov" + word(60)}) for _ in range(6)]
+    model = toxicity.fit(rows)
+    found = model.probability(model.worst([toxicity.tokens(f"you {w} you") for w in [*insults, "zzyzxqov"]], {}))
+    assert (found >= 0.5).all()
+    assert (model.probability(model.worst(clean, {})) < 0.5).all()
+
+
+def test_words_put_together():
+    assert toxicity.across("id io t stop, a b".split()) == {"id io", "id io t"}
+    assert toxicity.across(["longer", "ab", "cd", "1", "ef"]) == {"ab cd"}
+    assert "ab cd" not in toxicity.tokens("ab cd", gaps=False)
+
+
+def test_landmarks_that_clean_words_give_are_not_put_together():
+    clean = [{f"clean{n}", "nit wit"} for n in range(40)]
+    model = toxicity.fit([(0, t) for t in clean] + [(1, {f"clean{n}", "nitwit"}) for n in range(40)])
+    ask = lambda text: model.probability(model.worst([toxicity.tokens(text)], {}))[0]
+    assert ask("a nitwit") >= 0.5 and ask("nit wit") < 0.5
+
+
 def test_kernel_is_the_sum_over_subsequences():
     from itertools import combinations
 
