@@ -368,6 +368,18 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, distance, crow
     assert {f: got.get(f, f) for f in fps} == {f: top(f) for f in fps}
 
 
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    """Tasks contract the links they hold, in chunks; a round of star operations on few rows then ends it."""
+    rounds = []
+    monkeypatch.setattr(components, "_star", lambda links, large, of=components._star: rounds.append(large) or of(links, large))
+    links = spark.createDataFrame([(k + 1, k) for k in range(0, 3000)], "a long, b long").repartition(30)
+    assert {(r["node"], r["root"]) for r in components.components(links).collect()} == {(k, 0) for k in range(1, 3001)}
+    assert len(rounds) <= 6, len(rounds)
+    monkeypatch.setattr(components, "CHUNK", 64)
+    text = links.select(*[F.format_string("k%05d", c).alias(c) for c in "ab"])
+    assert {r["root"] for r in components.components(text).collect()} == {"k00000"}
+
+
 def test_near_copy_cases(spark, texts, nothing):
     assert simhash.near_groups(nothing).count() == 0 and simhash.deduplicate(nothing).count() == 0
     found = simhash.near_groups(texts)
