@@ -62,6 +62,13 @@ def test_bucketed_cuts_save_shuffles(spark, root, tmp_path):
     assert kept["demand_id"] == kept[None]
 
 
+def test_a_run_plans_few_parts_at_a_time(spark, root, tmp_path):
+    """The last join of a run reads cuts: what makes the parts was planned and run in queries of a few parts each."""
+    with Cuts(spark, str(tmp_path), key="demand_id") as cut:
+        text = plan(build_mart(Frames(spark, root), PARAMS, cut, measure=True))
+    assert text.count("Exchange") <= 30 and text.count("Aggregate") <= 2, (text.count("Exchange"), text.count("Aggregate"))
+
+
 def test_partition_and_data_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "parts")
     df = spark.range(40).select(
