@@ -15,7 +15,10 @@
 ``near_groups`` reports such groups. ``deduplicate`` drops near copies of which the sets of shingles have a Jaccard
 similarity of ``SIMILARITY`` or more, and keeps the smallest id of every group that such pairs connect:
 
-1. Documents of equal sets become one node. A node has ``BANDS * ROWS`` MinHash values; nodes that agree on all
+0. Documents of equal sets become one node. Nodes are linked by their fingerprints of five-word shingles as in
+   ``near_groups``, by blocks and verified distances of at most ``DISTANCE`` bits; a link counts if the two sets are similar
+   enough. Sets at 0.8 differ in more bits for the most part, which the further steps are for.
+1. A node has ``BANDS * ROWS`` MinHash values; nodes that agree on all
    values of a band share a bucket. A pair at 0.8 misses all buckets with a probability of 10^-6.
 2. A pair counts only if the similarity of its two sets, as 64-bit hashes of shingles, is high enough. Before, pairs
    go whose MinHash values agree five standard deviations too seldom.
@@ -56,6 +59,8 @@ BITS = 64
 BLOCKS_MORE = 3
 #: Nodes in a bucket up to which its pairs are joined directly.
 CROWD = 64
+#: ``deduplicate``: bits in which fingerprints of near copies differ at most, to be linked by them.
+DISTANCE = 3
 #: ``deduplicate``: least similarity, MinHash bands, and values in each.
 SIMILARITY, BANDS, ROWS = 0.8, 26, 4
 #: Nodes of a crowded bucket that meet all others of it. A node is in ``BANDS`` buckets, so it meets several.
@@ -64,6 +69,8 @@ PIVOTS = 1
 TILE, TILE_HASHES, COLUMNS = 256, 1 << 20, 2048
 #: Members of a bucket of ``deduplicate`` up to which its pairs are joined there.
 MEET = 32
+#: Components up to which a shingle they share counts as rare in prefixes; the order is the same for any number.
+WIDE = 64
 #: Dropped ids up to which they are broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Shingles hashed at a time, so that a very long text needs no more memory than a short one.
@@ -81,6 +88,16 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()  # bytes: A-Z only, and splits at ASCII white space only
 
 
+def ones_of(hashes: np.ndarray) -> np.ndarray:
+    """For each bit the number of hashes that have it."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, total: int) -> int:
+    """The bits that are set in over half of so many hashes, as a signed 64-bit integer."""
+    return int(np.packbits(ones * 2 > total, bitorder="little").view(np.int64)[0])
+
+
 def fingerprint(text: str | None, size: int) -> int:
     """SimHash of one text as a signed 64-bit integer."""
     words = words_of(text)
@@ -88,9 +105,8 @@ def fingerprint(text: str | None, size: int) -> int:
     digest, left = xxhash.xxh64_intdigest, shingles(words, size)
     for start in range(0, total, CHUNK):
         n = min(CHUNK, total - start)
-        hashes = np.fromiter((digest(s, 42) for _, s in zip(range(n), left)), dtype=np.uint64, count=n)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > total, bitorder="little").view(np.int64)[0])
+        ones += ones_of(np.fromiter((digest(s, 42) for _, s in zip(range(n), left)), dtype=np.uint64, count=n))
+    return majority(ones, total)
 
 
 def fingerprints(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
@@ -172,10 +188,12 @@ def near_groups(
     )
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Distinct hashes of the shingles in order; a text without words has that of an empty one."""
+def shingle_set(text: str | None, size: int) -> tuple[np.ndarray, int]:
+    """Distinct hashes of the shingles in order, and the fingerprint; a text without words has the hash of an empty one."""
     hashes = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles(words_of(text), size)), dtype=np.uint64)
-    return np.unique(hashes) if len(hashes) else np.array([xxhash.xxh64_intdigest(b"", 42)], dtype=np.uint64)
+    ones = sum((ones_of(hashes[k : k + CHUNK]) for k in range(0, len(hashes), CHUNK)), np.zeros(BITS, dtype=np.int64))
+    own = np.unique(hashes) if len(hashes) else np.array([xxhash.xxh64_intdigest(b"", 42)], dtype=np.uint64)
+    return own, majority(ones, len(hashes))
 
 
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -191,14 +209,14 @@ def minhash(hashes: np.ndarray) -> np.ndarray:
 
 
 def _set_rows(docs: DataFrame, id_column: str, text_column: str, size: int, whole: bool) -> DataFrame:
-    """``(id, digest)`` and the hashes of the set if ``whole``, else its MinHash values as bytes, and its bands' keys."""
+    """``(id, digest)`` and the hashes of the set if ``whole``, else its MinHash values as bytes, its bands' keys, and the fingerprint."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, values, keys = [], [], []
+            digests, values, keys, fps = [], [], [], []
             for text in batch.column(1):
-                own = shingle_set(text.as_py(), size)
+                own, fp = shingle_set(text.as_py(), size)
                 digests.append(xxhash.xxh128_digest(own.tobytes()))
                 if whole:
                     values.append(own.view(np.int64))
@@ -206,16 +224,17 @@ def _set_rows(docs: DataFrame, id_column: str, text_column: str, size: int, whol
                 least = minhash(own)
                 values.append(least.astype(np.uint8).tobytes())
                 keys.append([xxhash.xxh64_intdigest(b.tobytes(), n) for n, b in enumerate(least.reshape(BANDS, ROWS))])
+                fps.append(fp)
             columns = [batch.column(0), pa.array(digests, pa.binary())]
             if whole:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.list_(pa.int64()))], names=["id", "digest", "hashes"])
             else:
                 keys = np.array(keys, dtype=np.uint64).view(np.int64).tolist()
-                columns += [pa.array(values, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "values", "keys"])
+                columns += [pa.array(values, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(fps, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "values", "keys", "fp"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    more = "hashes array<long>" if whole else "values binary, keys array<long>"
+    more = "hashes array<long>" if whole else "values binary, keys array<long>, fp long"
     return text_batches(rows).mapInArrow(each, f"id {kind}, digest binary, {more}")
 
 
@@ -275,9 +294,14 @@ class Linker:
 
     @staticmethod
     def pivoted(live: DataFrame) -> DataFrame:
-        """Pairs of every node of the other buckets with ``PIVOTS`` of its bucket."""
+        """Pairs of every node of the other buckets with ``PIVOTS`` of its bucket.
+
+        Pivots are the nodes that are in most of these buckets: of a group of near copies those in its middle, to which
+        more of the others are similar than to one of its edge.
+        """
         rows = live.filter(F.col("outside") > MEET)
-        chosen = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"] for k in range(PIVOTS)]
+        rows = rows.join(rows.groupBy("id").agg(F.count(F.lit(1)).alias("held")), "id")
+        chosen = [F.max(F.struct("held", F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"] for k in range(PIVOTS)]
         pivots = rows.groupBy("path").agg(F.array_distinct(F.array(*chosen)).alias("b")).select("path", F.explode("b").alias("b"))
         return rows.join(pivots, "path").filter("id <> b").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
 
@@ -285,14 +309,22 @@ class Linker:
         """Rows ``(path, at, id)`` of a bucket per shingle of the nodes' prefixes.
 
         Shingles are ordered by the number of components that have them; those of one component cannot link two.
+        Those of more than ``WIDE`` components come last, and are only looked at where a prefix reaches them.
         """
         nodes = self.labelled(rows).select("id", "comp").distinct().join(self.sets, "id")
         each = cut(nodes.select("id", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("t")))
-        wide = each.groupBy("t", "comp").agg(F.lit(1)).groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        shared = each.join(wide, "t").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("shared"))
-        spare = F.col("n") - F.ceil(F.col("n") * self.similarity - 1e-9)
-        room = (spare - F.col("n") + F.size("shared") + 1).cast("int")
-        return shared.filter(room > 0).select(F.explode(F.slice("shared.t", F.lit(1), room)).alias("path"), F.lit(0).alias("at"), "id")
+        wide = cut(each.groupBy("t", "comp").agg(F.lit(1)).groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+        rare, common = wide.filter(F.col("c") <= WIDE), wide.filter(F.col("c") > WIDE)
+        own = each.select("id", "n", "t").join(common, "t", "left_anti").join(rare, "t", "left")
+        listed = F.sort_array(F.collect_list(F.when(F.col("c").isNotNull(), F.struct("c", "t"))))
+        held = cut(own.groupBy("id", "n").agg(F.count(F.lit(1)).alias("r"), listed.alias("shared")))
+        length = F.col("n") - F.ceil(F.col("n") * self.similarity - 1e-9) + 1
+        first = held.select("id", "shared", (length - F.col("r") + F.size("shared")).cast("int").alias("room"))
+        whole = each.select("id", "n").distinct().join(held.select("id", "r"), "id", "left")
+        short = whole.select("id", (length - F.coalesce("r", F.lit(0))).cast("int").alias("room")).filter("room > 0")
+        late = each.select("id", "t").join(short, "id").join(common, "t").groupBy("id", "room").agg(listed.alias("shared"))
+        taken = first.filter("room > 0").unionByName(late.select("id", "shared", "room"))
+        return taken.select(F.explode(F.slice("shared.t", F.lit(1), F.col("room"))).alias("path"), F.lit(0).alias("at"), "id")
 
     def tiled(self, live: DataFrame) -> DataFrame:
         """Links in buckets with more than ``MEET`` nodes outside the largest component, verified where they meet.
@@ -368,27 +400,39 @@ def _similar(similarity: float):
     return each
 
 
+def near_pairs(nodes: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ids that connect all nodes ``(id, fp)`` of fingerprints within ``distance`` bits."""
+    heads = cut(nodes.groupBy("fp").agg(F.min("id").alias("head")))
+    linked = links(heads.select("fp"), distance)
+    a, b = (heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}")) for c in "ab")
+    apart = linked.join(a, "a").join(b, "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+    same = nodes.join(heads, "fp").filter("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    return apart.union(same)
+
+
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that stay, with all their columns.
 
     Rows of one id are one document, by one of its texts. Rows with a null id stay, as nothing can name them.
     """
     named = docs.filter(F.col(id_column).isNotNull())
-    rows = _set_rows(named, id_column, text_column, size, whole=False).groupBy("id").agg(F.min(F.struct("digest", "values", "keys")).alias("own"))
+    rows = _set_rows(named, id_column, text_column, size, whole=False).groupBy("id").agg(F.min(F.struct("digest", "values", "keys", "fp")).alias("own"))
     rows = cut(rows.select("id", "own.*"))
     # Equal sets: one node, by the smallest id.
     nodes = rows.select("id", "digest").join(rows.groupBy("digest").agg(F.min("id").alias("least")), "digest")
     nodes = cut(nodes.select("id", "digest", "least"))
-    values = rows.join(nodes.filter("id = least").select("id"), "id").select("id", "digest", "values", "keys")
+    values = rows.join(nodes.filter("id = least").select("id"), "id").select("id", "digest", "values", "keys", "fp")
+    near = cut(near_pairs(values.select("id", "fp"), DISTANCE))
     keyed = values.select("id", F.posexplode("keys").alias("k", "v")).select("id", F.xxhash64("k", "v").alias("path"))
     met = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("path")
     buckets = cut(keyed.join(met, "path"))
-    few = buckets.select("id").distinct()
+    few = buckets.select("id").union(near.select("a")).union(near.select("b")).distinct()
     some = cut(values.join(few, "id").select("id", "digest", "values"))
     wanted = broadcast_if_small(some.select(F.col("id").alias("of"), F.col("digest").alias("own")), BROADCAST_ROWS)
     sets = _set_rows(named, id_column, text_column, size, whole=True)
     sets = cut(sets.join(wanted, (F.col("id") == F.col("of")) & (F.col("digest") == F.col("own"))).select("id", "hashes").dropDuplicates(["id"]))
     linker = Linker(some, sets, similarity)
+    linker.add(linker.verified(near))
     linker.link_all(buckets)
     gone = nodes.filter("id <> least").select("id").union(nodes.join(linker.roots.filter("node <> root"), F.col("least") == F.col("node")).select("id"))
     gone = broadcast_if_small(cut(gone.distinct()).withColumnRenamed("id", "__gone"), BROADCAST_ROWS)

@@ -115,6 +115,29 @@ def test_a_shared_passage_gives_few_pairs(spark, monkeypatch):
     assert sum(compared) < n * n / 8
 
 
+def test_near_copies_meet_by_their_fingerprints(spark, monkeypatch):
+    """Texts of five-word fingerprints a few bits apart are linked by those, also where no MinHash band is there to do it."""
+    monkeypatch.setattr(simhash.Linker, "link_all", lambda self, buckets: None)
+    rows = [(k, " ".join([*words_of("copy", 800), f"c{k}"])) for k in range(20)]
+    rows += [(100 + k, " ".join(words_of(f"t{k}x", 100))) for k in range(20)]
+    assert kept_of(spark, rows) == {0} | set(range(100, 120))
+
+
+@pytest.mark.parametrize("wide", [1, 2, 10_000])
+def test_prefixes_do_not_depend_on_what_counts_as_rare(spark, monkeypatch, wide):
+    monkeypatch.setattr(simhash, "WIDE", wide)
+    sets = [(k, sorted({*range(60 + k % 3), *range(100 * k, 100 * k + 15 + k % 7)})) for k in range(1, 12)]
+    sets.append((12, list(range(60))))
+    linker = simhash.Linker(None, spark.createDataFrame(sets, "id long, hashes array<long>"), 0.8)
+    rows = spark.createDataFrame([(0, 0, k) for k, _ in sets], "path long, at int, id long")
+    count = {t: sum(t in own for _, own in sets) for t in range(2000)}
+    want = set()
+    for k, own in sets:
+        prefix = sorted(own, key=lambda t: (count[t], t))[: len(own) - -(-len(own) * 4 // 5) + 1]
+        want |= {(t, k) for t in prefix if count[t] > 1}
+    assert {(r["path"], r["id"]) for r in linker.prefixes(rows).collect()} == want and want
+
+
 @pytest.mark.parametrize("length", [3, 60])
 def test_one_of_a_chain_stays(spark, length):
     """Texts that are windows of one text: neighbours are near copies, others are not; ids in both orders."""
