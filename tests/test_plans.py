@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lanemart.plans.mart import build_mart, wide_spine
+from lanemart.plans.mart import build_mart, run_mart, wide_spine
 from lanemart.queries import QUERIES
 from lanemart.queries.helpers import Frames
 from lanemart.sinks.lake import Cuts
 from lanemart.sources.bounds import not_deleted, recent, since_id
+from lanemart.sources.readers import literal_dim
 from lanemart.standin import PARAMS
 
 BAD = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas", "FlatMapGroups")
@@ -69,6 +70,30 @@ def test_a_run_plans_few_parts_at_a_time(spark, root, tmp_path):
     assert text.count("Exchange") <= 30 and text.count("Aggregate") <= 2, (text.count("Exchange"), text.count("Aggregate"))
 
 
+def test_wide_rows_are_not_generated_into_one_method(spark, root, tmp_path):
+    """The JVM's compiler takes hundreds of megabytes outside the heap for one method of a wide chain of joins."""
+    before, plans = spark.conf.get("spark.sql.codegen.maxFields"), []
+    frames = Frames(spark, root)
+    dates = frames["demands"].select(F.col("id").alias("demand_id"), F.col("created").alias("demand_date"))
+
+    def write(mart, start):
+        out = mart.limit(3)
+        out.collect()
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+
+    run_mart(frames, dates, PARAMS, write, str(tmp_path))
+    final = plans[0].split("+- == Initial Plan ==")[0]
+    assert not re.search(r"\*\(\d+\) (Project|SortMergeJoin|BroadcastHashJoin).*demand_id", final)
+    assert spark.conf.get("spark.sql.codegen.maxFields") == before
+
+
+def test_literal_rows_need_no_python_workers(spark, root):
+    bands = Frames(spark, root)["vehicle_bands"]
+    zones = literal_dim(spark, {"SOUTH": ["A", "B"]}, "zone", "region")
+    assert "ExistingRDD" not in plan(bands) + plan(zones)
+    assert bands.count() == 216 and zones.count() == 2
+
+
 def test_partition_and_data_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "parts")
     df = spark.range(40).select(
