@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lanemart.plans.mart import build_mart, run_mart, wide_spine
+from lanemart.plans.mart import build_mart, placement_reasons, run_mart, wide_spine
 from lanemart.queries import QUERIES
 from lanemart.queries.helpers import Frames
 from lanemart.sinks.lake import Cuts
@@ -94,6 +94,15 @@ def test_literal_rows_need_no_python_workers(spark, root):
     assert bands.count() == 216 and zones.count() == 2
 
 
+def test_reasons_read_only_what_they_ask_for(spark, root, tmp_path):
+    """The spine and the places are computed once, no text of a consignment moves, supply is not made distinct twice."""
+    src = Frames(spark, root)
+    cut = placement_reasons(src, PARAMS, Cuts(spark, str(tmp_path)))
+    text = plan(cut)
+    assert "o_totalprice" not in text and "expense_data" not in text and not re.search(r"__m#", text)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, placement_reasons(src, PARAMS).collect()))
+
+
 def test_partition_and_data_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "parts")
     df = spark.range(40).select(
