@@ -103,6 +103,13 @@ def test_reasons_read_only_what_they_ask_for(spark, root, tmp_path):
     assert sorted(map(str, cut.collect())) == sorted(map(str, placement_reasons(src, PARAMS).collect()))
 
 
+def test_margin_moves_only_costs_and_forfeits(spark, root):
+    """No trip ends, no details of a consignment but its costs, and only forfeited tokens, in one aggregate."""
+    text = plan(entry.queries()["margin"](spark, root))
+    assert "TRIP_END" not in text and "trip_end_time" not in text and "SUCCESS)" not in text
+    assert "consignment_date" not in text and "placed" not in text
+
+
 def test_partition_and_data_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "parts")
     df = spark.range(40).select(
