@@ -141,6 +141,15 @@ def _flips(distance: int) -> list[int]:
     return [_signed(sum(1 << b for b in bits)) for n in range(distance + 1) for bits in combinations(range(BITS), n)]
 
 
+def _flipped(nodes: DataFrame, distance: int) -> DataFrame:
+    """Rows ``(fp, at)``: every value ``at`` within ``distance`` bits of a node.
+
+    The masks are one literal: as an expression each, two bits' 2081 of them are planned and compiled by the driver.
+    """
+    masks = F.split(F.lit(" ".join(map(str, _flips(distance)))), " ").cast("array<bigint>")
+    return nodes.select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("at"))
+
+
 def _around(crowded: DataFrame, distance: int) -> DataFrame:
     """Links of nodes to the smallest node within ``distance`` by way of a value that lies between them.
 
@@ -149,11 +158,11 @@ def _around(crowded: DataFrame, distance: int) -> DataFrame:
     the larger radius.
     """
     low, high = distance // 2, distance - distance // 2
-    near = crowded.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _flips(low)])).alias("at"))
+    near = _flipped(crowded, low)
     least = near.groupBy("at").agg(F.min("fp").alias("b"))
     far = near
     if high != low:
-        far = crowded.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in _flips(high)])).alias("at"))
+        far = _flipped(crowded, high)
     return far.join(least, "at").select(F.col("fp").alias("a"), "b")
 
 

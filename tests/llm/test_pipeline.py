@@ -179,3 +179,17 @@ def test_the_number_of_jobs_does_not_follow_the_data(spark):
         jobs.append(len(tracker.getJobIdsForGroup(f"near-{n}")))
     spark.sparkContext.setJobGroup(None, None)
     assert abs(jobs[1] - jobs[0]) <= 40 and max(jobs) <= 200, jobs
+
+
+def test_values_near_a_fingerprint_take_a_small_plan(spark):
+    """2081 masks of two bits as an expression each took the driver seconds and memory to plan and compile."""
+    from itertools import combinations
+
+    from lanemart.llm.simhash import _flipped, _signed
+
+    nodes = [5, -1, -(1 << 63)]
+    near = _flipped(spark.createDataFrame([(n,) for n in nodes], "fp long"), 2)
+    masks = [sum(1 << b for b in bits) for n in range(3) for bits in combinations(range(64), n)]
+    wanted = sorted((n, n ^ _signed(m)) for n in nodes for m in masks)
+    assert sorted(map(tuple, near.collect())) == wanted
+    assert near._jdf.queryExecution().analyzed().toString().count("^") <= 1
