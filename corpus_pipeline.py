@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanemart.llm import decontaminate, exact_dedup, mixing, simhash, toxicity
-from lanemart.llm.common import remainder, remove, shared_folder, table
+from lanemart.llm.common import forget, remainder, remove, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,4 +70,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             remove(spark, before)
         before = path
+        forget(spark)
     return docs

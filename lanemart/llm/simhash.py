@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanemart.llm.common import broadcast_if_small, cut, text_batches
+from lanemart.llm.common import broadcast_if_small, cut, forget, text_batches
 from lanemart.llm.components import components, connected_rows
 
 BITS = 64
@@ -267,6 +267,7 @@ class Linker:
         a, b = (self.values.select(F.col("id").alias(c), F.col("values").alias(f"values_{c}")) for c in "ab")
         met = pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", "values_a", "values_b")
         likely = cut(met.mapInArrow(each, pairs.select("a", "b").schema))
+        forget(met.sparkSession)
         a, b = (self.sets.select(F.col("id").alias(c), F.col("hashes").alias(f"hashes_{c}")) for c in "ab")
         both = F.size(F.array_intersect("hashes_a", "hashes_b"))
         enough = both * (1 + s) >= (F.size("hashes_a") + F.size("hashes_b")) * s - 1e-9
@@ -277,6 +278,7 @@ class Linker:
         if self.roots is not None:
             links = links.union(self.roots.select("node", "root"))
         self.roots = components(links)
+        forget(links.sparkSession)
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """Rows ``(path, at, id)`` with the component of the node."""
@@ -358,10 +360,13 @@ class Linker:
 
     def link_all(self, buckets: DataFrame) -> None:
         """All links of nodes that share a bucket. The number of steps does not depend on the data."""
+        spark = buckets.sparkSession
         live = self.measured(buckets.withColumn("at", F.lit(-1)))
         self.add(self.verified(self.few(live).union(self.pivoted(live))))
         live = self.measured(live.filter(F.col("outside") > MEET))
+        forget(spark)
         parted = self.measured(self.prefixes(live.filter(F.col("outside") > MEET)))
+        forget(spark)
         self.add(self.verified(self.few(live).union(self.few(parted))).union(self.tiled(parted)))
 
 
@@ -423,7 +428,11 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """The documents that stay, with all their columns.
 
     Rows of one id are one document, by one of its texts. Rows with a null id stay, as nothing can name them.
+
+    The shuffles and cut frames of a step go once it has been cut, or those of all steps would lie on disk together: with many
+    partitions small files take more than the rows in them.
     """
+    spark = docs.sparkSession
     named = docs.filter(F.col(id_column).isNotNull())
     rows = _set_rows(named, id_column, text_column, size, whole=False).groupBy("id").agg(F.min(F.struct("digest", "values", "keys", "fp")).alias("own"))
     rows = cut(rows.select("id", "own.*"))
@@ -432,17 +441,22 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     nodes = cut(nodes.select("id", "digest", "least"))
     values = rows.join(nodes.filter("id = least").select("id"), "id").select("id", "digest", "values", "keys", "fp")
     near = cut(near_pairs(values.select("id", "fp"), DISTANCE))
+    forget(spark)
     keyed = values.select("id", F.posexplode("keys").alias("k", "v")).select("id", F.xxhash64("k", "v").alias("path"))
     met = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("path")
     buckets = cut(keyed.join(met, "path"))
+    forget(spark)
     few = buckets.select("id").union(near.select("a")).union(near.select("b")).distinct()
     some = cut(values.join(few, "id").select("id", "digest", "values"))
     wanted = broadcast_if_small(some.select(F.col("id").alias("of"), F.col("digest").alias("own")), BROADCAST_ROWS)
     sets = _set_rows(named, id_column, text_column, size, whole=True)
     sets = cut(sets.join(wanted, (F.col("id") == F.col("of")) & (F.col("digest") == F.col("own"))).select("id", "hashes").dropDuplicates(["id"]))
+    forget(spark)
     linker = Linker(some, sets, similarity)
     linker.add(linker.verified(near))
     linker.link_all(buckets)
     gone = nodes.filter("id <> least").select("id").union(nodes.join(linker.roots.filter("node <> root"), F.col("least") == F.col("node")).select("id"))
     gone = broadcast_if_small(cut(gone.distinct()).withColumnRenamed("id", "__gone"), BROADCAST_ROWS)
+    del rows, nodes, values, near, buckets, some, wanted, sets, linker
+    forget(spark)
     return docs.join(gone, docs[id_column] == gone["__gone"], "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -193,3 +195,17 @@ def test_values_near_a_fingerprint_take_a_small_plan(spark):
     wanted = sorted((n, n ^ _signed(m)) for n in nodes for m in masks)
     assert sorted(map(tuple, near.collect())) == wanted
     assert near._jdf.queryExecution().analyzed().toString().count("^") <= 1
+
+
+def test_shuffles_of_earlier_steps_go(spark, root):
+    def held():
+        names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split(" ")
+        return {n.rsplit("/", 1)[-1].split("_")[1] for n in names if "/shuffle_" in n}
+
+    before = held()
+    left = simhash.deduplicate(spark.read.parquet(f"{root}/documents.parquet"))
+    end = time.time() + 20  # they are removed in the background
+    while len(held() - before) > 3 and time.time() < end:
+        time.sleep(0.5)
+    assert len(held() - before) <= 3
+    assert left.count() > 0
