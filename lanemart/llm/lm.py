@@ -60,8 +60,8 @@ from lanemart.llm.elias_fano import STEP, Trie, Words, numbered, runs
 
 #: Bytes of text per shard of the trie, of the unigrams, and per part of the sums.
 SHARD_BYTES, WORD_BYTES, PART_BYTES = 16 << 20, 64 << 20, 64 << 20
-#: Tokens that a task gathers before it sends blocks.
-GATHER = 600_000
+#: Tokens that a task numbers, sorts and sends at a time, and those of a batch: the more a batch has, the fewer blocks repeat its words.
+GATHER, BATCH = 600_000, 5_000_000
 #: N-grams, with the texts that have them, that a shard answers at a time.
 RANGE = 400_000
 #: Bytes of text hashed at a time.
@@ -170,32 +170,56 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(24)) * np.uint64(shards) >> np.uint64(40)).astype(np.int64)
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Tokens of many texts together: (hash of each token, number of its text, text keys, training flags)."""
-    hasher, tokens, owners, keys, flags, size = Hasher(), [], [], [], [], 0
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Tokens of many texts together: (hashes of words in order, each token's place among them, number of its text, text keys,
+    training flags).
+
+    Words are numbered ``GATHER`` tokens at a time, so that a token takes eight bytes until ``BATCH`` of them are sent.
+    """
+    hasher, tokens, sizes, keys, flags, size = Hasher(), [], [], [], [], 0
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    total = 0
+
+    def number() -> None:
+        words, places = numbered(np.concatenate(tokens))
+        parts.append((words, places.astype(np.int32)))
+        tokens.clear()
 
     def gathered():
-        return np.concatenate(tokens), np.concatenate(owners), np.array(keys, dtype=np.int64).view(np.uint64), np.array(flags, dtype=bool)
+        if tokens:
+            number()
+        words, places = numbered(np.concatenate([w for w, _ in parts]))
+        places = np.split(places.astype(np.int32), np.cumsum([len(w) for w, _ in parts])[:-1])
+        w = np.concatenate([p[own] for p, (_, own) in zip(places, parts)])
+        owner = np.repeat(np.arange(len(keys), dtype=np.int32), sizes)
+        return words, w, owner, np.array(keys, dtype=np.int64).view(np.uint64), np.array(flags, dtype=bool)
 
     for batch in batches:
         for key, text, flag in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            for piece in _pieces(text.as_py() or ""):
-                hashes, _ = hasher.words(piece)
-                tokens.append(hashes)
-                owners.append(np.full(len(hashes), len(keys), dtype=np.int32))
-                size += len(hashes)
-            tokens.append(np.array([END]))
-            owners.append(np.array([len(keys)], dtype=np.int32))
+            own = [hasher.words(piece)[0] for piece in _pieces(text.as_py() or "")]
+            tokens += [*own, np.array([END])]
+            sizes.append(sum(map(len, own)) + 1)
             keys.append(key)
             flags.append(flag)
-            size += 1
+            size += sizes[-1]
+            total += sizes[-1]
             if size >= GATHER:
+                number()
+                size = 0
+            if total >= BATCH:
                 yield gathered()
-                tokens, owners, keys, flags, size = [], [], [], [], 0
+                parts, sizes, keys, flags, size, total = [], [], [], [], 0, 0
     if keys:
         yield gathered()
 
 
+def _slices(w: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """The positions of tokens by ranges of their ``n`` words, about ``GATHER`` tokens at a time."""
+    at = np.cumsum(np.bincount(w, minlength=n)) // GATHER
+    for a, b in zip(starts := runs(at), [*starts[1:], n]):
+        yield np.flatnonzero((w >= a) & (w < b))
+
+
 def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.ndarray, words: np.ndarray, shards: int, keys, flags):
     """Blocks by shard of n-grams given as numbers of words; the first of an n-gram decides on its shard.
 
@@ -257,27 +281,27 @@ _SENT = "kind string, shard long, block binary"
 
 def _trigram_blocks(rows: DataFrame, shards: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, owner, keys, flags in _batches(batches):
-            words, w = numbered(np.concatenate(([BEGIN], tokens)) & _UPPER)
-            begin, w = w[0], w[1:].astype(np.int32)
-            one, two = np.roll(w, 1), np.roll(w, 2)
+        for hashes, w, owner, keys, flags in _batches(batches):
+            words, places = numbered(np.concatenate(([BEGIN], hashes)) & _UPPER)
+            begin, w = places[0], places[1:].astype(np.int32)[w]
             first = np.concatenate(([True], owner[1:] != owner[:-1]))
-            one[first] = begin
-            two[first | np.roll(first, 1)] = begin
-            yield from _sent("trigrams", _blocks((one, two, w), ("first", "before", "last"), owner, words, shards, keys, flags))
-            del tokens, owner, w, one, two, first, words
-            _release()
+            one = np.where(first, begin, np.roll(w, 1)).astype(np.int32)
+            for at in _slices(one, len(words)):
+                two = np.where(first[at], begin, one[at - 1])
+                yield from _sent("trigrams", _blocks((one[at], two, w[at]), ("first", "before", "last"), owner[at], words, shards, keys, flags))
+                _release()
+            del hashes, w, owner, places, first, one, two, words
 
     return rows.mapInArrow(each, _SENT)
 
 
 def _word_blocks(rows: DataFrame, shards: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, owner, keys, flags in _batches(batches):
-            words, w = numbered(tokens)
-            yield from _sent("words", _blocks((w.astype(np.int32),), ("word",), owner, words, shards, keys, flags))
-            del tokens, owner, w, words
-            _release()
+        for words, w, owner, keys, flags in _batches(batches):
+            for at in _slices(w, len(words)):
+                yield from _sent("words", _blocks((w[at],), ("word",), owner[at], words, shards, keys, flags))
+                _release()
+            del words, w, owner
 
     return rows.mapInArrow(each, _SENT)
 

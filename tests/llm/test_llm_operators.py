@@ -71,6 +71,17 @@ def test_lm_model_is_kept_and_scores_other_texts(spark, root, tmp_path, monkeypa
     assert len(odd) == 3 and odd[1] == odd[2] > odd[3]
 
 
+def test_lm_blocks_follow_batches_not_what_is_sorted_at_a_time(spark, monkeypatch):
+    """A batch sends about one block to a shard, however few tokens are sorted together."""
+    monkeypatch.setattr(lm, "GATHER", 500)
+    rows = [(k, " ".join(f"w{(k * n) % 211}" for n in range(200)), k % 2 == 0) for k in range(40)]
+    rows = spark.createDataFrame(rows, "key long, text string, train boolean").coalesce(1)
+    for blocks, tokens in ((lm._trigram_blocks(rows, 8), 40 * 201), (lm._word_blocks(rows, 8), 40 * 201)):
+        found = [lm._unpack(r["block"]) for r in blocks.collect() if r["kind"] != "names"]
+        assert len(found) <= 8 + 40 * 201 / 500 + 1
+        assert sum(b["times"].sum() for b in found) == tokens
+
+
 def test_lm_missing_shard_is_an_error(spark, texts, tmp_path):
     lm.score(texts, F.lit(True), folder=f"{tmp_path}/model")
     next((tmp_path / "model").glob("trigrams-*/*")).unlink()
