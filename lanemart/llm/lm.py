@@ -9,20 +9,21 @@ single words travels on, to shards of the unigram counts, kept in files as well.
 texts that were not there when it was made.
 
 1. ``trigrams`` (per batch of texts): distinct (before, first, last) with the texts they are in -> shard of first.
-2. ``answers`` (per shard): its trie; sums of log probabilities per text -> part of the text's key; last words that were
+2. ``answers`` (per shard): its trie; sums of log probabilities per text -> part of the text's batch; last words that were
    not seen after their context -> shard of the word.
 3. ``words`` (per batch): distinct words with the texts they are in -> shard of the word.
-4. ``counts`` (per shard): unigram counts and, from them, what texts and fallen words get -> part of the key.
-5. ``sums`` (per part): one row per text.
+4. ``counts`` (per shard): unigram counts and, from them, what texts and fallen words get -> part of the batch.
+5. ``sums`` (per part): one row per text of a batch; rows of one key are added up.
 
 Scores do not depend on how rows are dealt, to the last bit: a probability depends on the counts of its context only, and
 logarithms are multiples of 2^-11 (an error of 0.00025 at most), whose sums are exact in any order. A shard holds its
 blocks compressed and unpacks some at a time. All n-grams with one middle word are in one shard, so the shard of
 the commonest word grows with its share of the corpus.
 
-Every block is made by one task from its own rows and names texts by keys of their contents, so it does not
-matter how rows are batched when a lost task is run again. Nothing is broadcast; the numbers of shards follow
-from the bytes of text (``SHARD_BYTES``). Blocks aggregate within a batch, so a word or n-gram that is everywhere
+Every block is made by one task from its own rows and names texts by their batch, itself named by its texts in order, and
+their number there; the keys of a batch's texts travel once. Should a lost task be run again with its rows in another order
+after others have read what it sent, sums may lack the keys of their batch, which is an error, never another result.
+Nothing is broadcast; the numbers of shards follow from the bytes of text (``SHARD_BYTES``). Blocks aggregate within a batch, so a word or n-gram that is everywhere
 costs one entry per batch and text, not one per occurrence.
 
 Words are known by 64-bit hashes of their bytes; two of ten million words share one with a probability of about
@@ -44,6 +45,7 @@ texts are read in pieces of ``PIECE`` bytes.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -220,7 +222,18 @@ def _slices(w: np.ndarray, n: int) -> Iterator[np.ndarray]:
         yield np.flatnonzero((w >= a) & (w < b))
 
 
-def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.ndarray, words: np.ndarray, shards: int, keys, flags):
+def _batch_id(keys: np.ndarray, flags: np.ndarray) -> np.uint64:
+    """A batch's name, by its texts in order: a text is its batch and its number there, which take less room than its key."""
+    return np.frombuffer(hashlib.blake2b(keys.tobytes() + flags.tobytes(), digest_size=8).digest(), np.uint64)[0]
+
+
+def _keys_block(batch: np.uint64, keys: np.ndarray, shards: int) -> tuple[int, bytes]:
+    """The keys of a batch's texts, sent once; what texts get is sent by their numbers, and meets the keys in ``sums``."""
+    own = np.array([batch])
+    return int(shard_of(own, shards)[0]), _pack(batch=own, keys=keys)
+
+
+def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.ndarray, words: np.ndarray, shards: int, batch, flags):
     """Blocks by shard of n-grams given as numbers of words; the first of an n-gram decides on its shard.
 
     A block has the hashes of its words, its distinct n-grams in order, and its entries: an n-gram, a text that
@@ -244,7 +257,7 @@ def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.nda
     of, owner = (pair[entries] >> np.uint64(32)).astype(np.int64), (pair[entries] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     fields = {n: g[distinct] for n, g in zip(names, grams)}
     shard = shard_of(words[fields[names[0]]], shards)
-    place = np.zeros(max(len(words), len(keys)), dtype=np.int64)
+    place = np.zeros(max(len(words), len(flags)), dtype=np.int64)
 
     def local(size: int, *arrays: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """The numbers that the arrays use, and the arrays by places among those."""
@@ -258,9 +271,9 @@ def _blocks(grams: tuple[np.ndarray, ...], names: tuple[str, ...], owner: np.nda
     for a, b in zip(starts := runs(shard), [*starts[1:], len(shard)]):
         lo, hi = np.searchsorted(of, [a, b])
         used, own = local(len(words), *(f[a:b] for f in fields.values()))
-        owners, (mine,) = local(len(keys), owner[lo:hi])
+        owners, (mine,) = local(len(flags), owner[lo:hi])
         block = {"words": words[used], **dict(zip(names, own)), "of": _small(of[lo:hi] - a), "owner": mine, "times": _small(times[lo:hi])}
-        yield int(shard[a]), _pack(**block, keys=keys[owners], flags=flags[owners].view(np.uint8))
+        yield int(shard[a]), _pack(**block, batch=np.full(len(owners), batch), text=owners.astype(np.uint32), flags=flags[owners].view(np.uint8))
 
 
 def _release() -> None:
@@ -284,11 +297,13 @@ def _trigram_blocks(rows: DataFrame, shards: int) -> DataFrame:
         for hashes, w, owner, keys, flags in _batches(batches):
             words, places = numbered(np.concatenate(([BEGIN], hashes)) & _UPPER)
             begin, w = places[0], places[1:].astype(np.int32)[w]
+            batch = _batch_id(keys, flags)
+            yield from _sent("names", [_keys_block(batch, keys, shards)])
             first = np.concatenate(([True], owner[1:] != owner[:-1]))
             one = np.where(first, begin, np.roll(w, 1)).astype(np.int32)
             for at in _slices(one, len(words)):
                 two = np.where(first[at], begin, one[at - 1])
-                yield from _sent("trigrams", _blocks((one[at], two, w[at]), ("first", "before", "last"), owner[at], words, shards, keys, flags))
+                yield from _sent("trigrams", _blocks((one[at], two, w[at]), ("first", "before", "last"), owner[at], words, shards, batch, flags))
                 _release()
             del hashes, w, owner, places, first, one, two, words
 
@@ -298,8 +313,10 @@ def _trigram_blocks(rows: DataFrame, shards: int) -> DataFrame:
 def _word_blocks(rows: DataFrame, shards: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, w, owner, keys, flags in _batches(batches):
+            batch = _batch_id(keys, flags)
+            yield from _sent("names", [_keys_block(batch, keys, shards)])
             for at in _slices(w, len(words)):
-                yield from _sent("words", _blocks((w[at],), ("word",), owner[at], words, shards, keys, flags))
+                yield from _sent("words", _blocks((w[at],), ("word",), owner[at], words, shards, batch, flags))
                 _release()
             del words, w, owner
 
@@ -358,7 +375,7 @@ def _together(blocks: list[bytes], names: tuple[str, ...]):
     """The n-grams that a shard is asked for, some blocks together, about ``RANGE`` entries at a time.
 
     For each part: hashes of its words in order, the n-grams by places among them (one column per name), the
-    entries as (n-gram, text, times), and the keys of the texts in order.
+    entries as (n-gram, text, times), and the texts' batches and numbers there.
     """
     group, size = [], 0
     for k, block in enumerate(blocks):
@@ -368,23 +385,28 @@ def _together(blocks: list[bytes], names: tuple[str, ...]):
             continue
         words, places = numbered(np.concatenate([b["words"] for b in group]))
         places = np.split(places, np.cumsum([len(b["words"]) for b in group])[:-1])
-        keys, texts = numbered(np.concatenate([b["keys"] for b in group]))
-        texts = np.split(texts, np.cumsum([len(b["keys"]) for b in group])[:-1])
+        batch, text = (np.concatenate([b[n] for b in group]) for n in ("batch", "text"))
+        begin = np.cumsum([0] + [len(b["text"]) for b in group])
         grams = [np.concatenate([p[b[n]] for p, b in zip(places, group)]) for n in names]
         before = np.cumsum([0] + [len(b[names[0]]) for b in group])
         of = np.concatenate([b["of"].astype(np.int64) + n for b, n in zip(group, before)])
-        owner = np.concatenate([t[b["owner"]] for t, b in zip(texts, group)])
+        owner = np.concatenate([b["owner"].astype(np.int64) + n for b, n in zip(group, begin)])
         times = np.concatenate([b["times"] for b in group]).astype(np.float64)
-        yield words, grams, of, owner, times, keys
+        yield words, grams, of, owner, times, batch, text
         group, size = [], 0
 
 
-def _text_sums(keys: np.ndarray, parts: int, **values: np.ndarray):
-    """Blocks by part of the key of sums per text; ``keys`` ascend."""
-    part = shard_of(keys, parts)
-    for a, b in zip(starts := runs(part), [*starts[1:], len(part)]):
+def _text_sums(batch: np.ndarray, text: np.ndarray, parts: int, **values: np.ndarray):
+    """Blocks by part of the batch of sums per text."""
+    for a, b in zip(starts := runs(batch), [*starts[1:], len(batch)]):
         own = np.any([v[a:b] != 0 for v in values.values()], axis=0)
-        yield int(part[a]), _pack(keys=keys[a:b][own], **{n: v[a:b][own] for n, v in values.items()})
+        yield int(shard_of(batch[a : a + 1], parts)[0]), _pack(batch=batch[a : a + 1], text=text[a:b][own], **{n: v[a:b][own] for n, v in values.items()})
+
+
+def _names(found: list[tuple[str, bytes]], parts: int) -> Iterator[pa.RecordBatch]:
+    """The keys of batches, on their way to the parts of the sums."""
+    for block in (b for kind, b in found if kind == "names"):
+        yield from _sent("names", [(int(shard_of(_unpack(block)["batch"], parts)[0]), block)])
 
 
 _TRIGRAM = ("first", "before", "last")
@@ -401,19 +423,20 @@ def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, folde
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, found in _by_shard(batches):
-            own = [b for _, b in found]
+            own = [b for kind, b in found if kind == "trigrams"]
+            yield from _names(found, parts)
             if discount is not None:
                 words, grams, counts = _training(own, _TRIGRAM)
                 Trie(words, *grams, counts, discount).save(_file(folder, "trigrams", number))
                 del words, grams, counts
                 _release()
             trie = Trie.open(_file(folder, "trigrams", number))
-            for words, grams, of, owner, times, keys in _together(own, _TRIGRAM):
+            for words, grams, of, owner, times, batch, text in _together(own, _TRIGRAM):
                 value, open_ = trie.query(words, *grams)
-                yield from _sent("sums", _text_sums(keys, parts, score=np.bincount(owner, value[of] * times, len(keys))))
+                yield from _sent("sums", _text_sums(batch, text, parts, score=np.bincount(owner, value[of] * times, len(text))))
                 at = np.flatnonzero(open_[of])
-                yield from _sent("fallen", _fallen_blocks(keys, words[grams[2][of[at]]], owner[at], times[at], word_shards))
-                del words, grams, of, owner, times, keys, value, open_, at
+                yield from _sent("fallen", _fallen_blocks(batch, text, words[grams[2][of[at]]], owner[at], times[at], word_shards))
+                del words, grams, of, owner, times, batch, text, value, open_, at
                 _release()
             del trie
             if not keep:
@@ -422,7 +445,7 @@ def _answers(blocks: DataFrame, shards: int, word_shards: int, parts: int, folde
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
 
-def _fallen_blocks(keys: np.ndarray, hashes: np.ndarray, owner: np.ndarray, times: np.ndarray, shards: int):
+def _fallen_blocks(batch: np.ndarray, text: np.ndarray, hashes: np.ndarray, owner: np.ndarray, times: np.ndarray, shards: int):
     """Blocks by shard of words that are to be looked up among single words, and the texts that want them."""
     order = np.argsort(hashes)
     hashes, owner, times = hashes[order], owner[order], times[order].astype(np.uint32)
@@ -430,7 +453,7 @@ def _fallen_blocks(keys: np.ndarray, hashes: np.ndarray, owner: np.ndarray, time
     for a, b in zip(starts := runs(shard), [*starts[1:], len(shard)]):
         words, word = numbered(hashes[a:b])
         owners, mine = numbered(owner[a:b])
-        yield int(shard[a]), _pack(words=words, word=_small(word), owner=_small(mine), times=_small(times[a:b]), keys=keys[owners])
+        yield int(shard[a]), _pack(words=words, word=_small(word), owner=_small(mine), times=_small(times[a:b]), batch=batch[owners], text=text[owners])
 
 
 def _counts(blocks: DataFrame, shards: int, parts: int, folder: str, fit: bool) -> DataFrame:
@@ -439,26 +462,26 @@ def _counts(blocks: DataFrame, shards: int, parts: int, folder: str, fit: bool)
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, found in _by_shard(batches):
             own = [b for kind, b in found if kind == "words"]
+            yield from _names(found, parts)
             if fit:
                 hashes, (word,), counts = _training(own, ("word",))
                 Words(hashes[word], counts).save(_file(folder, "words", number))
                 yield from _sent("total", [(number, _pack(total=np.array([counts.sum(), len(counts)])))])
                 del hashes, word, counts
             known = Words.open(_file(folder, "words", number))
-            for words, (gram,), of, owner, times, keys in _together(own, ("word",)):
-                c, size = known.count(words)[gram[of]], len(keys)
+            for words, (gram,), of, owner, times, batch, text in _together(own, ("word",)):
+                c, size = known.count(words)[gram[of]], len(text)
                 yield from _sent("sums", _text_sums(
-                    keys, parts, base=np.bincount(owner, np.log10(c + 1) * times, size), n_tokens=np.bincount(owner, times, size),
+                    batch, text, parts, base=np.bincount(owner, np.log10(c + 1) * times, size), n_tokens=np.bincount(owner, times, size),
                     n_known=np.bincount(owner, (c > 0) * times, size), rows=np.bincount(owner, (words == END)[gram[of]], size),
                 ))
-                del words, gram, of, owner, times, keys, c
+                del words, gram, of, owner, times, batch, text, c
                 _release()
             for b in (_unpack(block) for kind, block in found if kind == "fallen"):
                 value = np.rint(np.log10(known.count(b["words"], int(_UPPER)) + 1.0) / STEP) * STEP
                 texts = {"score": value[b["word"]] * b["times"], "fallen": b["times"].astype(float)}
-                texts = {n: np.bincount(b["owner"], v, len(b["keys"])) for n, v in texts.items()}
-                order = np.argsort(b["keys"])
-                yield from _sent("sums", _text_sums(b["keys"][order], parts, **{n: v[order] for n, v in texts.items()}))
+                texts = {n: np.bincount(b["owner"], v, len(b["text"])) for n, v in texts.items()}
+                yield from _sent("sums", _text_sums(b["batch"], b["text"], parts, **texts))
 
     return _meet(blocks, shards).mapInArrow(each, _SENT)
 
@@ -469,19 +492,17 @@ _SUMS = ("score", "base", "fallen", "n_tokens", "n_known", "rows")
 def _sums(blocks: DataFrame, parts: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _by_shard(batches):
-            blocks = [_unpack(b) for _, b in found]
-            if not blocks:
+            names = {b["batch"][0]: b["keys"] for b in (_unpack(b) for kind, b in found if kind == "names")}
+            if not found:
                 continue
-            keys, places = numbered(np.concatenate([b["keys"] for b in blocks]))
-            out, at = np.zeros((len(_SUMS), len(keys))), 0
-            for b in blocks:
-                own = places[at : at + len(b["keys"])]
+            begin = dict(zip(names, np.cumsum([0] + [len(k) for k in names.values()])))
+            keys, places = numbered(np.concatenate([*names.values()]))
+            out = np.zeros((len(_SUMS), len(keys)))
+            for b in (_unpack(b) for kind, b in found if kind == "sums"):
+                own = places[begin[b["batch"][0]] + b["text"].astype(np.int64)]  # a batch without keys is an error
                 for row, name in zip(out, _SUMS):
                     if name in b:
-                        row += np.bincount(own, b[name], len(keys))
-                at += len(own)
-            # Equal rows met under one key: each gets its share. An end stands for a row in the blocks of END.
-            out /= np.maximum(out[-1], 1)
+                        np.add.at(row, own, b[name])
             for a in range(0, len(keys), 65_536):
                 cuts = slice(a, a + 65_536)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[cuts].view(np.int64)), *(pa.array(r[cuts]) for r in out)], names=["key", *_SUMS])
@@ -503,7 +524,9 @@ def _scored(keyed: DataFrame, id_column: str, folder: str, model: dict, discount
         for r in counted.filter("kind = 'total'").toLocalIterator():
             totals += _unpack(r["block"])["total"]
         model = model | {"tokens": int(totals[0]), "kinds": int(totals[1])}
-    sums = _sums(answered.union(counted).filter("kind = 'sums'"), parts)
+    sums = _sums(answered.union(counted).filter("kind in ('sums', 'names')"), parts).groupBy("key").agg(*[F.sum(n).alias(n) for n in _SUMS])
+    # Equal rows met under one key: each gets its share. An end stands for a row in the blocks of END.
+    sums = sums.select("key", *[(F.col(n) / F.greatest("rows", F.lit(1.0))).alias(n) for n in _SUMS])
     below = float(np.log10(model["tokens"] + model["kinds"] + 1))
     out = keyed.select("id", "key").join(sums, "key")
     whole = lambda name: F.round(name).cast("long").alias(name)
